@@ -124,10 +124,12 @@ URL_PATTERN = "https://t.co/" + WORD_CLASS + "{%d}" % URL_PATTERN_BODY_LEN
 
 
 def _contraction_pattern() -> str:
-    parts = [
-        f"(?<=(?<!{WORD_CLASS}){a})(?={b}(?!{WORD_CLASS}))" for a, b in SPLIT_CONTRACTIONS
-    ] + [f"(?<=(?<!{WORD_CLASS}){a})(?={b}{WHITESPACE_CLASS})" for a, b in SPLIT_BEFORE_SPACE]
-    return "(?i)" + "|".join(parts)
+    """One pass: a word start, then the first half captured, the second half
+    only looked at; replaced by the first half and a space."""
+    alts = [f"{a}(?={b}(?!{WORD_CLASS}))" for a, b in SPLIT_CONTRACTIONS] + [
+        f"{a}(?={b}{WHITESPACE_CLASS})" for a, b in SPLIT_BEFORE_SPACE
+    ]
+    return f"(?i)(?<!{WORD_CLASS})(" + "|".join(alts) + ")"
 
 
 CONTRACTION_PATTERN = _contraction_pattern()
@@ -156,13 +158,19 @@ def remove_url(col) -> Column:
 def tokenize(col) -> Column:
     """Word tokens of already-cleaned text (no ASCII punctuation left)."""
     c = F.regexp_replace(_c(col), QUOTE_PATTERN, " $0 ")
-    c = F.regexp_replace(c, CONTRACTION_PATTERN, " ")
-    return F.filter(F.split(c, WHITESPACE_CLASS + "+"), lambda x: x != "")
+    c = F.regexp_replace(c, CONTRACTION_PATTERN, "$1 ")
+    return F.array_remove(F.split(c, WHITESPACE_CLASS + "+"), "")
 
 
 def clean_text(col) -> Column:
-    """special characters -> punctuation -> url -> tokens (array<string>)."""
-    return tokenize(remove_url(remove_punctuation(remove_special_characters(col))))
+    """special characters -> punctuation -> url -> tokens (array<string>).
+
+    After the punctuation step no '/' is left, so the short-link pattern
+    cannot match whether or not its literal prefix occurs; the URL step is
+    therefore applied unconditionally here, which references the cleaned
+    text once (the conditional form would evaluate the whole chain again)."""
+    c = remove_punctuation(remove_special_characters(col))
+    return tokenize(F.regexp_replace(c, URL_PATTERN, ""))
 
 
 def is_stopword(x: Column, words=STOPWORDS) -> Column:
@@ -171,7 +179,8 @@ def is_stopword(x: Column, words=STOPWORDS) -> Column:
 
 def remove_stopwords(tokens: Column, case_sensitive: bool = True, words=STOPWORDS) -> Column:
     """Drop stop tokens from an array. ``case_sensitive`` tests the token as it
-    is (document rule); otherwise its lower-case form is tested."""
+    is (document rule); otherwise its lower-case form is tested. Jobs that
+    explode tokens anyway filter rows with ``is_stopword`` instead (codegen)."""
     if case_sensitive:
         return F.filter(tokens, lambda x: ~is_stopword(x, words))
     return F.filter(tokens, lambda x: ~is_stopword(F.lower(x), words))

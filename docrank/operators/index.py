@@ -26,12 +26,17 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from docrank.functions import scoring
 from docrank.functions import text as T
 from docrank.functions.stem import stem_terms
+from docrank.operators.util import at_most
+
+# Dictionary rows up to which the term dictionary is broadcast to the tf join.
+MAX_BROADCAST_TERMS = 2_000_000
 
 
 @dataclass(frozen=True)
@@ -58,6 +63,8 @@ class Index:
     docs: DataFrame | None = None
     # postings + per-document sentinels with |d|, shared by postings and norms
     normed: DataFrame | None = None
+    # frames this index persisted; ``release`` drops them
+    cached: tuple = ()
 
     @property
     def spark(self) -> SparkSession:
@@ -66,35 +73,50 @@ class Index:
     def tf(self) -> DataFrame:
         return self.postings.select("doc_id", "term", "tf")
 
+    def release(self) -> None:
+        for df in self.cached:
+            df.unpersist()
+
 
 # ---------------------------------------------------------------- corpus --
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over all cores when the scan yields fewer
+    partitions than the cluster has (e.g. one large row group). Tokenising is
+    CPU-bound per row; a large input already has enough splits and is left
+    as it is (no shuffle). Round-robin cannot be skewed by hot keys."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores)
+    return df
+
+
 def corpus(df: DataFrame, id_col: str = "doc_id", text_cols=("text",)) -> DataFrame:
     """(doc_id, text): the indexed text of each record; a null or missing
     field counts as one space, fields joined by one space."""
     if isinstance(text_cols, str):
         text_cols = (text_cols,)
-    return df.select(F.col(id_col).alias("doc_id"), T.search_text(*text_cols).alias("text"))
+    return spread(df.select(F.col(id_col).alias("doc_id"), T.search_text(*text_cols).alias("text")))
 
 
-def kept_tokens(text: Column, case_sensitive: bool = True) -> Column:
-    """Document tokens after cleaning and the stop test (original case)."""
-    return T.remove_stopwords(T.clean_text(text), case_sensitive=case_sensitive)
+def _stop(token: Column, case_sensitive: bool) -> Column:
+    return T.is_stopword(token if case_sensitive else F.lower(token))
 
 
 def document_tokens(docs: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
-    """(doc_id, pos, token): kept tokens with their position among kept tokens."""
-    return docs.select(
-        "doc_id", F.posexplode(kept_tokens(F.col("text"), options.stop_case_sensitive)).alias("pos", "token")
-    )
+    """(doc_id, pos, token): tokens kept by the stop test, with their position
+    in the cleaned token list."""
+    toks = docs.select("doc_id", F.posexplode(T.clean_text(F.col("text"))).alias("pos", "token"))
+    return toks.where(~_stop(F.col("token"), options.stop_case_sensitive))
 
 
 def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
     """(doc_id, term, tf). Stop test on the original token, then lower-case
-    (and stem: distinct vocabulary -> pandas UDF -> join -> re-sum)."""
-    words = docs.select(
-        "doc_id", F.explode(kept_tokens(F.col("text"), options.stop_case_sensitive)).alias("token")
-    ).select("doc_id", F.lower("token").alias("term"))
+    (and stem: distinct vocabulary -> pandas UDF -> join -> re-sum).
+    The stop test runs on exploded rows, inside whole-stage codegen."""
+    toks = docs.select("doc_id", F.explode(T.clean_text(F.col("text"))).alias("token"))
+    words = toks.where(~_stop(F.col("token"), options.stop_case_sensitive)).select(
+        "doc_id", F.lower("token").alias("term"))
     tf = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     if options.stem:
         tf = stem_terms(tf, ["doc_id"], "term", "tf")
@@ -108,14 +130,26 @@ def corpus_size(docs: DataFrame) -> Column:
 
 def document_frequency(tf: DataFrame, n_docs: Column) -> DataFrame:
     """(term, df, idf). Partial aggregation collapses frequent terms map-side."""
-    return tf.groupBy("term").agg(F.count(F.lit(1)).alias("df")).withColumn(
+    # count(tf) (never null) keeps the tf column, so this branch and the
+    # weights branch share one tf exchange (ReuseExchange) in a single plan
+    return tf.groupBy("term").agg(F.count("tf").alias("df")).withColumn(
         "idf", scoring.idf(n_docs, F.col("df"))
     )
 
 
-def posting_weights(tf: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, doc_id, tf, idf, weight)."""
-    return tf.join(terms.select("term", "idf"), "term").select(
+def posting_weights(tf: DataFrame, terms: DataFrame, small_dictionary: bool | None = None) -> DataFrame:
+    """(term, doc_id, tf, idf, weight).
+
+    ``small_dictionary`` True: the dictionary is broadcast (its size was
+    proven by the caller). False: a sort-merge join is pinned by hint, so the
+    planner can never pick the tf side as a broadcast; AQE still splits
+    skewed term partitions. None: leave the choice to the planner."""
+    d = terms.select("term", "idf")
+    if small_dictionary is True:
+        d = F.broadcast(d)
+    elif small_dictionary is False:
+        d = d.hint("shuffle_merge")
+    return tf.join(d, "term").select(
         "term", "doc_id", "tf", "idf", scoring.tfidf("tf", "idf").alias("weight")
     )
 
@@ -153,19 +187,39 @@ def document_norms(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 
 def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: IndexOptions,
-                  docs: DataFrame | None = None) -> Index:
+                  docs: DataFrame | None = None, materialize: bool = True) -> Index:
+    """Dictionary, weights, norms from term counts.
+
+    ``materialize``: persist tf (memory and disk; it feeds df, weights and
+    norms, and would otherwise be re-tokenised for each) and prove the
+    dictionary size before choosing the join. Lost cached blocks are
+    recomputed from lineage. Without it the whole index stays one lazy plan.
+    """
+    cached: list[DataFrame] = []
+    small = None
+    if materialize:
+        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(tf)
     terms = document_frequency(tf, n_docs)
-    weights = posting_weights(tf, terms)
+    if materialize:
+        small = at_most(terms, MAX_BROADCAST_TERMS)
+        if small:
+            terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
+            cached.append(terms)
+    weights = posting_weights(tf, terms, small)
     normed = _normed(weights, doc_ids)
     postings, norms = _split_normed(normed)
     return Index(postings=postings, terms=terms, norms=norms, n_docs=n_docs, options=options, docs=docs,
-                 normed=normed)
+                 normed=normed, cached=tuple(cached))
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem: bool = False,
-                stop_case_sensitive: bool = True, store_cols=None) -> Index:
-    """Lazy index over ``df``; nothing runs until an action or ``write_index``.
+                stop_case_sensitive: bool = True, store_cols=None, materialize: bool = True) -> Index:
+    """Index over ``df``.
 
+    With ``materialize`` (default) the tokenise-and-count job runs once here
+    (tf persisted) and the dictionary size is measured; postings, norms and
+    the dictionary are lazy frames on top. ``release()`` drops the cache.
     ``store_cols``: columns kept in the document store for hydration
     (default: id and text columns).
     """
@@ -176,7 +230,7 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem
     if store_cols is None:
         store_cols = [id_col] + [c for c in ([text_cols] if isinstance(text_cols, str) else text_cols) if c != id_col]
     store = df.select(F.col(id_col).alias("doc_id"), *[c for c in store_cols if c != id_col])
-    return index_from_tf(tf, docs.select("doc_id"), n_docs, options, docs=store)
+    return index_from_tf(tf, docs.select("doc_id"), n_docs, options, docs=store, materialize=materialize)
 
 
 def posting_lists(index: Index) -> DataFrame:

@@ -34,15 +34,11 @@ MAX_BROADCAST_QUERY_TERMS = 2_000_000
 DEFAULT_DIGITS = 12
 
 
-def query_tokens(text: Column) -> Column:
-    """Query tokens: cleaned, lower-cased, then the stop test."""
-    return T.remove_stopwords(T.lowercase_tokens(T.clean_text(text)), case_sensitive=True)
-
-
 def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                 stem: bool = False) -> DataFrame:
-    """(query_id, term, qtf)."""
-    words = queries.select(F.col(id_col).alias("query_id"), F.explode(query_tokens(F.col(text_col))).alias("term"))
+    """(query_id, term, qtf): tokens lower-cased first, then the stop test."""
+    toks = queries.select(F.col(id_col).alias("query_id"), F.explode(T.clean_text(F.col(text_col))).alias("t"))
+    words = toks.select("query_id", F.lower("t").alias("term")).where(~T.is_stopword(F.col("term")))
     qtf = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     if stem:
         qtf = stem_terms(qtf, ["query_id"], "term", "qtf")
