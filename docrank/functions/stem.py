@@ -9,9 +9,10 @@ back and re-aggregate by (doc, stem). See ``stem_terms``.
 
 from __future__ import annotations
 
-from functools import lru_cache
+import sys
 
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -67,7 +68,6 @@ def _has_vowel(s: str) -> bool:
     return any(ch in VOWELS for ch in s)
 
 
-@lru_cache(maxsize=1 << 16)
 def porter2(word: str) -> str:
     """Stem one word (the word is lower-cased first)."""
     w = word.lower()
@@ -187,10 +187,16 @@ def porter2(word: str) -> str:
     return w.replace("Y", "y")
 
 
+# Ship this module's code with the UDF, so executors need no installed copy
+# of the package (a cluster may still install it; both work).
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
+
 @F.pandas_udf(T.StringType())
 def stem_udf(words: pd.Series) -> pd.Series:
     """Arrow-batched stemming; the caller feeds it distinct words only."""
-    return words.map(lambda w: None if w is None else porter2(w))
+    table = {w: porter2(w) for w in words.dropna().unique()}
+    return words.map(table)
 
 
 def stem(col) -> Column:
