@@ -12,7 +12,7 @@ from __future__ import annotations
 import sys
 
 import pandas as pd
-from pyspark import cloudpickle
+from pyspark import StorageLevel, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -209,16 +209,40 @@ def stem_vocabulary(words: DataFrame, word_col: str = "term") -> DataFrame:
     return vocab.select("word", stem("word").alias("stem"))
 
 
-def stem_terms(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "tf") -> DataFrame:
+# Vocabulary rows up to which the (word, stem) table is broadcast.
+MAX_BROADCAST_VOCABULARY = 5_000_000
+
+
+def stem_terms(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "tf",
+               cache: list | None = None) -> DataFrame:
     """Replace each term of an aggregated count table by its stem and re-sum.
 
     ``counts`` has one row per (key..., term). The vocabulary job stems each
-    distinct term once; the join back is a shuffle (or a broadcast chosen by
-    AQE after measuring the vocabulary) and the re-aggregation sums counts of
-    words sharing a stem.
+    distinct term once; the re-aggregation sums counts of words sharing a
+    stem (partial aggregation first).
+
+    With ``cache`` (a list collecting persisted frames) the counts and the
+    stem table are persisted, the stem table's size is proven, and the join
+    back is a broadcast of the stem table within the bound, or a pinned
+    sort-merge join beyond it (never a broadcast of the counts). Without it
+    the join is left to the planner.
     """
+    from docrank.operators.util import at_most  # operators depend on functions, not the reverse
+
     stems = stem_vocabulary(counts, term_col)
+    if cache is not None:
+        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+        stems = stems.persist(StorageLevel.MEMORY_AND_DISK)
+        cache.extend([counts, stems])
+        stems = F.broadcast(stems) if at_most(stems, MAX_BROADCAST_VOCABULARY) else stems.hint("shuffle_merge")
     joined = counts.join(stems, counts[term_col] == stems["word"])
     return joined.groupBy(*key_cols, F.col("stem").alias(term_col)).agg(
         F.sum(count_col).cast("long").alias(count_col)
     )
+
+
+def stem_rows(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "qtf") -> DataFrame:
+    """Stem a small count table row by row (a query batch: its rows are
+    already distinct per key and word) and re-sum by stem."""
+    return counts.withColumn(term_col, stem(term_col)).groupBy(*key_cols, term_col).agg(
+        F.sum(count_col).cast("long").alias(count_col))

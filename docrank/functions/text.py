@@ -7,9 +7,11 @@ Every function takes and returns a ``Column`` so callers compose them inside
 Order of the cleaning steps (all deciding the final tokens):
   1. delete the special strings (``remove_special_characters``),
   2. replace every ASCII punctuation character by a space,
-  3. delete short t.co links (a no-op after step 2, kept for parity),
+  3. delete short t.co links (a no-op after step 2: no '/' is left),
   4. tokenise: isolate curly/angle quotes, split six fused contractions,
      split on whitespace.
+Each step is one regex pass over the text (each pass converts the text
+between Spark's UTF-8 form and a Java string, so passes are kept few).
 """
 
 from __future__ import annotations
@@ -123,16 +125,35 @@ QUOTE_PATTERN = char_class(ISOLATED_QUOTES)
 URL_PATTERN = "https://t.co/" + WORD_CLASS + "{%d}" % URL_PATTERN_BODY_LEN
 
 
-def _contraction_pattern() -> str:
-    """One pass: a word start, then the first half captured, the second half
-    only looked at; replaced by the first half and a space."""
+def _one_pass_deletion(strings) -> str:
+    """One regex deleting exactly what the ordered deletions delete, for the
+    shape of SPECIAL_CHARACTERS: single characters (class c1), one space +
+    quote string, single characters (class c2). Deleting c1 first can join a
+    space and the quote, so that step becomes "space, any c1, quote"."""
+    steps = deletion_patterns(strings)
+    if len(steps) != 3 or not steps[0].startswith("[") or not steps[2].startswith("["):
+        raise ValueError("unexpected deletion list shape")
+    multi = [x for x in strings if len(x) > 1][0]
+    head, tail = literal_pattern(multi[:-1]), literal_pattern(multi[-1])
+    return f"{steps[0]}|{head}{steps[0]}*{tail}|{steps[2]}"
+
+
+SPECIAL_ONE_PASS = _one_pass_deletion(SPECIAL_CHARACTERS)
+
+
+def _tokenizer_pattern() -> str:
+    """One pass isolating quote characters and the first half of fused words;
+    both become " match " and the text is then split on whitespace. A fused
+    word counts only at word boundaries; the before-space form also splits
+    before a quote character or at the end (the tokenizer pads the text with
+    spaces and isolates quotes before splitting fused words)."""
     alts = [f"{a}(?={b}(?!{WORD_CLASS}))" for a, b in SPLIT_CONTRACTIONS] + [
-        f"{a}(?={b}{WHITESPACE_CLASS})" for a, b in SPLIT_BEFORE_SPACE
+        f"{a}(?={b}(?:{WHITESPACE_CLASS}|{QUOTE_PATTERN}|$))" for a, b in SPLIT_BEFORE_SPACE
     ]
-    return f"(?i)(?<!{WORD_CLASS})(" + "|".join(alts) + ")"
+    return f"(?i){QUOTE_PATTERN}|(?<!{WORD_CLASS})(?:" + "|".join(alts) + ")"
 
 
-CONTRACTION_PATTERN = _contraction_pattern()
+TOKENIZER_PATTERN = _tokenizer_pattern()
 
 
 def _c(col) -> Column:
@@ -140,10 +161,7 @@ def _c(col) -> Column:
 
 
 def remove_special_characters(col) -> Column:
-    out = _c(col)
-    for p in SPECIAL_PATTERNS:
-        out = F.regexp_replace(out, p, "")
-    return out
+    return F.regexp_replace(_c(col), SPECIAL_ONE_PASS, "")
 
 
 def remove_punctuation(col) -> Column:
@@ -157,20 +175,17 @@ def remove_url(col) -> Column:
 
 def tokenize(col) -> Column:
     """Word tokens of already-cleaned text (no ASCII punctuation left)."""
-    c = F.regexp_replace(_c(col), QUOTE_PATTERN, " $0 ")
-    c = F.regexp_replace(c, CONTRACTION_PATTERN, "$1 ")
+    c = F.regexp_replace(_c(col), TOKENIZER_PATTERN, " $0 ")
     return F.array_remove(F.split(c, WHITESPACE_CLASS + "+"), "")
 
 
 def clean_text(col) -> Column:
     """special characters -> punctuation -> url -> tokens (array<string>).
 
-    After the punctuation step no '/' is left, so the short-link pattern
-    cannot match whether or not its literal prefix occurs; the URL step is
-    therefore applied unconditionally here, which references the cleaned
-    text once (the conditional form would evaluate the whole chain again)."""
-    c = remove_punctuation(remove_special_characters(col))
-    return tokenize(F.regexp_replace(c, URL_PATTERN, ""))
+    After the punctuation step no '/' is left, so the short-link pattern can
+    never match: the URL step is a proven no-op here and is not evaluated
+    (``remove_url`` alone keeps it)."""
+    return tokenize(remove_punctuation(remove_special_characters(col)))
 
 
 def is_stopword(x: Column, words=STOPWORDS) -> Column:

@@ -36,49 +36,62 @@ def _is_word(term: Column) -> Column:
     return term.rlike("^[a-z]+$")
 
 
-def _normalise(rows: DataFrame, key_cols: list[str], stem: bool, count_col: str | None = None) -> DataFrame:
+def _normalise(rows: DataFrame, stem: bool) -> DataFrame:
     """Drop stop words among letter-only tokens and stem them (vocabulary
-    job); digit-bearing tokens pass unchanged."""
-    rows = rows.where(~(_is_word(F.col("term")) & T.is_stopword(F.col("term"), T.FULLTEXT_STOPWORDS)))
+    job); digit-bearing tokens and NULL terms pass unchanged."""
+    is_w = F.coalesce(_is_word(F.col("term")), F.lit(False))
+    rows = rows.where(~(is_w & T.is_stopword(F.col("term"), T.FULLTEXT_STOPWORDS)))
     if not stem:
         return rows
-    words = rows.where(_is_word(F.col("term")))
-    others = rows.where(~_is_word(F.col("term")))
+    words = rows.where(is_w)
+    others = rows.where(~is_w)
     stems = stem_vocabulary(words, "term")
     stemmed = words.join(stems, words["term"] == stems["word"]).drop("term", "word").withColumnRenamed("stem", "term")
     return stemmed.unionByName(others)
 
 
-def fulltext_lexemes(df: DataFrame, id_col: str, fields=PAPER_FIELD_LABELS, stem: bool = True) -> DataFrame:
-    """(doc_id, field, label, weight, pos, term): one row per kept lexeme
-    position; positions count every token of the field, stop words too."""
+def fulltext_lexemes(df: DataFrame, id_col: str, fields=PAPER_FIELD_LABELS, stem: bool = True,
+                     carry=(), keep_empty: bool = False) -> DataFrame:
+    """(doc_id, field, label, weight, pos, term [, carry...]): one row per kept
+    lexeme position; positions count every token of the field, stop words
+    too. ``keep_empty`` keeps one NULL-term row for a field without tokens."""
     entries = F.array(*[
         F.struct(F.lit(name).alias("field"), F.lit(label).alias("label"),
                  F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text"))
         for name, label in fields
     ])
-    per_field = df.select(F.col(id_col).alias("doc_id"), F.explode(entries).alias("f"))
+    carry = [c for c in carry]
+    per_field = df.select(F.col(id_col).alias("doc_id"), *carry, F.explode(entries).alias("f"))
+    explode = F.posexplode_outer if keep_empty else F.posexplode
     toks = per_field.select(
-        "doc_id", F.col("f.field").alias("field"), F.col("f.label").alias("label"),
-        F.posexplode(T.lexeme_tokens(F.col("f.text"))).alias("pos", "term"),
+        "doc_id", *carry, F.col("f.field").alias("field"), F.col("f.label").alias("label"),
+        explode(T.lexeme_tokens(F.col("f.text"))).alias("pos", "term"),
     )
-    lex = _normalise(toks, ["doc_id", "field", "pos"], stem)
+    lex = _normalise(toks, stem)
     weight = F.element_at(F.create_map(*[x for k, v in LABEL_WEIGHTS.items() for x in (F.lit(k), F.lit(v))]),
                           F.col("label"))
-    return lex.select("doc_id", "field", "label", weight.alias("weight"), F.col("pos").cast("int").alias("pos"), "term")
+    return lex.select("doc_id", "field", "label", weight.alias("weight"), F.col("pos").cast("int").alias("pos"),
+                      "term", *carry)
 
 
 def build_fulltext(df: DataFrame, id_col: str = "id", fields=PAPER_FIELD_LABELS, stem: bool = True,
                    column: str = "search_txt") -> DataFrame:
     """Add the weighted lexeme list as column ``column`` unless the table
-    already has it (array<struct<term, label, weight, pos>> per record)."""
+    already has it: array<struct<field, pos, term, label, weight>> per record.
+
+    One pass: each record's fields are exploded with its own columns carried
+    along, then grouped by a per-record id, so a group never exceeds one
+    record's lexemes however often an id repeats, and nothing is joined back."""
     if column in df.columns:
         return df
-    lex = fulltext_lexemes(df, id_col, fields, stem)
-    packed = lex.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("field", "pos", "term", "label", "weight"))).alias(column)
-    )
-    return df.join(packed, df[id_col] == packed["doc_id"], "left").drop("doc_id")
+    cols = df.columns
+    rec = df.select(F.struct(*cols).alias("_row"), *[F.col(name) for name, _ in fields],
+                    F.monotonically_increasing_id().alias("_rid"))
+    lex = fulltext_lexemes(rec, "_rid", fields, stem, carry=["_row"], keep_empty=True)
+    entry = F.when(F.col("term").isNotNull(), F.struct("field", "pos", "term", "label", "weight"))
+    packed = lex.groupBy("doc_id").agg(F.first("_row").alias("_row"),
+                                       F.sort_array(F.collect_list(entry)).alias(column))
+    return packed.select("_row.*", column)
 
 
 def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
@@ -86,7 +99,7 @@ def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col:
     """(query_id, term) distinct: the OR-query lexemes of each query."""
     words = queries.select(F.col(id_col).alias("query_id"), F.explode(T.query_words(F.col(text_col))).alias("w"))
     toks = words.select("query_id", F.lower("w").alias("term"))
-    return _normalise(toks, ["query_id"], stem).select("query_id", "term").distinct()
+    return _normalise(toks, stem).select("query_id", "term").distinct()
 
 
 def fulltext_scores(lexemes: DataFrame, qterms: DataFrame, small: bool | None = None) -> DataFrame:

@@ -4,18 +4,20 @@ Tables (long form, one row per posting, never one huge row per term):
 
   tf        doc_id, term, tf long
   terms     term, df long, idf double             (the term dictionary)
-  postings  term, doc_id, tf, idf, weight, nweight (nweight = weight / |d|)
+  postings  term, doc_id, tf, idf, weight [, nweight = weight / |d| once written]
   norms     doc_id, norm double                   (0.0 for documents without terms)
 
 Plan shape of a build (see README "Plans"):
   scan(id, text) -> clean/tokenise/stop-filter (codegen'd regex + array
   filter) -> explode -> partial+final count by (doc_id, term)  [shuffle 1]
   -> partial+final count by term -> idf                        [small shuffle]
-  -> postings = tf JOIN terms on term (AQE broadcasts the dictionary when it
-     measures small; otherwise sort-merge with skew splitting)
-  -> window sum(w^2) by doc_id gives |d| and nweight            [shuffle 2]
-  Writing sorts postings by (term, doc_id) with a range shuffle whose
-  composite key lets a very frequent term span several files.
+  -> postings = tf JOIN terms on term (the dictionary is broadcast after its
+     size is proven; beyond the bound a pinned sort-merge join, never a
+     broadcast of tf; AQE splits skewed term partitions)
+  -> norms: narrow (doc_id, w^2) rows, partial sums, one small shuffle
+  Writing joins postings with norms (broadcast when proven small) to store
+  nweight = weight/|d|, then sorts postings by (term, doc_id) with a range
+  shuffle whose composite key lets a very frequent term span several files.
 
 N (corpus size) is a scalar subquery (``DataFrame.scalar()``), so the whole
 build stays one lazy plan and N is counted once per execution.
@@ -27,7 +29,7 @@ import json
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrank.functions import scoring
@@ -37,6 +39,8 @@ from docrank.operators.util import at_most
 
 # Dictionary rows up to which the term dictionary is broadcast to the tf join.
 MAX_BROADCAST_TERMS = 2_000_000
+# Documents up to which the norms table is broadcast (search and write).
+MAX_BROADCAST_NORMS = 5_000_000
 
 
 @dataclass(frozen=True)
@@ -61,8 +65,8 @@ class Index:
     n_docs: Column
     options: IndexOptions = field(default_factory=IndexOptions)
     docs: DataFrame | None = None
-    # postings + per-document sentinels with |d|, shared by postings and norms
-    normed: DataFrame | None = None
+    # True when the norms table was proven small enough to broadcast
+    small_norms: bool | None = None
     # frames this index persisted; ``release`` drops them
     cached: tuple = ()
 
@@ -110,7 +114,7 @@ def document_tokens(docs: DataFrame, options: IndexOptions = IndexOptions()) ->
     return toks.where(~_stop(F.col("token"), options.stop_case_sensitive))
 
 
-def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
+def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions(), cache: list | None = None) -> DataFrame:
     """(doc_id, term, tf). Stop test on the original token, then lower-case
     (and stem: distinct vocabulary -> pandas UDF -> join -> re-sum).
     The stop test runs on exploded rows, inside whole-stage codegen."""
@@ -119,7 +123,7 @@ def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions()) -> D
         "doc_id", F.lower("token").alias("term"))
     tf = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     if options.stem:
-        tf = stem_terms(tf, ["doc_id"], "term", "tf")
+        tf = stem_terms(tf, ["doc_id"], "term", "tf", cache=cache)
     return tf
 
 
@@ -154,30 +158,6 @@ def posting_weights(tf: DataFrame, terms: DataFrame, small_dictionary: bool | No
     )
 
 
-def _normed(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
-    """Postings plus one sentinel row (term NULL) per document record, with the
-    document norm on every row, from a single shuffle by doc_id."""
-    sentinels = doc_ids.select(
-        "doc_id",
-        F.lit(None).cast("string").alias("term"),
-        F.lit(None).cast("long").alias("tf"),
-        F.lit(None).cast("double").alias("idf"),
-        F.lit(0.0).alias("weight"),
-    )
-    rows = weights.unionByName(sentinels)
-    by_doc = Window.partitionBy("doc_id")
-    return rows.withColumn("norm", F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(by_doc)))
-
-
-def _split_normed(normed: DataFrame) -> tuple[DataFrame, DataFrame]:
-    postings = normed.where(F.col("term").isNotNull()).select(
-        "term", "doc_id", "tf", "idf", "weight", scoring.safe_ratio("weight", "norm").alias("nweight")
-    )
-    # rows are already clustered by doc_id: no exchange for this aggregate
-    norms = normed.where(F.col("term").isNull()).groupBy("doc_id").agg(F.max("norm").alias("norm"))
-    return postings, norms
-
-
 def document_norms(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
     """(doc_id, norm) on its own: narrow (doc_id, w^2) rows, partial sums,
     one shuffle; documents without terms get 0.0."""
@@ -187,30 +167,37 @@ def document_norms(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 
 def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: IndexOptions,
-                  docs: DataFrame | None = None, materialize: bool = True) -> Index:
+                  docs: DataFrame | None = None, materialize: bool = True,
+                  interim: list | None = None) -> Index:
     """Dictionary, weights, norms from term counts.
 
     ``materialize``: persist tf (memory and disk; it feeds df, weights and
-    norms, and would otherwise be re-tokenised for each) and prove the
-    dictionary size before choosing the join. Lost cached blocks are
-    recomputed from lineage. Without it the whole index stays one lazy plan.
+    norms, and would otherwise be re-tokenised for each), prove the
+    dictionary size before choosing the tf join, and persist the norms with
+    their size proven for later broadcasts. Lost cached blocks are recomputed
+    from lineage. Without it the whole index stays one lazy plan.
     """
     cached: list[DataFrame] = []
-    small = None
+    small = small_norms = None
     if materialize:
         tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(tf)
     terms = document_frequency(tf, n_docs)
     if materialize:
-        small = at_most(terms, MAX_BROADCAST_TERMS)
+        small = at_most(terms, MAX_BROADCAST_TERMS)  # also fills the tf cache
+        for df in interim or ():
+            df.unpersist()  # word-level counts and stems: tf is cached now
         if small:
             terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
             cached.append(terms)
     weights = posting_weights(tf, terms, small)
-    normed = _normed(weights, doc_ids)
-    postings, norms = _split_normed(normed)
-    return Index(postings=postings, terms=terms, norms=norms, n_docs=n_docs, options=options, docs=docs,
-                 normed=normed, cached=tuple(cached))
+    norms = document_norms(weights, doc_ids)
+    if materialize:
+        norms = norms.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(norms)
+        small_norms = at_most(norms, MAX_BROADCAST_NORMS)
+    return Index(postings=weights, terms=terms, norms=norms, n_docs=n_docs, options=options, docs=docs,
+                 small_norms=small_norms, cached=tuple(cached))
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem: bool = False,
@@ -226,19 +213,32 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem
     options = IndexOptions(stem=stem, stop_case_sensitive=stop_case_sensitive)
     docs = corpus(df, id_col, text_cols)
     n_docs = corpus_size(docs)
-    tf = term_frequency(docs, options)
+    interim: list = []
+    tf = term_frequency(docs, options, cache=interim if materialize else None)
     if store_cols is None:
         store_cols = [id_col] + [c for c in ([text_cols] if isinstance(text_cols, str) else text_cols) if c != id_col]
     store = df.select(F.col(id_col).alias("doc_id"), *[c for c in store_cols if c != id_col])
-    return index_from_tf(tf, docs.select("doc_id"), n_docs, options, docs=store, materialize=materialize)
+    return index_from_tf(tf, docs.select("doc_id"), n_docs, options, docs=store, materialize=materialize,
+                         interim=interim)
 
 
-def posting_lists(index: Index) -> DataFrame:
-    """One row per term: (term, idf, papers map<doc_id, weight>, size).
+# Postings per exported map entry block.
+POSTING_BLOCK = 100_000
 
-    Export view only; search works on the long postings, so a frequent term
-    is many rows rather than one huge row."""
-    return index.postings.groupBy("term").agg(
+
+def posting_lists(index: Index, block_size: int = POSTING_BLOCK) -> DataFrame:
+    """Export view of the index in map form: (term, block, idf, papers
+    map<doc_id, weight>, size).
+
+    A term with df postings is split into ceil(df / block_size) blocks by a
+    hash of doc_id, so no group collected into one row grows with the corpus
+    (a term in every document becomes many bounded rows). Search never uses
+    this view; it works on the long postings."""
+    blocks = index.terms.select(
+        "term", F.greatest(F.lit(1), F.ceil(F.col("df") / F.lit(block_size))).cast("long").alias("nblocks"))
+    p = index.postings.join(blocks, "term").withColumn(
+        "block", F.pmod(F.xxhash64("doc_id"), F.col("nblocks")))
+    return p.groupBy("term", "block").agg(
         F.first("idf").alias("idf"),
         F.map_from_entries(F.sort_array(F.collect_list(F.struct("doc_id", "weight")))).alias("papers"),
         F.count(F.lit(1)).alias("size"),
@@ -247,31 +247,29 @@ def posting_lists(index: Index) -> DataFrame:
 
 # ------------------------------------------------------------ persistence --
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
-    """Persist postings (globally sorted by term, doc_id), the term dictionary,
-    norms, the document store and N; return the index read back.
+def normalized_postings(index: Index) -> DataFrame:
+    """Postings with nweight = weight / |d| (0.0 when |d| is 0), so a search
+    on them needs no norms join."""
+    if "nweight" in index.postings.columns:
+        return index.postings
+    small = index.small_norms if index.small_norms is not None else at_most(index.norms, MAX_BROADCAST_NORMS)
+    norms = F.broadcast(index.norms) if small else index.norms
+    return index.postings.join(norms, "doc_id").select(
+        "term", "doc_id", "tf", "idf", "weight", scoring.safe_ratio("weight", "norm").alias("nweight"))
 
-    Postings and norms come from the same doc_id window; that frame is
-    persisted (memory and disk) for the two writes, so the window runs once.
-    A lost executor only costs recomputing its cached blocks from lineage.
-    """
+
+def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
+    """Persist postings with nweight (globally sorted by term, doc_id), the
+    term dictionary, norms, the document store and N; return the index read
+    back from the written files."""
     spark = index.spark
     base = path.rstrip("/")
     spark.range(1).select(
         index.n_docs.cast("long").alias("n_docs"), F.lit(index.options.to_json()).alias("options")
     ).write.mode(mode).parquet(base + "/stats")
     index.terms.select("term", "df", "idf").orderBy("term").write.mode(mode).parquet(base + "/terms")
-    shared = index.normed.persist() if index.normed is not None else None
-    try:
-        if shared is not None:
-            postings, norms = _split_normed(shared)
-        else:
-            postings, norms = index.postings, index.norms
-        postings.orderBy("term", "doc_id").write.mode(mode).parquet(base + "/postings")
-        norms.sortWithinPartitions("doc_id").write.mode(mode).parquet(base + "/norms")
-    finally:
-        if shared is not None:
-            shared.unpersist()
+    index.norms.sortWithinPartitions("doc_id").write.mode(mode).parquet(base + "/norms")
+    normalized_postings(index).orderBy("term", "doc_id").write.mode(mode).parquet(base + "/postings")
     if index.docs is not None:
         index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(base + "/docs")
     return read_index(spark, path)

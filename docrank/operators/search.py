@@ -12,8 +12,9 @@ Batch plan (``search_batch``):
   are shuffled for the final ranking.
 
 The query side is broadcast only after ``at_most`` proved its row count;
-beyond that bound every join falls back to a shuffle join. Postings carry
-``nweight`` = weight/|d|, so no norms join is needed at query time.
+beyond that bound every join falls back to a shuffle join. A written index
+carries ``nweight`` = weight/|d| in its postings, so no norms join is needed
+at query time; an unwritten one divides by |d| after the aggregation.
 """
 
 from __future__ import annotations
@@ -23,8 +24,8 @@ from pyspark.sql import functions as F
 
 from docrank.functions import scoring
 from docrank.functions import text as T
-from docrank.functions.stem import stem_terms
-from docrank.operators.index import Index
+from docrank.functions.stem import stem_rows
+from docrank.operators.index import MAX_BROADCAST_NORMS, Index
 from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
 
 # Query-term rows up to which the query side is broadcast.
@@ -41,7 +42,7 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
     words = toks.select("query_id", F.lower("t").alias("term")).where(~T.is_stopword(F.col("term")))
     qtf = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     if stem:
-        qtf = stem_terms(qtf, ["query_id"], "term", "qtf")
+        qtf = stem_rows(qtf, ["query_id"], "term", "qtf")
     return qtf
 
 
@@ -58,14 +59,25 @@ def query_weights(index: Index, qtf: DataFrame, small: bool = True) -> DataFrame
 def dot_products(index: Index, qweights: DataFrame, small: bool = True,
                  postings: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, dot, similarity): every document sharing at least one
-    indexed term with the query is a candidate (idf 0 terms included)."""
-    p = (postings if postings is not None else index.postings).select("term", "doc_id", "weight", "nweight")
+    indexed term with the query is a candidate (idf 0 terms included).
+
+    On a written index the postings carry nweight = weight/|d| and the cosine
+    is one sum. On an unwritten one the sum of qweight/|q| * weight is divided
+    by |d| after aggregation (norms broadcast when proven small)."""
+    p = postings if postings is not None else index.postings
+    normalized = "nweight" in p.columns
+    p = p.select("term", "doc_id", "weight", *(["nweight"] if normalized else []))
     q = qweights.select("query_id", "term", "qweight", "qnweight")
     m = maybe_broadcast(q, small).join(p, "term")
-    return m.groupBy("query_id", "doc_id").agg(
-        F.sum(F.col("qweight") * F.col("weight")).alias("dot"),
-        F.sum(F.col("qnweight") * F.col("nweight")).alias("similarity"),
-    )
+    dot = F.sum(F.col("qweight") * F.col("weight")).alias("dot")
+    if normalized:
+        return m.groupBy("query_id", "doc_id").agg(
+            dot, F.sum(F.col("qnweight") * F.col("nweight")).alias("similarity"))
+    scores = m.groupBy("query_id", "doc_id").agg(dot, F.sum(F.col("qnweight") * F.col("weight")).alias("qdot"))
+    small_norms = index.small_norms if index.small_norms is not None else at_most(index.norms, MAX_BROADCAST_NORMS)
+    norms = maybe_broadcast(index.norms, small_norms)
+    return scores.join(norms, "doc_id").select(
+        "query_id", "doc_id", "dot", scoring.safe_ratio("qdot", "norm").alias("similarity"))
 
 
 def top_k(scores: DataFrame, k: int, score_col: str = "similarity", group_col: str = "query_id",
@@ -122,11 +134,20 @@ def search(index: Index, query: str, k: int = 5, digits: int | None = DEFAULT_DI
     return out.withColumn("rank", F.row_number().over(w).cast("long")).select("rank", "doc_id", "similarity")
 
 
-def hydrate(results: DataFrame, docs: DataFrame, small: bool = True, id_col: str = "doc_id") -> DataFrame:
-    """Attach stored document columns to ranked rows, after ranking.
+# Ranked rows up to which the results are broadcast to the document store.
+MAX_BROADCAST_RESULTS = 1_000_000
 
-    ``results`` (k rows per query) is broadcast when ``small``; the document
-    store is then filtered map-side and never shuffled."""
+
+def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id",
+            max_broadcast_rows: int = MAX_BROADCAST_RESULTS) -> DataFrame:
+    """Attach stored document columns to ranked rows, after ranking (late
+    materialisation: documents are read for the top k only).
+
+    The ranked rows are persisted and counted first; within the bound they
+    are broadcast, so the document store is filtered map-side and never
+    shuffled. Beyond it a shuffle join is used."""
+    results = results.persist()
+    small = at_most(results, max_broadcast_rows)
     return maybe_broadcast(results, small).join(docs, id_col, "left")
 
 

@@ -180,7 +180,9 @@ def q_document_norms(spark, sf):
 
 
 def q_posting_lists(spark, sf):
-    return IX.posting_lists(doc_index(spark, sf)).select("term", "size", r6("idf"))
+    blocks = IX.posting_lists(doc_index(spark, sf), block_size=50)
+    return blocks.groupBy("term").agg(F.sum("size").alias("size"), F.round(F.first("idf"), DIGITS).alias("idf"),
+                                      F.sum(F.size("papers")).alias("entries"))
 
 
 def q_index_write_read(spark, sf):

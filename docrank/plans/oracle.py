@@ -157,7 +157,8 @@ def _sql() -> dict[str, str]:
     postings = (f"WITH {DOC_INDEX} SELECT term, doc_id, tf, round(idf, 6) AS idf, round(weight, 6) AS weight FROM w")
     q["posting_weights"] = postings
     q["document_norms"] = f"WITH {DOC_INDEX} SELECT doc_id, round(norm, 6) AS norm FROM norms"
-    q["posting_lists"] = f"WITH {DOC_INDEX} SELECT term, count(*) AS size, round(any_value(idf), 6) AS idf FROM w GROUP BY term"
+    q["posting_lists"] = (f"WITH {DOC_INDEX} SELECT term, count(*) AS size, round(any_value(idf), 6) AS idf, "
+                          f"count(*) AS entries FROM w GROUP BY term")
     q["index_write_read"] = postings
     bench_q = _query_ctes(BENCH_QUERIES)
     q["query_weights"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT query_id, term, qtf, round(qweight, 6) AS qweight, "

@@ -46,7 +46,7 @@ def tokenize_sql(x: str) -> str:
         for _ in range(2):  # a boundary character can serve two neighbours
             s = f"regexp_replace({s}, {sql_str(pat)}, '\\1\\2 \\3\\4', 'gi')"
     for a, b in T.SPLIT_BEFORE_SPACE:
-        pat = f"(^|{W})({a})({b})({T.WHITESPACE_CLASS})"
+        pat = f"(^|{W})({a})({b})({T.WHITESPACE_CLASS}|$)"
         for _ in range(2):
             s = f"regexp_replace({s}, {sql_str(pat)}, '\\1\\2 \\3\\4', 'gi')"
     return f"list_filter(regexp_split_to_array({s}, {sql_str(T.WHITESPACE_CLASS + '+')}), lambda t: t <> '')"

@@ -30,6 +30,24 @@ def test_special_then_punctuation(spark, raw, expected):
 def test_special_characters_sequential_quirk(spark):
     # deleting '"' first creates ' “', which the next step then deletes
     assert _one(spark, 'x "“y', T.remove_special_characters) == "xy"
+    # a space, then a later-class character, then the quote: the quote stays
+    assert _one(spark, "x -“y", T.remove_special_characters) == "x “y"
+
+
+def _sequential(text):
+    for s in T.SPECIAL_CHARACTERS:
+        text = text.replace(s, "")
+    return text
+
+
+def test_one_pass_deletion_equals_sequential(spark):
+    import random
+    rnd = random.Random(7)
+    alphabet = list("ab “\"'&?-—€‘") + ["👏", "😀"]
+    samples = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 12))) for _ in range(400)]
+    df = spark.createDataFrame([(s,) for s in samples], "t string")
+    got = [r["x"] for r in df.select(T.remove_special_characters("t").alias("x")).collect()]
+    assert got == [_sequential(s) for s in samples]
 
 
 def test_remove_url_alone(spark):
@@ -50,8 +68,10 @@ def test_tokenizer_contractions_and_quotes(spark):
     assert _one(spark, "cannot wanna go", T.clean_text) == ["can", "not", "wan", "na", "go"]
     assert _one(spark, "don’t", T.clean_text) == ["don", "’", "t"]
     assert _one(spark, "Gimme gonna gotta lemme", T.clean_text) == ["Gim", "me", "gon", "na", "got", "ta", "lem", "me"]
-    # wanna only before whitespace; cannot needs word boundaries
-    assert _one(spark, "wanna", T.clean_text) == ["wanna"]
+    # wanna splits before whitespace, a quote or the end; cannot needs word boundaries
+    assert _one(spark, "wanna", T.clean_text) == ["wan", "na"]
+    assert _one(spark, "wanna’", T.clean_text) == ["wan", "na", "’"]
+    assert _one(spark, "wannax wanna😀", T.clean_text) == ["wannax", "wanna😀"]
     assert _one(spark, "xcannot cannotx", T.clean_text) == ["xcannot", "cannotx"]
     assert _one(spark, "«a» „b“", T.clean_text) == ["«", "a", "»", "„", "b", "“"]
 
