@@ -95,12 +95,13 @@ def spread(df: DataFrame) -> DataFrame:
     return df
 
 
-def corpus(df: DataFrame, id_col: str = "doc_id", text_cols=("text",)) -> DataFrame:
+def corpus(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), spread_rows: bool = True) -> DataFrame:
     """(doc_id, text): the indexed text of each record; a null or missing
     field counts as one space, fields joined by one space."""
     if isinstance(text_cols, str):
         text_cols = (text_cols,)
-    return spread(df.select(F.col(id_col).alias("doc_id"), T.search_text(*text_cols).alias("text")))
+    out = df.select(F.col(id_col).alias("doc_id"), T.search_text(*text_cols).alias("text"))
+    return spread(out) if spread_rows else out
 
 
 def _stop(token: Column, case_sensitive: bool) -> Column:
@@ -212,14 +213,14 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem
     """
     options = IndexOptions(stem=stem, stop_case_sensitive=stop_case_sensitive)
     docs = corpus(df, id_col, text_cols)
-    n_docs = corpus_size(docs)
+    ids = df.select(F.col(id_col).alias("doc_id"))  # counting needs no spreading
+    n_docs = corpus_size(ids)
     interim: list = []
     tf = term_frequency(docs, options, cache=interim if materialize else None)
     if store_cols is None:
         store_cols = [id_col] + [c for c in ([text_cols] if isinstance(text_cols, str) else text_cols) if c != id_col]
     store = df.select(F.col(id_col).alias("doc_id"), *[c for c in store_cols if c != id_col])
-    return index_from_tf(tf, docs.select("doc_id"), n_docs, options, docs=store, materialize=materialize,
-                         interim=interim)
+    return index_from_tf(tf, ids, n_docs, options, docs=store, materialize=materialize, interim=interim)
 
 
 # Postings per exported map entry block.

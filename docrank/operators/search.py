@@ -38,8 +38,10 @@ DEFAULT_DIGITS = 12
 def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                 stem: bool = False) -> DataFrame:
     """(query_id, term, qtf): tokens lower-cased first, then the stop test."""
-    toks = queries.select(F.col(id_col).alias("query_id"), F.explode(T.clean_text(F.col(text_col))).alias("t"))
-    words = toks.select("query_id", F.lower("t").alias("term")).where(~T.is_stopword(F.col("term")))
+    # the stop test stays inside the (small) token array: as a row filter on
+    # `term` Catalyst would copy it onto the postings scan through the join
+    kept = T.remove_stopwords(T.lowercase_tokens(T.clean_text(F.col(text_col))))
+    words = queries.select(F.col(id_col).alias("query_id"), F.explode(kept).alias("term"))
     qtf = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     if stem:
         qtf = stem_rows(qtf, ["query_id"], "term", "qtf")
