@@ -153,11 +153,15 @@ def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id",
     return maybe_broadcast(results, small).join(docs, id_col, "left")
 
 
-def result_rows(results: DataFrame, doc_cols: list[str], score_col: str = "similarity",
-                absent: dict[str, str] | None = None) -> DataFrame:
-    """(…keys, val, info struct): the ranked row as the reference's result
-    object; columns named in ``absent`` are filled with their placeholder."""
+def result_rows(results: DataFrame, fields, absent: dict[str, str] | None = None, score_col: str = "similarity",
+                as_json: bool = False) -> DataFrame:
+    """(…keys, val, info): a ranked row as the result object, ``info`` holding
+    ``fields`` in order; a field named in ``absent`` gets its placeholder
+    (the weighted ranker fills fields it does not read with "-").
+    ``as_json`` renders ``info`` as one JSON object with nulls kept."""
     absent = absent or {}
-    fields = [F.col(c).alias(c) for c in doc_cols] + [F.lit(v).alias(c) for c, v in absent.items()]
+    info = F.struct(*[(F.lit(absent[c]) if c in absent else F.col(c)).alias(c) for c in fields])
+    if as_json:
+        info = F.to_json(info, {"ignoreNullFields": "false"})
     keys = [c for c in ("ranker", "query_id", "rank") if c in results.columns]
-    return results.select(*keys, F.col(score_col).alias("val"), F.struct(*fields).alias("info"))
+    return results.select(*keys, F.col(score_col).alias("val"), info.alias("info"))

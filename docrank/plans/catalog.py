@@ -22,7 +22,7 @@ from docrank.functions.stem import stem_vocabulary
 from docrank.operators import fulltext as FT
 from docrank.operators import index as IX
 from docrank.operators import search as SR
-from docrank.operators.compare import compare
+from docrank.operators.compare import compare, compare_batch
 from docrank.operators.merge import merge_counts, merge_index
 from docrank.session import scratch_path
 from docrank.sources import papers as P
@@ -262,6 +262,23 @@ def q_compare_rankers(spark, sf):
     return compare(part_index(spark, sf, stem=True), part_lexemes(spark, sf), PART_QUERY, K, digits=DIGITS)
 
 
+def q_compare_rankers_batch(spark, sf):
+    return compare_batch(part_index(spark, sf, stem=True), part_lexemes(spark, sf), part_name_queries(spark, sf), K,
+                         digits=DIGITS)
+
+
+# Result object fields in order; the weighted ranker reads five of them.
+RESULT_FIELDS = ("id", "submitter", "authors", "title", "comments", "journal-ref", "doi", "abstract", "categories",
+                 "versions")
+FULLTEXT_ABSENT = {"submitter": "-", "comments": "-", "journal-ref": "-", "doi": "-", "versions": "-"}
+
+
+def q_result_rows(spark, sf):
+    res = FT.fulltext_search(part_lexemes(spark, sf), PART_QUERY, K, digits=DIGITS)
+    store = part_papers(spark, sf).select("doc_id", "id", "authors", "abstract", "categories", "title")
+    return SR.result_rows(SR.hydrate(res, store), RESULT_FIELDS, FULLTEXT_ABSENT, as_json=True)
+
+
 # ----------------------------------------------------------------- merge --
 
 def _halves(spark, sf):
@@ -317,6 +334,8 @@ QUERIES = {
     "fulltext_topk": q_fulltext_topk,
     "fulltext_topk_batch": q_fulltext_topk_batch,
     "compare_rankers": q_compare_rankers,
+    "compare_rankers_batch": q_compare_rankers_batch,
+    "result_rows": q_result_rows,
     "merge_counts": q_merge_counts,
     "merge_index": q_merge_index,
 }

@@ -106,9 +106,10 @@ franked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER
                    AS rank, doc_id, similarity FROM fs)"""
 
 
-def _cos_part_query() -> str:
-    return f"""WITH {STEMS_CTE}, {PART_PAPERS}, {PART_INDEX},
-qsrc AS (SELECT CAST(0 AS BIGINT) AS query_id, {sql_str(C.PART_STEM_QUERY)} AS text),
+def _cos_part_ctes(queries_sql: str) -> str:
+    """Cosine ranking over the stemmed part index for (query_id, text) rows."""
+    return f"""{PART_INDEX},
+qsrc AS ({queries_sql}),
 qt AS (SELECT query_id, unnest({lower_list_sql(clean_tokens_sql('text'))}) AS word FROM qsrc),
 qt2 AS (SELECT query_id, CASE WHEN {ALPHA.format('word')} THEN s.stem ELSE word END AS term
         FROM qt LEFT JOIN stems s USING (word) WHERE NOT list_contains({STOP}, word)),
@@ -122,6 +123,10 @@ ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER
                   AS BIGINT) AS rank, doc_id, similarity FROM sim)"""
 
 
+def _one_query(text: str) -> str:
+    return f"SELECT CAST(0 AS BIGINT) AS query_id, {sql_str(text)} AS text"
+
+
 def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["remove_special_characters"] = f"SELECT doc_id, {special_sql('text')} AS cleaned FROM documents"
@@ -173,7 +178,8 @@ def _sql() -> dict[str, str]:
     q["stem_vocabulary"] = (f"WITH {STEMS_CTE}, words AS (SELECT DISTINCT unnest(string_split(lower(concat_ws(' ', "
                             f"p_name, p_type)), ' ')) AS word FROM part) "
                             f"SELECT word, stem FROM words JOIN stems USING (word) WHERE word <> ''")
-    q["cosine_topk_stemmed"] = f"{_cos_part_query()} SELECT rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}"
+    q["cosine_topk_stemmed"] = (f"WITH {STEMS_CTE}, {PART_PAPERS}, {_cos_part_ctes(_one_query(C.PART_STEM_QUERY))} "
+                                f"SELECT rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
     ft_base = f"WITH {STEMS_CTE}, {PART_PAPERS}, {_lexeme_ctes()}"
     q["fulltext_lexemes"] = f"{ft_base} SELECT doc_id, field, label, weight, pos, term FROM lex"
     one = f"SELECT CAST(0 AS BIGINT) AS query_id, {sql_str(C.PART_QUERY)} AS text"
@@ -181,13 +187,23 @@ def _sql() -> dict[str, str]:
     names = "SELECT DISTINCT p_name AS query_id, p_name AS text FROM part"
     q["fulltext_topk_batch"] = (f"{ft_base}, {_ft_query_ctes(names)} SELECT query_id, rank, doc_id, similarity "
                                 f"FROM franked WHERE rank <= {C.K}")
-    # compare: cosine (stemmed part index) and fulltext on the same query
-    cos_one = (f"WITH {STEMS_CTE}, {PART_PAPERS}, {PART_INDEX},"
-               + _cos_part_query().split(f"{PART_INDEX},", 1)[1].replace(sql_str(C.PART_STEM_QUERY), sql_str(C.PART_QUERY)))
+    # compare: cosine (stemmed part index) and fulltext on the same queries
     q["compare_rankers"] = (
-        f"{cos_one}, {_lexeme_ctes()}, {_ft_query_ctes(one)} "
+        f"WITH {STEMS_CTE}, {PART_PAPERS}, {_cos_part_ctes(_one_query(C.PART_QUERY))}, {_lexeme_ctes()}, "
+        f"{_ft_query_ctes(one)} "
         f"SELECT 'cosine' AS ranker, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K} "
         f"UNION ALL SELECT 'fulltext' AS ranker, rank, doc_id, similarity FROM franked WHERE rank <= {C.K}")
+    q["compare_rankers_batch"] = (
+        f"WITH {STEMS_CTE}, {PART_PAPERS}, {_cos_part_ctes(names)}, {_lexeme_ctes()}, {_ft_query_ctes(names)} "
+        f"SELECT 'cosine' AS ranker, query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K} "
+        f"UNION ALL SELECT 'fulltext' AS ranker, query_id, rank, doc_id, similarity FROM franked WHERE rank <= {C.K}")
+    info = ", ".join(
+        f'"{f}" := ' + (sql_str(C.FULLTEXT_ABSENT[f]) if f in C.FULLTEXT_ABSENT else f"p.{f}")
+        for f in C.RESULT_FIELDS)
+    q["result_rows"] = (
+        f"{ft_base}, {_ft_query_ctes(one)} SELECT r.rank, r.similarity AS val, "
+        f"CAST(to_json(struct_pack({info})) AS VARCHAR) AS info "
+        f"FROM franked r JOIN part_papers p USING (doc_id) WHERE r.rank <= {C.K}")
     q["merge_counts"] = f"WITH {DOC_INDEX} SELECT doc_id, term, tf FROM tf"
     q["merge_index"] = postings
     return q
