@@ -129,5 +129,6 @@ def fulltext_search(lexemes: DataFrame, query: str, k: int = 5, stem: bool = Tru
     words = [r["term"] for r in qterms.collect()]
     if not words:
         return spark.createDataFrame([], "rank long, doc_id long, similarity double")
-    scores = fulltext_scores(lexemes.where(F.col("term").isin(words)), qterms, small=True)
+    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its lexemes were just counted
+    scores = fulltext_scores(lexemes.where(F.col("term").isin(words)), qterms, small=small)
     return top_k(scores, k, digits=digits).select("rank", "doc_id", "similarity")

@@ -48,9 +48,12 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
     return qtf
 
 
-def query_weights(index: Index, qtf: DataFrame, small: bool = True) -> DataFrame:
+def query_weights(index: Index, qtf: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, term, qtf, idf, qweight, qnorm, qnweight) for query terms
-    present in the index; |q| covers only those terms."""
+    present in the index; |q| covers only those terms. ``small``: the caller
+    proved the query side small; None proves it here."""
+    if small is None:
+        small = at_most(qtf, MAX_BROADCAST_QUERY_TERMS)
     j = maybe_broadcast(qtf, small).join(index.terms.select("term", "idf"), "term")
     j = j.withColumn("qweight", scoring.tfidf("qtf", "idf"))
     by_query = Window.partitionBy("query_id")
@@ -58,7 +61,7 @@ def query_weights(index: Index, qtf: DataFrame, small: bool = True) -> DataFrame
     return j.withColumn("qnweight", scoring.safe_ratio("qweight", "qnorm"))
 
 
-def dot_products(index: Index, qweights: DataFrame, small: bool = True,
+def dot_products(index: Index, qweights: DataFrame, small: bool | None = None,
                  postings: DataFrame | None = None) -> DataFrame:
     """(query_id, doc_id, dot, similarity): every document sharing at least one
     indexed term with the query is a candidate (idf 0 terms included).
@@ -66,6 +69,8 @@ def dot_products(index: Index, qweights: DataFrame, small: bool = True,
     On a written index the postings carry nweight = weight/|d| and the cosine
     is one sum. On an unwritten one the sum of qweight/|q| * weight is divided
     by |d| after aggregation (norms broadcast when proven small)."""
+    if small is None:
+        small = at_most(qweights, MAX_BROADCAST_QUERY_TERMS)
     p = postings if postings is not None else index.postings
     normalized = "nweight" in p.columns
     p = p.select("term", "doc_id", "weight", *(["nweight"] if normalized else []))
@@ -125,9 +130,10 @@ def search(index: Index, query: str, k: int = 5, digits: int | None = DEFAULT_DI
     words = [r["term"] for r in qtf.select("term").distinct().collect()]
     if not words:
         return spark.createDataFrame([], "rank long, doc_id long, similarity double")
-    qw = query_weights(index, qtf.where(F.col("term").isin(words)), small=True)
+    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its term rows were just counted
+    qw = query_weights(index, qtf.where(F.col("term").isin(words)), small=small)
     postings = index.postings.where(F.col("term").isin(words))
-    scores = dot_products(index, qw, small=True, postings=postings)
+    scores = dot_products(index, qw, small=small, postings=postings)
     ranked = scores.orderBy(
         (F.round("similarity", digits) if digits is not None else F.col("similarity")).desc(), F.col("doc_id").asc()
     ).limit(k)

@@ -82,3 +82,25 @@ def test_read_table_and_limit(spark, tmp_path):
     back = P.read_table(spark, out)
     assert back.count() == papers.count()
     assert [r["id"] for r in P.limit_corpus(back, 2).collect()] == ["0704.0001", "0704.0002"]
+
+
+def test_result_rows_placeholders(spark):
+    from docrank.operators.search import hydrate, result_rows
+    df = part_papers(spark, "/root/testdata/sf0.001")
+    res = fulltext_search(fulltext_lexemes(df, "doc_id"), "small ring", 3)
+    rows = result_rows(hydrate(res, df), ["id", "submitter", "title", "abstract"], {"submitter": "-"}, as_json=True)
+    out = rows.orderBy("rank").collect()
+    assert len(out) == 3
+    info = json.loads(out[0]["info"])
+    assert list(info) == ["id", "submitter", "title", "abstract"]
+    assert info["submitter"] == "-" and info["abstract"] is None
+    assert out[0]["val"] >= out[-1]["val"]
+
+
+def test_build_fulltext_content(spark):
+    df = spark.createDataFrame([("7", "small rings", "SMALL"), ("7", "", None)], "id string, title string, categories string")
+    out = build_fulltext(df, "id").collect()
+    assert len(out) == 2                                   # one row per record, duplicates kept apart
+    lex = sorted((e["field"], e["pos"], e["term"], e["label"]) for e in max(out, key=lambda r: len(r["search_txt"]))["search_txt"])
+    assert lex == [("categories", 0, "small", "C"), ("id", 0, "7", "A"), ("title", 0, "small", "B"), ("title", 1, "ring", "B")]
+    assert [len(r["search_txt"]) for r in out if r["title"] == ""] == [1]
