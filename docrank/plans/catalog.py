@@ -216,6 +216,20 @@ def q_cosine_topk_batch(spark, sf):
     return SR.search_batch(doc_index(spark, sf), benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
 
 
+def q_cosine_topk_batch_conversations(spark, sf):
+    """Conversation turns as records keyed by conv_id: the turns of one
+    conversation add their counts under one id, N counts every turn."""
+    conv = table(spark, sf, "conversations")
+    idx = IX.build_index(conv, "conv_id", ("text",))
+    return SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
+
+
+def q_cosine_topk_batch_pages(spark, sf):
+    """Raw web pages (long HTML text) as the corpus."""
+    idx = IX.build_index(table(spark, sf, "pages"), "page_id", ("html",))
+    return SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
+
+
 def q_cosine_topk_hydrated(spark, sf):
     idx = doc_index(spark, sf)
     res = SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
@@ -327,6 +341,8 @@ QUERIES = {
     "cosine_topk": q_cosine_topk,
     "cosine_topk_batch": q_cosine_topk_batch,
     "cosine_topk_hydrated": q_cosine_topk_hydrated,
+    "cosine_topk_batch_conversations": q_cosine_topk_batch_conversations,
+    "cosine_topk_batch_pages": q_cosine_topk_batch_pages,
     "stem_vocabulary": q_stem_vocabulary,
     "cosine_topk_stemmed": q_cosine_topk_stemmed,
     "cosine_topk_batch_stemmed": q_cosine_topk_batch_stemmed,

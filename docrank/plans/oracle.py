@@ -175,6 +175,12 @@ def _sql() -> dict[str, str]:
     q["cosine_topk_hydrated"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT r.doc_id, r.query_id, r.rank, r.similarity, "
                                  f"d.lang, d.source, d.n_chars FROM ranked r LEFT JOIN documents d USING (doc_id) "
                                  f"WHERE r.rank <= {C.K}")
+    q["cosine_topk_batch_conversations"] = (
+        f"WITH {_tf_ctes('conversations', 'conv_id', 'text')}, {bench_q} "
+        f"SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
+    q["cosine_topk_batch_pages"] = (
+        f"WITH {_tf_ctes('pages', 'page_id', 'html')}, {bench_q} "
+        f"SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
     q["stem_vocabulary"] = (f"WITH {STEMS_CTE}, words AS (SELECT DISTINCT unnest(string_split(lower(concat_ws(' ', "
                             f"p_name, p_type)), ' ')) AS word FROM part) "
                             f"SELECT word, stem FROM words JOIN stems USING (word) WHERE word <> ''")

@@ -9,7 +9,7 @@ import pytest
 import __spark_entry__ as E
 
 SF = "/root/testdata/sf0.001"
-TABLES = "part events documents pages benchmark".split()
+TABLES = "part events documents pages benchmark conversations".split()
 
 
 def _norm(v):
