@@ -32,9 +32,3 @@ def tfidf(count, idf_col) -> Column:
 def safe_ratio(num, den) -> Column:
     """num / den, 0.0 where den is 0 (ANSI division would raise)."""
     return F.coalesce(F.try_divide(_c(num), _c(den)), F.lit(0.0))
-
-
-def l2_norm(weight) -> Column:
-    """Aggregate: sqrt(sum(w^2))."""
-    w = _c(weight)
-    return F.sqrt(F.sum(w * w))

@@ -119,7 +119,6 @@ def deletion_patterns(strings) -> list[str]:
     return out
 
 
-SPECIAL_PATTERNS = deletion_patterns(SPECIAL_CHARACTERS)
 PUNCTUATION_PATTERN = char_class(string.punctuation)
 QUOTE_PATTERN = char_class(ISOLATED_QUOTES)
 URL_PATTERN = "https://t.co/" + WORD_CLASS + "{%d}" % URL_PATTERN_BODY_LEN
