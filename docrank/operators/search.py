@@ -151,12 +151,21 @@ def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id",
     """Attach stored document columns to ranked rows, after ranking (late
     materialisation: documents are read for the top k only).
 
-    The ranked rows are persisted and counted first; within the bound they
-    are broadcast, so the document store is filtered map-side and never
-    shuffled. Beyond it a shuffle join is used."""
+    The ranked rows are persisted and counted first; within the bound their
+    ids are broadcast to a semi join, so the document store is filtered
+    map-side and never shuffled. An id stored several times yields one row:
+    the matching copies collapse to the smallest record by a partial
+    ``min(struct)`` aggregation, so a result row is never multiplied."""
     results = results.persist()
     small = at_most(results, max_broadcast_rows)
-    return maybe_broadcast(results, small).join(docs, id_col, "left")
+    ids = results.select(id_col).distinct()
+    matched = docs.join(maybe_broadcast(ids, small), id_col, "left_semi")
+    cols = [c for c in docs.columns if c != id_col]
+    if cols:
+        one = matched.groupBy(id_col).agg(F.min(F.struct(*cols)).alias("_doc")).select(id_col, "_doc.*")
+    else:
+        one = matched.distinct()
+    return results.join(maybe_broadcast(one, small), id_col, "left")
 
 
 def result_rows(results: DataFrame, fields, absent: dict[str, str] | None = None, score_col: str = "similarity",

@@ -145,3 +145,11 @@ def test_write_read_round_trip(spark, golden):
     assert {r["doc_id"] for r in idx.docs.collect()} == {"d1", "d2", "d3", "d4", "d5"}
     lists = {r["term"]: r["size"] for r in posting_lists(again).collect()}
     assert lists["moon"] == 2 and lists["law"] == 1
+
+
+def test_hydrate_one_row_per_id(spark):
+    from docrank.operators.search import hydrate
+    results = spark.createDataFrame([(0, 1, "a", 0.9), (0, 2, "b", 0.5)], "query_id long, rank long, doc_id string, similarity double")
+    store = spark.createDataFrame([("a", "x2"), ("a", "x1"), ("a", "x3"), ("c", "z")], "doc_id string, title string")
+    out = sorted((r["doc_id"], r["title"]) for r in hydrate(results, store).collect())
+    assert out == [("a", "x1"), ("b", None)]
