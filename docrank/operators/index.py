@@ -8,8 +8,9 @@ Tables (long form, one row per posting, never one huge row per term):
   norms     doc_id, norm double                   (0.0 for documents without terms)
 
 Plan shape of a build (see README "Plans"):
-  scan(id, text) -> clean/tokenise/stop-filter (codegen'd regex + array
-  filter) -> explode -> partial+final count by (doc_id, term)  [shuffle 1]
+  scan(id, text) -> clean/tokenise (regex) -> explode -> stop test on rows
+  (InSet, codegen) -> partial+final count by (doc_id, term)    [shuffle 1]
+  tf is persisted: the dictionary, the weights and the norms all read it
   -> partial+final count by term -> idf                        [small shuffle]
   -> postings = tf JOIN terms on term (the dictionary is broadcast after its
      size is proven; beyond the bound a pinned sort-merge join, never a
@@ -19,8 +20,8 @@ Plan shape of a build (see README "Plans"):
   nweight = weight/|d|, then sorts postings by (term, doc_id) with a range
   shuffle whose composite key lets a very frequent term span several files.
 
-N (corpus size) is a scalar subquery (``DataFrame.scalar()``), so the whole
-build stays one lazy plan and N is counted once per execution.
+N (corpus size) is a scalar subquery (``DataFrame.scalar()``): it stays in
+the plan, never passes through Python, and is counted once per execution.
 """
 
 from __future__ import annotations
