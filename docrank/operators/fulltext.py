@@ -14,11 +14,13 @@ WindowGroupLimit cuts to k per query before the ranking exchange.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrank.functions import text as T
-from docrank.functions.stem import stem_vocabulary
+from docrank.functions.stem import porter2, stem_vocabulary
 from docrank.operators.search import top_k
 from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
 
@@ -28,6 +30,7 @@ LABEL_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
 PAPER_FIELD_LABELS = (("id", "A"), ("title", "B"), ("categories", "C"))
 
 MAX_BROADCAST_QUERY_TERMS = 2_000_000
+FULLTEXT_STOP_SET = frozenset(T.FULLTEXT_STOPWORDS)
 
 
 def _is_word(term: Column) -> Column:
@@ -118,17 +121,34 @@ def fulltext_search_batch(lexemes: DataFrame, queries: DataFrame, k: int = 5, id
     return top_k(fulltext_scores(lexemes, qterms), k, digits=digits).select("query_id", "rank", "doc_id", "similarity")
 
 
+def fulltext_query_lexemes(spark, query: str, stem: bool = True) -> list[str]:
+    """Distinct OR-query lexemes of one query: Spark splits it (same
+    expression as the batch path); the few words are normalised on the
+    driver with the same rules (stop list and stemmer for letter-only words)."""
+    words = spark.range(1).select(T.query_words(F.lit(query).cast("string")).alias("w")).first()["w"] or []
+    out = set()
+    for w in words:
+        t = w.lower()
+        if re.fullmatch("[a-z]+", t):
+            if t in FULLTEXT_STOP_SET:
+                continue
+            t = porter2(t) if stem else t
+        out.add(t)
+    return sorted(out)
+
+
 def fulltext_search(lexemes: DataFrame, query: str, k: int = 5, stem: bool = True,
                     digits: int | None = 12) -> DataFrame:
     """(rank, doc_id, similarity) for one query; its lexemes are pushed into
     the lexeme scan as ``term IN (...)``."""
     require_positive_k(k)
     spark = lexemes.sparkSession
-    q = spark.createDataFrame([(0, query)], "query_id long, text string")
-    qterms = fulltext_query_terms(q, stem=stem)
-    words = [r["term"] for r in qterms.collect()]
+    words = fulltext_query_lexemes(spark, query, stem)
     if not words:
         return spark.createDataFrame([], "rank long, doc_id long, similarity double")
+    qterms = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(0).cast("long").alias("query_id"), F.lit(w).alias("term")) for w in words])).alias("r")
+    ).select("r.*")
     small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its lexemes were just counted
     scores = fulltext_scores(lexemes.where(F.col("term").isin(words)), qterms, small=small)
     return top_k(scores, k, digits=digits).select("rank", "doc_id", "similarity")

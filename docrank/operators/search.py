@@ -19,12 +19,14 @@ at query time; an unwritten one divides by |d| after the aggregation.
 
 from __future__ import annotations
 
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrank.functions import scoring
 from docrank.functions import text as T
-from docrank.functions.stem import stem_rows
+from docrank.functions.stem import porter2, stem_rows
 from docrank.operators.index import MAX_BROADCAST_NORMS, Index
 from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
 
@@ -117,21 +119,40 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5, id_col: str = "qu
     return top_k(scores, k, digits=digits).select("query_id", "rank", "doc_id", "similarity")
 
 
+def query_vector(index: Index, query: str) -> dict[str, int]:
+    """Term counts of one free-text query: Spark tokenises it with the same
+    expressions as the batch path (one stage, no shuffle); the handful of
+    tokens is counted, and stemmed with the same stemmer, on the driver."""
+    spark = index.spark
+    text = F.lit(query).cast("string")
+    kept = T.remove_stopwords(T.lowercase_tokens(T.clean_text(text)))
+    tokens = spark.range(1).select(kept.alias("t")).first()["t"] or []
+    if index.options.stem:
+        tokens = [porter2(t) for t in tokens]
+    return dict(Counter(tokens))
+
+
+def literal_query_terms(spark, vector: dict[str, int], query_id: int = 0) -> DataFrame:
+    """(query_id, term, qtf) as a JVM-side literal relation."""
+    rows = [F.struct(F.lit(query_id).cast("long").alias("query_id"), F.lit(t).alias("term"),
+                     F.lit(c).cast("long").alias("qtf")) for t, c in sorted(vector.items())]
+    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+
+
 def search(index: Index, query: str, k: int = 5, digits: int | None = DEFAULT_DIGITS) -> DataFrame:
     """Top-k documents for one free-text query: (rank, doc_id, similarity).
 
-    The query's few terms are resolved first and pushed into the postings scan
-    as ``term IN (...)``, so a term-sorted index reads only matching row groups.
-    """
+    The query's few terms are resolved first and pushed into the dictionary
+    and postings scans as ``term IN (...)``, so a term-sorted index reads only
+    matching row groups."""
     require_positive_k(k)
     spark = index.spark
-    q = spark.createDataFrame([(0, query)], "query_id long, text string")
-    qtf = query_terms(q, stem=index.options.stem)
-    words = [r["term"] for r in qtf.select("term").distinct().collect()]
-    if not words:
+    vector = query_vector(index, query)
+    if not vector:
         return spark.createDataFrame([], "rank long, doc_id long, similarity double")
-    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its term rows were just counted
-    qw = query_weights(index, qtf.where(F.col("term").isin(words)), small=small)
+    words = sorted(vector)
+    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its terms were just counted
+    qw = query_weights(index, literal_query_terms(spark, vector), small=small)
     postings = index.postings.where(F.col("term").isin(words))
     scores = dot_products(index, qw, small=small, postings=postings)
     ranked = scores.orderBy(
