@@ -153,3 +153,14 @@ def test_hydrate_one_row_per_id(spark):
     store = spark.createDataFrame([("a", "x2"), ("a", "x1"), ("a", "x3"), ("c", "z")], "doc_id string, title string")
     out = sorted((r["doc_id"], r["title"]) for r in hydrate(results, store).collect())
     assert out == [("a", "x1"), ("b", None)]
+
+
+def test_stemmed_single_equals_batch(spark):
+    from docrank.plans.catalog import part_papers
+    from docrank.sources.papers import SEARCH_FIELDS
+    papers = part_papers(spark, "/root/testdata/sf0.001")
+    idx = build_index(papers, "doc_id", SEARCH_FIELDS, stem=True)
+    qs = ["small rings and large plates", "Cold widgets", "economy bolts 7"]
+    batch = search_batch(idx, spark.createDataFrame(list(enumerate(qs)), "query_id long, text string"), 5)
+    for i, q in enumerate(qs):
+        assert _hits(batch.where(F.col("query_id") == i)) == _hits(search(idx, q, 5))
