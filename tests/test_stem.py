@@ -39,3 +39,24 @@ def test_vocabulary_job(spark):
     assert vocab == {"rings": "ring", "ring": "ring", "plates": "plate"}
     out = {(r["doc_id"], r["term"]): r["tf"] for r in stem_terms(df, ["doc_id"]).collect()}
     assert out == {("a", "ring"): 3, ("b", "plate"): 1}
+
+
+SAMPLE_WORDS = ("consign consigned consigning consignment consist consisted consistency consistent consistently "
+                "consisting consists consolation consolations consolatory console consoled consoles consolidate "
+                "consolidated consolidating consoling consolingly consols consonant consort consorted consorting "
+                "conspicuous conspicuously conspiracy conspirator conspirators conspire conspired conspiring constable "
+                "constables constance constancy constant knack knackeries knacks knag knave knaves knavish kneaded "
+                "kneading knee kneel kneeling kneels knees knell knelt knew knick knif knife knight knightly knights "
+                "knit knits knitted knitting knives knob knobs knock knocked knocker knockers knocking knocks knopp "
+                "knot knots").split()
+SAMPLE_STEMS = ("consign consign consign consign consist consist consist consist consist consist consist consol "
+                "consol consolatori consol consol consol consolid consolid consolid consol consol consol conson "
+                "consort consort consort conspicu conspicu conspiraci conspir conspir conspir conspir conspir "
+                "constabl constabl constanc constanc constant knack knackeri knack knag knave knave knavish knead "
+                "knead knee kneel kneel kneel knee knell knelt knew knick knif knife knight knight knight knit knit "
+                "knit knit knive knob knob knock knock knocker knocker knock knock knopp knot knot").split()
+
+
+def test_published_sample_vocabulary():
+    assert len(SAMPLE_WORDS) == len(SAMPLE_STEMS)
+    assert [porter2(w) for w in SAMPLE_WORDS] == SAMPLE_STEMS
