@@ -20,8 +20,8 @@ Plan shape of a build (see README "Plans"):
   nweight = weight/|d|, then sorts postings by (term, doc_id) with a range
   shuffle whose composite key lets a very frequent term span several files.
 
-N (corpus size) is a scalar subquery (``DataFrame.scalar()``): it stays in
-the plan, never passes through Python, and is counted once per execution.
+N (corpus size) is a scalar subquery (``DataFrame.scalar()``); a
+materialised build evaluates it once and carries the count as a literal.
 """
 
 from __future__ import annotations
@@ -182,6 +182,9 @@ def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: In
     cached: list[DataFrame] = []
     small = small_norms = None
     if materialize:
+        # N once, as a literal: a dictionary recomputed later (too large to
+        # cache for broadcast) must not rescan the corpus ids each time
+        n_docs = F.lit(tf.sparkSession.range(1).select(n_docs.cast("long")).first()[0]).cast("long")
         tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
         cached.append(tf)
     terms = document_frequency(tf, n_docs)
