@@ -189,12 +189,13 @@ def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: In
         cached.append(tf)
     terms = document_frequency(tf, n_docs)
     if materialize:
+        # the dictionary feeds the tf join, query weights and the write: cache
+        # it before the size check so the check's computation is the only one
+        terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
+        cached.append(terms)
         small = at_most(terms, MAX_BROADCAST_TERMS)  # also fills the tf cache
         for df in interim or ():
             df.unpersist()  # word-level counts and stems: tf is cached now
-        if small:
-            terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
-            cached.append(terms)
     weights = posting_weights(tf, terms, small)
     norms = document_norms(weights, doc_ids)
     if materialize:
