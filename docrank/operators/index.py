@@ -46,7 +46,7 @@ MAX_BROADCAST_NORMS = 5_000_000
 
 @dataclass(frozen=True)
 class IndexOptions:
-    stem: bool = False
+    stem: bool = True
     stop_case_sensitive: bool = True
 
     def to_json(self) -> str:
@@ -206,9 +206,10 @@ def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: In
                  small_norms=small_norms, cached=tuple(cached))
 
 
-def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem: bool = False,
+def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem: bool = True,
                 stop_case_sensitive: bool = True, store_cols=None, materialize: bool = True) -> Index:
-    """Index over ``df``.
+    """Index over ``df``. Stemming is on by default, as in the reference
+    pipeline; ``stem=False`` indexes lower-cased words.
 
     With ``materialize`` (default) the tokenise-and-count job runs once here
     (tf persisted) and the dictionary size is measured; postings, norms and

@@ -220,13 +220,13 @@ def q_cosine_topk_batch_conversations(spark, sf):
     """Conversation turns as records keyed by conv_id: the turns of one
     conversation add their counts under one id, N counts every turn."""
     conv = table(spark, sf, "conversations")
-    idx = IX.build_index(conv, "conv_id", ("text",))
+    idx = IX.build_index(conv, "conv_id", ("text",), stem=False)
     return SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
 
 
 def q_cosine_topk_batch_pages(spark, sf):
     """Raw web pages (long HTML text) as the corpus."""
-    idx = IX.build_index(table(spark, sf, "pages"), "page_id", ("html",))
+    idx = IX.build_index(table(spark, sf, "pages"), "page_id", ("html",), stem=False)
     return SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
 
 
@@ -302,14 +302,15 @@ def _halves(spark, sf):
 
 def q_merge_counts(spark, sf):
     a, b = _halves(spark, sf)
-    ta = IX.term_frequency(IX.corpus(a, "doc_id", ("text",)))
-    tb = IX.term_frequency(IX.corpus(b, "doc_id", ("text",)))
+    plain = IX.IndexOptions(stem=False)
+    ta = IX.term_frequency(IX.corpus(a, "doc_id", ("text",)), plain)
+    tb = IX.term_frequency(IX.corpus(b, "doc_id", ("text",)), plain)
     return merge_counts(ta, tb)
 
 
 def q_merge_index(spark, sf):
     a, b = _halves(spark, sf)
-    idx = merge_index(IX.build_index(a, "doc_id", ("text",)), b, "doc_id", ("text",))
+    idx = merge_index(IX.build_index(a, "doc_id", ("text",), stem=False), b, "doc_id", ("text",))
     return idx.postings.select("term", "doc_id", "tf", r6("idf"), r6("weight"))
 
 

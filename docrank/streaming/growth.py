@@ -43,7 +43,7 @@ def _set_current(spark: SparkSession, index_root: str, epoch: int, path: str) ->
 
 
 def apply_batch(batch: DataFrame, epoch: int, index_root: str, id_col: str = "doc_id", text_cols=("text",),
-                stem: bool = False, stop_case_sensitive: bool = True) -> bool:
+                stem: bool = True, stop_case_sensitive: bool = True) -> bool:
     """Merge one micro-batch into the current version; True when a new
     version was written."""
     spark = batch.sparkSession
@@ -64,7 +64,7 @@ def apply_batch(batch: DataFrame, epoch: int, index_root: str, id_col: str = "do
 
 
 def grow_index(spark: SparkSession, source_dir: str, schema: StructType, index_root: str, checkpoint_location: str,
-               id_col: str = "doc_id", text_cols=("text",), fmt: str = "parquet", stem: bool = False,
+               id_col: str = "doc_id", text_cols=("text",), fmt: str = "parquet", stem: bool = True,
                stop_case_sensitive: bool = True, available_now: bool = True,
                max_files_per_trigger: int | None = None) -> StreamingQuery:
     """Start the stream. ``available_now`` processes what is there and stops

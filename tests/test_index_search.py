@@ -21,7 +21,7 @@ def _hits(df):
 
 
 def test_golden_idf_and_norms(golden):
-    idx = build_index(golden)
+    idx = build_index(golden, stem=False)
     idf = {r["term"]: round(r["idf"], 6) for r in idx.terms.collect()}
     assert idf["moon"] == IDF2 and idf["rocket"] == IDF2
     assert all(idf[t] == IDF1 for t in "the fuel orbit law court engine".split())
@@ -31,7 +31,7 @@ def test_golden_idf_and_norms(golden):
 
 
 def test_golden_norms_case_insensitive(golden):
-    idx = build_index(golden, stop_case_sensitive=False)
+    idx = build_index(golden, stem=False, stop_case_sensitive=False)
     assert _norms(idx) == {"d1": 2.066269, "d2": 2.235437, "d3": 3.164806, "d4": 1.851993, "d5": 0.0}
 
 
@@ -43,12 +43,12 @@ def test_golden_norms_case_insensitive(golden):
      [("d3", 0.816134), ("d2", 0.221192), ("d1", 0.141335)]),
 ])
 def test_golden_queries(golden, query, default, insensitive):
-    assert _hits(search(build_index(golden), query, 5)) == default
-    assert _hits(search(build_index(golden, stop_case_sensitive=False), query, 5)) == insensitive
+    assert _hits(search(build_index(golden, stem=False), query, 5)) == default
+    assert _hits(search(build_index(golden, stem=False, stop_case_sensitive=False), query, 5)) == insensitive
 
 
 def test_batch_equals_singles(spark, golden):
-    idx = build_index(golden)
+    idx = build_index(golden, stem=False)
     qs = ["fly me to the moon", "moon rocket", "law law moon", "engine fuel court"]
     batch = search_batch(idx, spark.createDataFrame(list(enumerate(qs)), "query_id long, text string"), 3)
     for i, q in enumerate(qs):
@@ -57,7 +57,7 @@ def test_batch_equals_singles(spark, golden):
 
 
 def test_edge_cases(spark, golden):
-    idx = build_index(golden)
+    idx = build_index(golden, stem=False)
     assert search(idx, "zebra unicorn", 5).count() == 0          # only unknown terms
     assert search(idx, "the a in to me", 5).count() == 0          # only stop words
     with pytest.raises(ValueError):
@@ -137,7 +137,7 @@ def test_merge_equals_rebuild(spark):
 
 def test_write_read_round_trip(spark, golden):
     path = scratch_path(spark, "test-index-golden")
-    idx = write_index(build_index(golden), path)
+    idx = write_index(build_index(golden, stem=False), path)
     again = read_index(spark, path)
     assert _hits(search(again, "moon rocket", 5)) == [("d1", 0.627136), ("d2", 0.398258), ("d4", 0.349848)]
     terms = [r["term"] for r in spark.read.parquet(path + "/postings").collect()]

@@ -46,7 +46,7 @@ def main() -> None:
     built = C.doc_index(spark, sf)
     sections = [
         ("Term counts (tokenise, stop test, partial + final count; persisted)",
-         IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)))),
+         IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=False))),
         ("Postings written: tf ⋈ dictionary (broadcast, proven size) ⋈ norms (broadcast, proven size), range sort",
          IX.normalized_postings(built).orderBy("term", "doc_id")),
         ("Norms: narrow partial sums, one zero row per record", built.norms),
