@@ -108,7 +108,10 @@ def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col:
 def fulltext_scores(lexemes: DataFrame, qterms: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, doc_id, similarity) for documents matching any query lexeme."""
     if small is None:
+        qterms = qterms.persist()  # the size check's computation is reused below
         small = at_most(qterms, MAX_BROADCAST_QUERY_TERMS)
+        if not small:
+            qterms.unpersist()
     m = maybe_broadcast(qterms, small).join(lexemes.select("doc_id", "term", "weight"), "term")
     return m.groupBy("query_id", "doc_id").agg(F.sum("weight").alias("similarity"))
 

@@ -106,7 +106,12 @@ def cosine_scores(index: Index, queries: DataFrame, id_col: str = "query_id", te
                   small: bool | None = None) -> DataFrame:
     qtf = query_terms(queries, id_col, text_col, stem=index.options.stem)
     if small is None:
+        # cached first, so the size check's computation (with the stemming
+        # UDF) is the one the search reuses; dropped again beyond the bound
+        qtf = qtf.persist()
         small = at_most(qtf, MAX_BROADCAST_QUERY_TERMS)
+        if not small:
+            qtf.unpersist()
     qw = query_weights(index, qtf, small)
     return dot_products(index, qw, small)
 
