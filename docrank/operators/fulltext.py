@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from docrank.functions import text as T
-from docrank.functions.stem import porter2, stem_vocabulary
+from docrank.functions.stem import MAX_BROADCAST_VOCABULARY, porter2, stem_vocabulary
 from docrank.operators.search import top_k
 from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
 
@@ -49,6 +49,10 @@ def _normalise(rows: DataFrame, stem: bool) -> DataFrame:
     words = rows.where(is_w)
     others = rows.where(~is_w)
     stems = stem_vocabulary(words, "term")
+    # size proven before the broadcast; beyond the bound a pinned sort-merge
+    # join (never a broadcast of the lexeme rows). Not cached: the check and
+    # the join each compute the (small) vocabulary of the fields.
+    stems = F.broadcast(stems) if at_most(stems, MAX_BROADCAST_VOCABULARY) else stems.hint("shuffle_merge")
     stemmed = words.join(stems, words["term"] == stems["word"]).drop("term", "word").withColumnRenamed("stem", "term")
     return stemmed.unionByName(others)
 
