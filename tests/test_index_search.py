@@ -164,3 +164,19 @@ def test_stemmed_single_equals_batch(spark):
     batch = search_batch(idx, spark.createDataFrame(list(enumerate(qs)), "query_id long, text string"), 5)
     for i, q in enumerate(qs):
         assert _hits(batch.where(F.col("query_id") == i)) == _hits(search(idx, q, 5))
+
+
+def test_posting_list_blocks_are_bounded(spark):
+    from collections import defaultdict
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    idx = build_index(docs, stem=False)
+    df = {r["term"]: r["df"] for r in idx.terms.collect()}
+    per = defaultdict(list)
+    for r in posting_lists(idx, block_size=10).collect():
+        assert r["size"] == len(r["papers"])
+        per[r["term"]].append(r["size"])
+    assert set(per) == set(df)
+    for term, sizes in per.items():
+        assert sum(sizes) == df[term]
+        assert len(sizes) <= max(1, math.ceil(df[term] / 10))
+    assert max(df.values()) > 10 and max(len(v) for v in per.values()) > 1   # a frequent term is split
