@@ -41,9 +41,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is set by the deployment and must be a shared file
-    system. Only when it is unset (local tests) a fresh folder under the
-    system temp dir is created and registered.
+    A cluster must name one on a file system that all executors share; without
+    it this raises, because a local folder would scatter the files over the
+    executors' disks. Only a session on a ``local`` master gets a fresh folder
+    under the system temp dir.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -51,6 +52,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         configured = tempfile.mkdtemp(prefix="docrank-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
