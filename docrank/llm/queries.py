@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from docrank.llm.tables import held_out
+
 
 def _read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -30,8 +32,71 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; learnt from the rows that are not held out."""
+    from docrank.llm import langid
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    models = langid.train(docs, ~held_out("doc_id"))
+    out, names = langid.identify(docs.select("doc_id", "text"), models)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), F.col(names["lang_pred"]).alias("lang_pred"),
+                      F.col(names["score"]).alias("score"), F.col(names["margin"]).alias("margin"),
+                      F.col(names["rejected"]).alias("rejected"))
+
+
+def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that lie in a 10-word window of ``benchmark``."""
+    from docrank.llm.decontam import decontaminate, hit_words
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out, names = decontaminate(docs, _read(spark, sf_dir, "benchmark"))
+    hit = hit_words(names["spans"])
+    return out.select("doc_id", F.col(names["n_words"]).alias("n_words"), hit.alias("n_hit"),
+                      F.size(names["items"]).cast("long").alias("n_items"),
+                      F.sha2(F.array_join(names["items"], ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best vectors for every vector whose id is divisible by 20."""
+    from docrank.llm.topk import exact_topk
+
+    vectors = _read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return exact_topk(vectors.where("vec_id % 20 = 0"), vectors, 20)
+
+
+# The listed rules (host, path, verdict).
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdict for every page: a listed rule's, else the host reputation's. Bad: quality 0 or toxic 1."""
+    from docrank.llm.urls import url_filter
+
+    labels = _read(spark, sf_dir, "labels").select("doc_id", F.when(
+        F.col("quality").isNotNull() | F.col("toxic").isNotNull(),
+        (F.coalesce(F.col("quality") == 0, F.lit(False)) | F.coalesce(F.col("toxic") == 1, F.lit(False))).cast("int")).alias("bad"))
+    return url_filter(_read(spark, sf_dir, "pages").select("page_id", "url"), labels, URL_RULES).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document; labels learnt from the rows that are not held out."""
+    from docrank.llm import toxicity
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.train(docs, _read(spark, sf_dir, "labels").select("doc_id", "toxic"), ~held_out("doc_id"))
+    out, names = toxicity.score_toxicity(docs, model)
+    return out.select("doc_id", held_out("doc_id").alias("held_out"), F.col(names["score"]).alias("score"),
+                      F.col(names["predicted"]).alias("predicted"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_language_id": op2_language_id,
+    "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op7_exact_topk_search": op7_exact_topk_search,
+    "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 ORACLE_SQL: dict[str, str] = {}
