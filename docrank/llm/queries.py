@@ -56,6 +56,15 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.array_join(names["items"], ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document left after removal of 100-byte strings that also start earlier."""
+    from docrank.llm.repeats import remove_repeats
+
+    out, names = remove_repeats(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", *(F.col(names[k]).alias(k) for k in ("n_bytes", "n_removed", "n_spans")),
+                      F.sha2(names["kept"], 256).alias("kept_sha256"))
+
+
 def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 best vectors for every vector whose id is divisible by 20."""
     from docrank.llm.topk import exact_topk
@@ -94,6 +103,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_topk_search": op7_exact_topk_search,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
