@@ -56,6 +56,15 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.array_join(names["items"], ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Component of every document under links of 90 % Jaccard similarity of 3-word shingles."""
+    from docrank.llm.jaccard import near_copies
+
+    out, names = near_copies(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.col(names["n_shingles"]).alias("n_shingles"), F.col(names["component"]).alias("component_id"),
+                      F.col(names["n_links"]).alias("n_links"))
+
+
 def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes of every document left after removal of 100-byte strings that also start earlier."""
     from docrank.llm.repeats import remove_repeats
@@ -103,6 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_topk_search": op7_exact_topk_search,
     "op9_url_filter": op9_url_filter,

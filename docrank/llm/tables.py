@@ -35,8 +35,8 @@ def fresh(df: DataFrame, name: str) -> str:
     return name
 
 
-def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame:
-    """``docs`` with a long column ``key`` that orders and tells apart its texts.
+def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> tuple[DataFrame, bool]:
+    """``docs`` with a long column ``key`` that orders and tells apart its texts, and whether it is the id.
 
     Usually the id itself. Only where ids repeat or are null, the distinct
     (id, hash of text) pairs are numbered in that order, nulls first, so rows
@@ -45,7 +45,7 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame
     ids = docs.select(F.col(id_col).cast("long").alias("id"))
     clash = ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL")
     if not clash.limit(1).count():
-        return docs.withColumn(key, F.col(id_col).cast("long"))
+        return docs.withColumn(key, F.col(id_col).cast("long")), True
     pairs = docs.select(F.col(id_col).cast("long").alias("id"), F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)
                         .alias("print")).distinct()
     parts = saved(pairs.repartitionByRange(F.col("id").asc_nulls_first(), F.col("print"))
@@ -54,4 +54,4 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> DataFrame
     joined = docs.withColumn("__print", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("d").join(
         parts.alias("k"), F.col("d." + id_col).cast("long").eqNullSafe(F.col("k.id"))
         & (F.col("d.__print") == F.col("k.print")))
-    return joined.select("d.*", f"k.{key}").drop("__print")
+    return joined.select("d.*", f"k.{key}").drop("__print"), False
