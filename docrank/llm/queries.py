@@ -56,6 +56,15 @@ def op3_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
                       F.sha2(F.array_join(names["items"], ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
 
 
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Perplexity of every document under the model of well labelled text, and whether its language keeps it."""
+    from docrank.llm.quality import quality_filter
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    out, names = quality_filter(docs, _read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    return out.select("doc_id", "lang", *(F.col(names[k]).alias(k) for k in ("n_grams", "perplexity", "threshold", "keep")))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Component of every document under links of 90 % Jaccard similarity of 3-word shingles."""
     from docrank.llm.jaccard import near_copies
@@ -82,6 +91,14 @@ def op7_exact_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_topk(vectors.where("vec_id % 20 = 0"), vectors, 20)
 
 
+def op8_license_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements of every document: a row per document and template found."""
+    from docrank.llm.licenses import scan_licenses
+
+    out, name = scan_licenses(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", F.explode(name).alias("found")).select("doc_id", "found.*")
+
+
 # The listed rules (host, path, verdict).
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
 
@@ -112,9 +129,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
     "op3_benchmark_decontamination": op3_benchmark_decontamination,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_suffix_array_dedup": op6_suffix_array_dedup,
     "op7_exact_topk_search": op7_exact_topk_search,
+    "op8_license_scans": op8_license_scans,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
 }
