@@ -254,10 +254,10 @@ def _tile(percent: int):
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
                 part_rows: int = 512, part_shingles: int = 1 << 20, shard_bytes: int = 16 << 20,
                 max_frequent: int = 1 << 16) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with n_shingles, component (the id of its first document) and n_links, and the names these got."""
+    """``docs`` with n_shingles, component (the id of its first document), n_links and first (it is that document), and the names these got."""
     if not 50 <= percent <= 100:
         raise ValueError("percent is 50 to 100")
-    names = {c: fresh(docs, c) for c in ("n_shingles", "component", "n_links")}
+    names = {c: fresh(docs, c) for c in ("n_shingles", "component", "n_links", "first")}
     key = fresh(docs, "row_key")
     keyed, unique = row_keys(docs, id_col, text_col, key)
     src = keyed.select(F.col(key).alias("key"), F.col(text_col).cast("string").alias("text"))
@@ -301,7 +301,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         (F.coalesce("links", F.lit(0)) + F.col("weight") - 1).alias("links"))
     of_row = known.join(of_set, ["a", "b", "n"], "left").select(
         F.col("key").alias(key), F.col("n").alias(names["n_shingles"]),
-        F.coalesce("component", "key").alias(names["component"]), F.coalesce("links", F.lit(0)).cast("long").alias(names["n_links"]))
+        F.coalesce("component", "key").alias(names["component"]), F.coalesce("links", F.lit(0)).cast("long").alias(names["n_links"]),
+        (F.coalesce("component", "key") == F.col("key")).alias(names["first"]))
     if not unique:
         ids = keyed.select(F.col(key).alias(names["component"]), F.col(id_col).alias("first_id")).distinct()
         of_row = of_row.join(ids, names["component"]).withColumn(names["component"], F.col("first_id")).drop("first_id")
