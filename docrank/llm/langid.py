@@ -8,8 +8,8 @@ its margin is below ``min_margin``; texts of fewer than ``min_letters`` letters
 are not rejected for that, since a byte is too coarse for them. Equal sizes go
 to the language with more training documents.
 
-Training: of the rows with text and language that are not held out, the
-``samples`` with the smallest hash for each language give a snippet of
+Training: of the rows with text and language that are not held out, about
+``samples`` for each language, chosen by hash, give a snippet of
 ``snippet`` characters from a hashed place, up to ``dictionary`` bytes a
 language. This bounded sample is all that is collected; scoring is one narrow
 pass over all rows.
@@ -28,12 +28,12 @@ from collections.abc import Iterator
 import pyarrow as pa
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docrank.llm import zdict
-from docrank.llm.tables import fresh
+from docrank.llm.tables import fresh, hashed_sample
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -50,9 +50,8 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
         F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("h"),
         F.substring(text, F.pmod(F.xxhash64(text), F.greatest(n - snippet, F.lit(0)) + 1).cast("int") + 1, F.lit(snippet)).alias("part"))
     counts = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("lang").orderBy("h", "part")
     parts: dict[str, list[bytes]] = {lang: [] for lang in counts}
-    for r in rows.withColumn("k", F.row_number().over(order)).where(F.col("k") <= samples).sort("lang", "k").toLocalIterator():
+    for r in hashed_sample(rows, "lang", [F.col("h"), F.col("part")], samples).sort("lang", "h", "part").toLocalIterator():
         if (t := zdict.letters(r["part"]).encode()) and t not in parts[r["lang"]][-1:]:
             parts[r["lang"]].append(t)
     out = []

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrank.session import scratch_path
@@ -27,6 +28,18 @@ def held_out(id_col: str):
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit("")).cast("binary")) % 5 == 0
 
 
+def hashed_sample(df: DataFrame, by: str, order: list[Column], most: int, parts: int = 16) -> DataFrame:
+    """About ``most`` rows for each value of ``by``: the first by ``order`` (a hash first) in each of ``parts`` hash classes.
+
+    The classes split a value that most rows have, and keep each limit small
+    enough that Spark applies it before rows are shuffled.
+    """
+    part, k = fresh(df, "part"), fresh(df, "k")
+    dealt = df.withColumn(part, F.pmod(F.shiftright(order[0], 7), F.lit(parts)))
+    window = Window.partitionBy(by, part).orderBy(*order)
+    return dealt.withColumn(k, F.row_number().over(window)).where(F.col(k) <= math.ceil(most / parts)).drop(k, part)
+
+
 def fresh(df: DataFrame, name: str) -> str:
     """``name``, or ``name`` with underscores before it until no column of ``df`` has it (any case)."""
     taken = {c.lower() for c in df.columns}
