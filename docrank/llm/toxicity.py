@@ -1,18 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on toxic, one on ordinary text. Both
-end with the same ordinary prose; before it each holds the words that mark its
-class: for toxic text, words chosen one by one for the character n-grams in
-them that occur in toxic rather than ordinary documents (and that no chosen
-word has), for ordinary text its most frequent other words. A window of text
-that holds a toxic word, or an unseen word on the same stem, is then shorter
-under the toxic dictionary; other windows come out alike. A document's features
+Two zstandard dictionaries are trained: one on ordinary text, its prose, and one
+on toxic text: prose and the words that mark toxic documents, chosen one by one
+for the character n-grams in them that occur in toxic rather than ordinary
+documents and that no chosen word has. A window of text that holds a toxic
+word, or an unseen word on the same stem, is shorter under the toxic dictionary;
+other windows come out alike, because the prose and the distances to it are the
+same in both. A document's features
 are drawn from the length differences of all its windows (largest, sum of the
 three largest, mean, share over a threshold, number of windows); a logistic
 regression on the training sample calibrates them to a probability.
 
-Training sample: of the labelled rows that are not held out, the ``samples`` of
-each class with the smallest hash, each with at most ``most`` characters from a
+Training sample: of the labelled rows that are not held out, about ``samples`` of
+each class, chosen by hash, each with at most ``most`` characters from a
 hashed place. It is written once; n-gram and word counts are Spark
 aggregations over it, of which the strongest few thousand rows come to the
 driver, as do the sample's features. Scoring is one narrow pass over whole
@@ -35,18 +35,19 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from docrank.llm import zdict
-from docrank.llm.tables import fresh, saved
+from docrank.llm.tables import fresh, hashed_sample, saved
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 WINDOW = 120
 GRAM = 5
-PARAMETERS = dict(window_log=17, hash_log=14, chain_log=14, search_log=6, min_match=4, strategy=zstandard.STRATEGY_LAZY2)
+PARAMETERS = dict(window_log=17, hash_log=16, chain_log=16, search_log=6, min_match=4, strategy=zstandard.STRATEGY_LAZY2)
+SURE = 9.0
 FLOOR = 2  # bytes that a window must gain to count as marked
 
 
@@ -90,12 +91,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, usable: Column, id_col:
     marks = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & usable).groupBy("doc_id").agg(
         F.max(F.col("toxic").cast("int")).alias("toxic"))
     totals = {r["toxic"]: r["n"] for r in marks.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = marks.withColumn("k", F.row_number().over(order)).where(F.col("k") <= samples).select(
+    chosen = hashed_sample(marks, "toxic", [F.xxhash64("doc_id"), F.col("doc_id")], samples).select(
         F.col("doc_id").alias("_id"), "toxic")
     text, n = F.col(text_col), F.length(text_col)
     part = F.substring(text, F.pmod(F.xxhash64(text), F.greatest(n - most, F.lit(0)) + 1).cast("int") + 1, F.lit(most))
-    # At most two times ``samples`` pairs of a number and a flag: a proven bound for the broadcast.
+    # At most ``samples`` rows for each label value, pairs of a number and a flag: a proven bound for the broadcast.
     rows = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("_id")).where(text.isNotNull()).select(
         part.alias("text"), "toxic")
     return saved(rows, "toxicity"), totals
@@ -154,7 +154,7 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float
 
 
 def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc_id", text_col: str = "text",
-          samples: int = 6000, most: int = 8000, prose: int = 64 << 10) -> Model:
+          samples: int = 6000, most: int = 8000, prose: int = 48 << 10) -> Model:
     """Dictionaries and calibration from the bounded sample. ``usable``: on ``labels``, rows to learn from."""
     sample, totals = training_sample(docs, labels, usable, id_col, text_col, samples, most)
     n = {r["toxic"]: r["n"] for r in sample.groupBy((F.col("toxic") > 0).cast("int").alias("toxic")).agg(F.count("*").alias("n")).collect()}
@@ -163,8 +163,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
         share = 0.0 if not n1 else 1.0
         return Model(b"ordinary", b"ordinary", np.r_[np.zeros(5), 30.0 if share else -30.0], np.zeros(5), np.ones(5))
     odds = F.log((F.col("n1") + 0.5) / (n1 + 1)) - F.log((F.col("n0") + 0.5) / (n0 + 1))
+    # Divergence of the n-gram's class shares from the sample's, times its documents: chance alone rarely passes SURE.
+    of, base = F.col("n1") + F.col("n0"), n1 / (n0 + n1)
+    sure = F.col("n1") * F.log(F.col("n1") / of / base) + F.when(F.col("n0") > 0, F.col("n0") * F.log(F.col("n0") / of / (1 - base))).otherwise(0.0)
     marked = _counts(sample, lambda ws: {g for w in ws for g in grams(w)}).where(
-        (odds > 1.5) & (F.col("n1") >= max(3, n1 // 500))).withColumn("worth", F.col("n1") * odds)
+        (odds > 1.5) & (F.col("n1") >= max(3, n1 // 500)) & (sure > SURE)).withColumn("worth", F.col("n1") * odds)
     worth = {r["item"]: r["worth"] for r in marked.orderBy(F.desc("worth"), "item").limit(4000).collect()}
     words = _counts(sample, lambda ws: ws)
     shared = docs.sparkSession.sparkContext.broadcast(set(worth))
@@ -176,13 +179,11 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column, id_col: str = "doc
     holders = words.where("n1 > 0").mapInArrow(holding, words.schema)
     candidates = [r["item"] for r in holders.orderBy(F.desc(F.col("n1") * odds), "item").limit(4000).collect()]
     chosen = choose_words(candidates, worth)
-    size, common = len(" ".join(chosen).encode()), []
-    for r in words.where(odds <= 0).orderBy(F.desc("n0"), "item").limit(len(chosen) * 4 + 100).collect():
-        if len(" ".join(common).encode()) < size:
-            common.append(r["item"])
     text = " ".join(zdict.letters(r["text"][:400]) for r in sample.where("toxic = 0").orderBy(F.xxhash64("text"), "text").limit(prose // 200).collect())
     tail = text.encode()[:prose]
-    toxic, ordinary = (" ".join(reversed(ws)).encode() + b" " + tail for ws in (chosen, common))
+    marks = " ".join(reversed(chosen)).encode() + b" "
+    # Digits never occur in normal text: they only keep the distances to the prose alike.
+    toxic, ordinary = tail + b" " + marks, tail + b" " + (b"0123456789" * (len(marks) // 10 + 1))[: len(marks)]
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         meter = Meter(toxic, ordinary)
