@@ -138,4 +138,79 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_toxicity": op10_toxicity,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# SQL for DuckDB where it states the operator; the others are tested against brute force, round trips or held-out accuracy.
+_RULES = """CASE
+  WHEN (host = 'example.net' OR suffix(host, '.example.net')) AND prefix(path, '/en/') THEN 'example.net/en/'
+  WHEN (host = 'example.com' OR suffix(host, '.example.com')) AND prefix(path, '/de/') THEN 'example.com/de/'
+  WHEN (host = 'org' OR suffix(host, '.org')) AND prefix(path, '/fr/') THEN 'org/fr/'
+  WHEN (host = 'net' OR suffix(host, '.net')) AND prefix(path, '/') THEN 'net/' END"""
+
+
+def _strength_sql(level: str) -> str:
+    """Prior strength of a level table with n, bad and prior, as one row (k)."""
+    return f"""SELECT CASE WHEN count(*) = 0 OR sum(n) <= count(*) THEN 1.0 ELSE (1 - r) / r END AS k FROM (
+      SELECT n, greatest(least((sum(n * (bad / n - prior) ** 2 / (prior * (1 - prior))) OVER () - count(*) OVER ()) / (sum(n) OVER () - count(*) OVER ()), 0.999), 1e-4) AS r
+      FROM {level} WHERE n > 0) GROUP BY r"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_decontamination": r"""
+WITH words AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+') AS w
+  FROM benchmark WHERE item_id IS NOT NULL),
+windows AS (
+  SELECT DISTINCT CAST(item_id AS VARCHAR) AS item_id, w[j:j + 9] AS win
+  FROM (SELECT item_id, w, unnest(range(1, greatest(len(w) - 10, 0) + 2)) AS j FROM items WHERE len(w) > 0)),
+sizes AS (SELECT DISTINCT len(win) AS n FROM windows),
+places AS (
+  SELECT doc_id, j, n, w[j:j + n - 1] AS win
+  FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS j FROM words, sizes WHERE len(w) >= n)),
+found AS (SELECT p.doc_id, p.j, p.n, x.item_id FROM places p JOIN windows x ON p.win = x.win),
+hit AS (SELECT doc_id, count(DISTINCT k) AS n_hit FROM (SELECT doc_id, unnest(range(j, j + n)) AS k FROM found) GROUP BY doc_id),
+named AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM words LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op7_exact_topk_search": """
+WITH v AS (
+  SELECT vec_id, [CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE) for x in embedding] AS x FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len([x for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 20 = 0)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored) WHERE rank <= 20""",
+    "op9_url_filter": f"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN contains(coalesce(url, ''), '://') THEN substr(url, strpos(url, '://') + 3) END AS rest FROM pages),
+base AS (
+  SELECT page_id, translate(coalesce(regexp_extract(rest, '^([^/?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path FROM cut),
+marks AS (
+  SELECT doc_id AS page_id, max(CAST(coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS INTEGER)) AS bad FROM labels
+  WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
+h0 AS (
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.') AS p FROM base LEFT JOIN marks USING (page_id) GROUP BY host),
+h1 AS (
+  SELECT *, CASE WHEN len(p) >= 2 AND array_to_string(p[greatest(len(p) - 1, 1):], '.') IN ({", ".join(f"'{s}'" for s in
+      ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "com.ar", "com.au", "com.br", "com.cn",
+       "com.mx", "com.tr", "gov.uk", "ne.jp", "net.au", "or.jp", "org.au", "org.uk"])}) THEN 2 ELSE 1 END AS labels FROM h0),
+h2 AS (
+  SELECT host, n, bad, array_to_string(p[greatest(len(p) - labels + 1, 1):], '.') AS suf,
+         array_to_string(p[greatest(len(p) - labels, 1):], '.') AS dom FROM h1),
+s AS (SELECT suf, sum(n) AS n, sum(bad) AS bad, (SELECT (sum(bad) + 0.5) / (sum(n) + 1.0) FROM h2) AS prior FROM h2 GROUP BY suf),
+sk AS ({_strength_sql("s")}),
+sm AS (SELECT suf, (bad + k * prior) / (n + k) AS mean FROM s, sk),
+d AS (SELECT suf, dom, sum(n) AS n, sum(bad) AS bad, any_value(mean) AS prior FROM h2 JOIN sm USING (suf) GROUP BY suf, dom),
+dk AS ({_strength_sql("d")}),
+dm AS (SELECT suf, dom, (bad + k * prior) / (n + k) AS mean FROM d, dk),
+h AS (SELECT host, n, bad, mean AS prior FROM h2 JOIN dm USING (suf, dom)),
+hk AS ({_strength_sql("h")}),
+hm AS (SELECT host, n, k, (bad + k * prior) / (n + k) AS mean FROM h, hk),
+judged AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0.5 AS bad_host FROM hm),
+ruled AS (SELECT page_id, host, path, {_RULES} AS rule FROM base)
+SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
+  WHEN bad_host THEN 'block' ELSE 'allow' END AS verdict FROM ruled JOIN judged USING (host)""",
+}
