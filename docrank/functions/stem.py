@@ -1,18 +1,18 @@
-"""English (Porter2 / Snowball) stemming as a Spark job over the distinct
-vocabulary.
+"""English (Porter2 / Snowball) stemming in Arrow batches.
 
 ``porter2`` is a small per-word helper written from the published algorithm.
-Spark never stems per occurrence: callers aggregate (doc, word) counts, take
-the distinct words, stem them with an Arrow-batched pandas UDF, join the stems
-back and re-aggregate by (doc, stem). See ``stem_terms``.
+The batch functions call it once per distinct word of an Arrow batch, on
+counts that are already aggregated by (doc, word), and the counts are summed
+again by (doc, stem). See ``stem_terms``.
 """
 
 from __future__ import annotations
 
+import re
 import sys
 
 import pandas as pd
-from pyspark import StorageLevel, cloudpickle
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -194,7 +194,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 @F.pandas_udf(T.StringType())
 def stem_udf(words: pd.Series) -> pd.Series:
-    """Arrow-batched stemming; the caller feeds it distinct words only."""
+    """Stems of a batch of words, one lookup per distinct word."""
     table = {w: porter2(w) for w in words.dropna().unique()}
     return words.map(table)
 
@@ -209,40 +209,20 @@ def stem_vocabulary(words: DataFrame, word_col: str = "term") -> DataFrame:
     return vocab.select("word", stem("word").alias("stem"))
 
 
-# Vocabulary rows up to which the (word, stem) table is broadcast.
-MAX_BROADCAST_VOCABULARY = 5_000_000
+@F.pandas_udf(T.ArrayType(T.StringType()))
+def stem_words_udf(lists: pd.Series) -> pd.Series:
+    """Letter-only words of each list stemmed, others unchanged; one lookup per distinct word of a batch."""
+    words = {w for ws in lists if ws is not None for w in ws}
+    table = {w: porter2(w) if re.fullmatch("[a-z]+", w) else w for w in words}
+    return lists.map(lambda ws: None if ws is None else [table[w] for w in ws])
 
 
-def stem_terms(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "tf",
-               cache: list | None = None) -> DataFrame:
+def stem_terms(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "tf") -> DataFrame:
     """Replace each term of an aggregated count table by its stem and re-sum.
 
-    ``counts`` has one row per (key..., term). The vocabulary job stems each
-    distinct term once; the re-aggregation sums counts of words sharing a
-    stem (partial aggregation first).
-
-    With ``cache`` (a list collecting persisted frames) the counts and the
-    stem table are persisted, the stem table's size is proven, and the join
-    back is a broadcast of the stem table within the bound, or a pinned
-    sort-merge join beyond it (never a broadcast of the counts). Without it
-    the join is left to the planner.
+    The stemmer runs on Arrow batches of the counts, once per distinct word of a
+    batch: no vocabulary table, no join, so no word gathers its rows anywhere.
+    The re-aggregation sums counts of words that share a stem.
     """
-    from docrank.operators.util import at_most  # operators depend on functions, not the reverse
-
-    stems = stem_vocabulary(counts, term_col)
-    if cache is not None:
-        counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
-        stems = stems.persist(StorageLevel.MEMORY_AND_DISK)
-        cache.extend([counts, stems])
-        stems = F.broadcast(stems) if at_most(stems, MAX_BROADCAST_VOCABULARY) else stems.hint("shuffle_merge")
-    joined = counts.join(stems, counts[term_col] == stems["word"])
-    return joined.groupBy(*key_cols, F.col("stem").alias(term_col)).agg(
-        F.sum(count_col).cast("long").alias(count_col)
-    )
-
-
-def stem_rows(counts: DataFrame, key_cols: list[str], term_col: str = "term", count_col: str = "qtf") -> DataFrame:
-    """Stem a small count table row by row (a query batch: its rows are
-    already distinct per key and word) and re-sum by stem."""
     return counts.withColumn(term_col, stem(term_col)).groupBy(*key_cols, term_col).agg(
         F.sum(count_col).cast("long").alias(count_col))

@@ -6,32 +6,34 @@ score of a document is the sum of the label weights of its positions whose
 lexeme is one of the query's (distinct) lexemes; document repeats count,
 query repeats do not. Both sides are split on non-alphanumeric runs.
 
-Plan: lexemes are a long table (doc_id, field, label, weight, pos, term).
-Query lexemes (distinct per query) are broadcast after a size proof and
-joined on term; a partial+final sum by (query_id, doc_id) gives the score;
-WindowGroupLimit cuts to k per query before the ranking exchange.
+Plan: lexemes are a long table (doc_id, field, label, weight, pos, term),
+made in one pass over the records: stop words and stems are decided per
+token, without a vocabulary table or a join. A written weighted index holds
+one row per (term, doc_id) with the summed weight, in folders by a hash of the
+term like the postings of the cosine index. Query lexemes (distinct per
+query) are broadcast once their bytes are known to be few; a partial+final
+sum by (query_id, doc_id) gives the score; WindowGroupLimit cuts to k per
+query before the ranking exchange. One query is a batch of one.
 """
 
 from __future__ import annotations
 
-import re
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrank.functions import text as T
-from docrank.functions.stem import MAX_BROADCAST_VOCABULARY, porter2, stem_vocabulary
-from docrank.operators.search import top_k
-from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
+from docrank.functions.stem import stem, stem_words_udf
+from docrank.operators.index import by_bucket, published_versions, term_bucket
+from docrank.operators.search import one_query, top_k
+from docrank.operators.util import fits, require_positive_k, split_join
 
 # Default label weights of the cover-density rank.
 LABEL_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
 # Field labels of the paper table: id A, title B, categories C.
 PAPER_FIELD_LABELS = (("id", "A"), ("title", "B"), ("categories", "C"))
 
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
-FULLTEXT_STOP_SET = frozenset(T.FULLTEXT_STOPWORDS)
-
 
 def _is_word(term: Column) -> Column:
     """Letters only: such tokens go through the stop list and the stemmer;
@@ -39,46 +41,35 @@ def _is_word(term: Column) -> Column:
     return term.rlike("^[a-z]+$")
 
 
-def _normalise(rows: DataFrame, stem: bool) -> DataFrame:
-    """Drop stop words among letter-only tokens and stem them (vocabulary
-    job); digit-bearing tokens and NULL terms pass unchanged."""
-    is_w = F.coalesce(_is_word(F.col("term")), F.lit(False))
-    rows = rows.where(~(is_w & T.is_stopword(F.col("term"), T.FULLTEXT_STOPWORDS)))
-    if not stem:
+def _normalise(rows: DataFrame, stemmed: bool) -> DataFrame:
+    """Drop stop words among letter-only tokens and stem them in Arrow batches;
+    digit-bearing tokens pass unchanged."""
+    rows = rows.where(~(_is_word(F.col("term")) & T.is_stopword(F.col("term"), T.FULLTEXT_STOPWORDS)))
+    if not stemmed:
         return rows
-    words = rows.where(is_w)
-    others = rows.where(~is_w)
-    stems = stem_vocabulary(words, "term")
-    # size proven before the broadcast; beyond the bound a pinned sort-merge
-    # join (never a broadcast of the lexeme rows). Not cached: the check and
-    # the join each compute the (small) vocabulary of the fields.
-    stems = F.broadcast(stems) if at_most(stems, MAX_BROADCAST_VOCABULARY) else stems.hint("shuffle_merge")
-    stemmed = words.join(stems, words["term"] == stems["word"]).drop("term", "word").withColumnRenamed("stem", "term")
-    return stemmed.unionByName(others)
-
-
-def fulltext_lexemes(df: DataFrame, id_col: str, fields=PAPER_FIELD_LABELS, stem: bool = True,
-                     carry=(), keep_empty: bool = False) -> DataFrame:
-    """(doc_id, field, label, weight, pos, term [, carry...]): one row per kept
-    lexeme position; positions count every token of the field, stop words
-    too. ``keep_empty`` keeps one NULL-term row for a field without tokens."""
+    return rows.withColumn("term", F.when(_is_word(F.col("term")), stem("term")).otherwise(F.col("term")))
+
+
+def fulltext_lexemes(df: DataFrame, id_col: str, fields=PAPER_FIELD_LABELS, stem: bool = True) -> DataFrame:
+    """(doc_id, field, label, weight, pos, term): one row per kept lexeme
+    position; positions count every token of the field, stop words too."""
     entries = F.array(*[
         F.struct(F.lit(name).alias("field"), F.lit(label).alias("label"),
                  F.coalesce(F.col(name).cast("string"), F.lit("")).alias("text"))
         for name, label in fields
     ])
-    carry = [c for c in carry]
-    per_field = df.select(F.col(id_col).alias("doc_id"), *carry, F.explode(entries).alias("f"))
-    explode = F.posexplode_outer if keep_empty else F.posexplode
+    per_field = df.select(F.col(id_col).alias("doc_id"), F.explode(entries).alias("f"))
     toks = per_field.select(
-        "doc_id", *carry, F.col("f.field").alias("field"), F.col("f.label").alias("label"),
-        explode(T.lexeme_tokens(F.col("f.text"))).alias("pos", "term"),
+        "doc_id", F.col("f.field").alias("field"), F.col("f.label").alias("label"),
+        F.posexplode(T.lexeme_tokens(F.col("f.text"))).alias("pos", "term"),
     )
     lex = _normalise(toks, stem)
-    weight = F.element_at(F.create_map(*[x for k, v in LABEL_WEIGHTS.items() for x in (F.lit(k), F.lit(v))]),
-                          F.col("label"))
-    return lex.select("doc_id", "field", "label", weight.alias("weight"), F.col("pos").cast("int").alias("pos"),
-                      "term", *carry)
+    return lex.select("doc_id", "field", "label", _weight(F.col("label")).alias("weight"),
+                      F.col("pos").cast("int").alias("pos"), "term")
+
+
+def _weight(label: Column) -> Column:
+    return F.element_at(F.create_map(*[x for k, v in LABEL_WEIGHTS.items() for x in (F.lit(k), F.lit(v))]), label)
 
 
 def build_fulltext(df: DataFrame, id_col: str = "id", fields=PAPER_FIELD_LABELS, stem: bool = True,
@@ -86,19 +77,68 @@ def build_fulltext(df: DataFrame, id_col: str = "id", fields=PAPER_FIELD_LABELS,
     """Add the weighted lexeme list as column ``column`` unless the table
     already has it: array<struct<field, pos, term, label, weight>> per record.
 
-    One pass: each record's fields are exploded with its own columns carried
-    along, then grouped by a per-record id, so a group never exceeds one
-    record's lexemes however often an id repeats, and nothing is joined back."""
+    A projection of each record: tokens of a field are numbered, stop words
+    dropped, the rest stemmed as one list; no shuffle, whatever ids repeat."""
     if column in df.columns:
         return df
-    cols = df.columns
-    rec = df.select(F.struct(*cols).alias("_row"), *[F.col(name) for name, _ in fields],
-                    F.monotonically_increasing_id().alias("_rid"))
-    lex = fulltext_lexemes(rec, "_rid", fields, stem, carry=["_row"], keep_empty=True)
-    entry = F.when(F.col("term").isNotNull(), F.struct("field", "pos", "term", "label", "weight"))
-    packed = lex.groupBy("doc_id").agg(F.first("_row").alias("_row"),
-                                       F.sort_array(F.collect_list(entry)).alias(column))
-    return packed.select("_row.*", column)
+    lists = []
+    for name, label in fields:
+        tokens = F.transform(T.lexeme_tokens(F.coalesce(F.col(name).cast("string"), F.lit(""))),
+                             lambda t, i: F.struct(t.alias("t"), i.cast("int").alias("i")))
+        kept = F.filter(tokens, lambda x: ~(_is_word(x["t"]) & T.is_stopword(x["t"], T.FULLTEXT_STOPWORDS)))
+        words = F.transform(kept, lambda x: x["t"])
+        words = stem_words_udf(words) if stem else words
+        lists.append(F.zip_with(kept, words, _entry(name, label)))
+    return df.withColumn(column, F.sort_array(F.concat(*lists)))
+
+
+def _entry(name: str, label: str):
+    return lambda x, word: F.struct(F.lit(name).alias("field"), x["i"].alias("pos"), word.alias("term"),
+                                    F.lit(label).alias("label"), F.lit(LABEL_WEIGHTS[label]).alias("weight"))
+
+
+def stored_lexemes(df: DataFrame, id_col: str = "id", column: str = "search_txt") -> DataFrame:
+    """The lexeme rows of a table that has the column ``build_fulltext`` adds; texts are not read."""
+    return df.select(F.col(id_col).alias("doc_id"), F.explode(column).alias("x")).select(
+        "doc_id", "x.field", "x.label", "x.weight", "x.pos", "x.term")
+
+
+@dataclass
+class WeightedIndex:
+    """One row per (term, doc_id) with the summed ``weight``, in ``buckets`` folders by term; ``sizes``: term, n."""
+
+    lexemes: DataFrame
+    sizes: DataFrame
+    buckets: int
+
+
+def write_fulltext(lexemes: DataFrame, path: str) -> WeightedIndex:
+    """Write lexemes as a new version at ``path``; the version before it stays until the new one is published."""
+    spark, base = lexemes.sparkSession, path.rstrip("/")
+    version = max(published_versions(spark, base), default=0) + 1
+    data = f"{base}/data/version={version}"
+    lexemes.groupBy("term", "doc_id").agg(F.sum("weight").alias("weight")).write.parquet(data + "/sums")
+    sums = spark.read.parquet(data + "/sums")
+    sums.groupBy("term").agg(F.count("*").alias("n")).orderBy("term").write.parquet(data + "/sizes")
+    laid, buckets = by_bucket(sums, spark.read.parquet(data + "/sizes"), "n")
+    laid.write.partitionBy("bucket").parquet(data + "/lexemes")
+    spark.range(1).select(F.lit(0).cast("long").alias("n_docs"), F.lit("{}").alias("options"), F.lit(buckets).alias("buckets"),
+                          F.lit(False).alias("has_docs")).coalesce(1).write.parquet(f"{base}/published/version={version}")
+    return read_fulltext(spark, path)
+
+
+def read_fulltext(spark: SparkSession, path: str) -> WeightedIndex:
+    """The last published version at ``path``."""
+    base = path.rstrip("/")
+    known = published_versions(spark, base)
+    if not known:
+        raise FileNotFoundError(f"no weighted index at {path}")
+    data = f"{base}/data/version={known[-1]}"
+    row = spark.read.parquet(f"{base}/published/version={known[-1]}").first()
+    id_type = spark.read.parquet(data + "/sums").schema["doc_id"].dataType.simpleString()
+    return WeightedIndex(
+        spark.read.schema(f"term string, doc_id {id_type}, weight double, bucket int").parquet(data + "/lexemes"),
+        spark.read.schema("term string, n long").parquet(data + "/sizes"), row["buckets"])
 
 
 def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
@@ -109,53 +149,38 @@ def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col:
     return _normalise(toks, stem).select("query_id", "term").distinct()
 
 
-def fulltext_scores(lexemes: DataFrame, qterms: DataFrame, small: bool | None = None) -> DataFrame:
+def fulltext_scores(lexemes: DataFrame | WeightedIndex, qterms: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, doc_id, similarity) for documents matching any query lexeme."""
     if small is None:
-        qterms = qterms.persist()  # the size check's computation is reused below
-        small = at_most(qterms, MAX_BROADCAST_QUERY_TERMS)
-        if not small:
-            qterms.unpersist()
-    m = maybe_broadcast(qterms, small).join(lexemes.select("doc_id", "term", "weight"), "term")
+        small = fits(qterms)
+    sizes = None
+    if isinstance(lexemes, WeightedIndex):
+        hit = qterms.select(term_bucket(F.col("term"), lexemes.buckets).alias("b")).distinct()
+        wanted = sorted(r["b"] for r in hit.collect())  # at most ``buckets`` numbers
+        sizes = lexemes.sizes
+        lexemes = lexemes.lexemes.where(F.col("bucket").isin(wanted) if wanted else F.lit(False))
+    rows = lexemes.select("doc_id", "term", "weight")
+    if small:
+        m = F.broadcast(qterms).join(rows, "term")
+    else:
+        rows = rows.groupBy("doc_id", "term").agg(F.sum("weight").alias("weight"))
+        sizes = rows.groupBy("term").agg(F.count("*").alias("n")) if sizes is None else sizes
+        m = split_join(rows, qterms, sizes, "term", "n", "doc_id")
     return m.groupBy("query_id", "doc_id").agg(F.sum("weight").alias("similarity"))
 
 
-def fulltext_search_batch(lexemes: DataFrame, queries: DataFrame, k: int = 5, id_col: str = "query_id",
+def fulltext_search_batch(lexemes: DataFrame | WeightedIndex, queries: DataFrame, k: int = 5, id_col: str = "query_id",
                           text_col: str = "text", stem: bool = True, digits: int | None = 12) -> DataFrame:
-    """(query_id, rank, doc_id, similarity): top-k by score desc, doc_id asc."""
+    """(query_id, rank, doc_id, similarity): top-k by score desc, doc_id asc.
+
+    ``lexemes``: rows of ``fulltext_lexemes`` or ``stored_lexemes``, or a written index."""
     require_positive_k(k)
     qterms = fulltext_query_terms(queries, id_col, text_col, stem)
     return top_k(fulltext_scores(lexemes, qterms), k, digits=digits).select("query_id", "rank", "doc_id", "similarity")
 
 
-def fulltext_query_lexemes(spark, query: str, stem: bool = True) -> list[str]:
-    """Distinct OR-query lexemes of one query: Spark splits it (same
-    expression as the batch path); the few words are normalised on the
-    driver with the same rules (stop list and stemmer for letter-only words)."""
-    words = spark.range(1).select(T.query_words(F.lit(query).cast("string")).alias("w")).first()["w"] or []
-    out = set()
-    for w in words:
-        t = w.lower()
-        if re.fullmatch("[a-z]+", t):
-            if t in FULLTEXT_STOP_SET:
-                continue
-            t = porter2(t) if stem else t
-        out.add(t)
-    return sorted(out)
-
-
-def fulltext_search(lexemes: DataFrame, query: str, k: int = 5, stem: bool = True,
+def fulltext_search(lexemes: DataFrame | WeightedIndex, query: str, k: int = 5, stem: bool = True,
                     digits: int | None = 12) -> DataFrame:
-    """(rank, doc_id, similarity) for one query; its lexemes are pushed into
-    the lexeme scan as ``term IN (...)``."""
-    require_positive_k(k)
-    spark = lexemes.sparkSession
-    words = fulltext_query_lexemes(spark, query, stem)
-    if not words:
-        return spark.createDataFrame([], "rank long, doc_id long, similarity double")
-    qterms = spark.range(1).select(F.explode(F.array(*[
-        F.struct(F.lit(0).cast("long").alias("query_id"), F.lit(w).alias("term")) for w in words])).alias("r")
-    ).select("r.*")
-    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its lexemes were just counted
-    scores = fulltext_scores(lexemes.where(F.col("term").isin(words)), qterms, small=small)
-    return top_k(scores, k, digits=digits).select("rank", "doc_id", "similarity")
+    """(rank, doc_id, similarity) for one query: a batch of one."""
+    spark = (lexemes.lexemes if isinstance(lexemes, WeightedIndex) else lexemes).sparkSession
+    return fulltext_search_batch(lexemes, one_query(spark, query), k, stem=stem, digits=digits).select("rank", "doc_id", "similarity")

@@ -10,15 +10,17 @@ Tables (long form, one row per posting, never one huge row per term):
 Plan shape of a build (see README "Plans"):
   scan(id, text) -> clean/tokenise (regex) -> explode -> stop test on rows
   (InSet, codegen) -> partial+final count by (doc_id, term)    [shuffle 1]
-  tf is persisted: the dictionary, the weights and the norms all read it
+  tf is written once to the shared scratch folder: the dictionary, the weights
+  and the norms all read it, and a lost executor costs no second tokenising
   -> partial+final count by term -> idf                        [small shuffle]
   -> postings = tf JOIN terms on term (the dictionary is broadcast after its
-     size is proven; beyond the bound a pinned sort-merge join, never a
-     broadcast of tf; AQE splits skewed term partitions)
+     bytes are summed; beyond the bound a sort-merge join in which terms with
+     many postings are split by a hash of the document)
   -> norms: narrow (doc_id, w^2) rows, partial sums, one small shuffle
-  Writing joins postings with norms (broadcast when proven small) to store
-  nweight = weight/|d|, then sorts postings by (term, doc_id) with a range
-  shuffle whose composite key lets a very frequent term span several files.
+  Writing joins postings with norms to store nweight = weight/|d| and lays the
+  postings out in folders by a hash of the term, so a search reads only the
+  folders of its query's terms; within a folder the files are split by a hash
+  of the document for frequent terms and sorted by (term, doc_id).
 
 N (corpus size) is a scalar subquery (``DataFrame.scalar()``); a
 materialised build evaluates it once and carries the count as a literal.
@@ -29,19 +31,19 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from docrank.functions import scoring
 from docrank.functions import text as T
 from docrank.functions.stem import stem_terms
-from docrank.operators.util import at_most
+from docrank.operators.util import fits, maybe_broadcast, remove_folder, split_join, written
 
-# Dictionary rows up to which the term dictionary is broadcast to the tf join.
-MAX_BROADCAST_TERMS = 2_000_000
-# Documents up to which the norms table is broadcast (search and write).
-MAX_BROADCAST_NORMS = 5_000_000
+# Postings of one folder of a written index, and of one file in it.
+BUCKET_ROWS = 20_000_000
+FILE_ROWS = 2_000_000
+MAX_BUCKETS = 4096
 
 
 @dataclass(frozen=True)
@@ -68,8 +70,10 @@ class Index:
     docs: DataFrame | None = None
     # True when the norms table was proven small enough to broadcast
     small_norms: bool | None = None
-    # frames this index persisted; ``release`` drops them
-    cached: tuple = ()
+    # folders of the postings' layout (column ``bucket``); 0: none
+    buckets: int = 0
+    # scratch folders this index reads; ``release`` removes them
+    scratch: tuple[str, ...] = ()
 
     @property
     def spark(self) -> SparkSession:
@@ -79,21 +83,22 @@ class Index:
         return self.postings.select("doc_id", "term", "tf")
 
     def release(self) -> None:
-        for df in self.cached:
-            df.unpersist()
+        """Remove the scratch files of a build. Its frames can't be read afterwards; a written index has none."""
+        for path in self.scratch:
+            remove_folder(self.spark, path)
 
 
 # ---------------------------------------------------------------- corpus --
 
 def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over all cores when the scan yields fewer
-    partitions than the cluster has (e.g. one large row group). Tokenising is
-    CPU-bound per row; a large input already has enough splits and is left
-    as it is (no shuffle). Round-robin cannot be skewed by hot keys."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores)
-    return df
+    """Round-robin the rows over all cores when the input is too small to be
+    split by itself (e.g. one large row group). Tokenising is CPU-bound per
+    row; an input of many splits is left as it is (no shuffle). The size is
+    the planner's estimate, so no job runs."""
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(cores) if size < cores * (128 << 20) else df
 
 
 def corpus(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), spread_rows: bool = True) -> DataFrame:
@@ -116,16 +121,15 @@ def document_tokens(docs: DataFrame, options: IndexOptions = IndexOptions()) ->
     return toks.where(~_stop(F.col("token"), options.stop_case_sensitive))
 
 
-def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions(), cache: list | None = None) -> DataFrame:
+def term_frequency(docs: DataFrame, options: IndexOptions = IndexOptions()) -> DataFrame:
     """(doc_id, term, tf). Stop test on the original token, then lower-case
-    (and stem: distinct vocabulary -> pandas UDF -> join -> re-sum).
-    The stop test runs on exploded rows, inside whole-stage codegen."""
+    (and stem the counted words, then sum again). The stop test runs on exploded rows, inside whole-stage codegen."""
     toks = docs.select("doc_id", F.explode(T.clean_text(F.col("text"))).alias("token"))
     words = toks.where(~_stop(F.col("token"), options.stop_case_sensitive)).select(
         "doc_id", F.lower("token").alias("term"))
     tf = words.groupBy("doc_id", "term").agg(F.count(F.lit(1)).alias("tf"))
     if options.stem:
-        tf = stem_terms(tf, ["doc_id"], "term", "tf", cache=cache)
+        tf = stem_terms(tf, ["doc_id"], "term", "tf")
     return tf
 
 
@@ -146,18 +150,15 @@ def document_frequency(tf: DataFrame, n_docs: Column) -> DataFrame:
 def posting_weights(tf: DataFrame, terms: DataFrame, small_dictionary: bool | None = None) -> DataFrame:
     """(term, doc_id, tf, idf, weight).
 
-    ``small_dictionary`` True: the dictionary is broadcast (its size was
-    proven by the caller). False: a sort-merge join is pinned by hint, so the
-    planner can never pick the tf side as a broadcast; AQE still splits
-    skewed term partitions. None: leave the choice to the planner."""
-    d = terms.select("term", "idf")
-    if small_dictionary is True:
-        d = F.broadcast(d)
-    elif small_dictionary is False:
-        d = d.hint("shuffle_merge")
-    return tf.join(d, "term").select(
-        "term", "doc_id", "tf", "idf", scoring.tfidf("tf", "idf").alias("weight")
-    )
+    ``small_dictionary`` True: the dictionary is broadcast (the caller summed
+    its bytes). False: a sort-merge join with frequent terms split by a hash of
+    the document. None: leave the choice to the planner."""
+    if small_dictionary is False:
+        joined = split_join(tf, terms.select("term", "idf"), terms.select("term", "df"), "term", "df", "doc_id")
+    else:
+        d = terms.select("term", "idf")
+        joined = tf.join(F.broadcast(d) if small_dictionary else d, "term")
+    return joined.select("term", "doc_id", "tf", "idf", scoring.tfidf("tf", "idf").alias("weight"))
 
 
 def document_norms(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
@@ -169,41 +170,35 @@ def document_norms(weights: DataFrame, doc_ids: DataFrame) -> DataFrame:
 
 
 def index_from_tf(tf: DataFrame, doc_ids: DataFrame, n_docs: Column, options: IndexOptions,
-                  docs: DataFrame | None = None, materialize: bool = True,
-                  interim: list | None = None) -> Index:
+                  docs: DataFrame | None = None, materialize: bool = True) -> Index:
     """Dictionary, weights, norms from term counts.
 
-    ``materialize``: persist tf (memory and disk; it feeds df, weights and
-    norms, and would otherwise be re-tokenised for each), prove the
-    dictionary size before choosing the tf join, and persist the norms with
-    their size proven for later broadcasts. Lost cached blocks are recomputed
-    from lineage. Without it the whole index stays one lazy plan.
+    ``materialize``: write tf, the dictionary and the norms to the shared
+    scratch folder (tf feeds all of them, and would otherwise be tokenised for
+    each) and sum their bytes before choosing joins. The index owns the folders;
+    ``release`` removes them. Without it the whole index stays one lazy plan.
     """
-    cached: list[DataFrame] = []
+    scratch: list[str] = []
     small = small_norms = None
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        if not materialize:
+            return df
+        df, path = written(df, f"docrank-{name}")
+        scratch.append(path)
+        return df
+
     if materialize:
-        # N once, as a literal: a dictionary recomputed later (too large to
-        # cache for broadcast) must not rescan the corpus ids each time
+        # N once, as a literal: the dictionary must not scan the corpus ids for it again
         n_docs = F.lit(tf.sparkSession.range(1).select(n_docs.cast("long")).first()[0]).cast("long")
-        tf = tf.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(tf)
-    terms = document_frequency(tf, n_docs)
-    if materialize:
-        # the dictionary feeds the tf join, query weights and the write: cache
-        # it before the size check so the check's computation is the only one
-        terms = terms.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(terms)
-        small = at_most(terms, MAX_BROADCAST_TERMS)  # also fills the tf cache
-        for df in interim or ():
-            df.unpersist()  # word-level counts and stems: tf is cached now
+    tf = keep(tf, "tf")
+    terms = keep(document_frequency(tf, n_docs), "terms")
+    small = fits(terms.select("term", "idf")) if materialize else None
     weights = posting_weights(tf, terms, small)
-    norms = document_norms(weights, doc_ids)
-    if materialize:
-        norms = norms.persist(StorageLevel.MEMORY_AND_DISK)
-        cached.append(norms)
-        small_norms = at_most(norms, MAX_BROADCAST_NORMS)
+    norms = keep(document_norms(weights, doc_ids), "norms")
+    small_norms = fits(norms) if materialize else None
     return Index(postings=weights, terms=terms, norms=norms, n_docs=n_docs, options=options, docs=docs,
-                 small_norms=small_norms, cached=tuple(cached))
+                 small_norms=small_norms, scratch=tuple(scratch))
 
 
 def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem: bool = True,
@@ -212,21 +207,19 @@ def build_index(df: DataFrame, id_col: str = "doc_id", text_cols=("text",), stem
     pipeline; ``stem=False`` indexes lower-cased words.
 
     With ``materialize`` (default) the tokenise-and-count job runs once here
-    (tf persisted) and the dictionary size is measured; postings, norms and
-    the dictionary are lazy frames on top. ``release()`` drops the cache.
+    and its counts are written to the shared scratch folder; postings are a
+    lazy frame on top. ``release()`` removes the scratch files.
     ``store_cols``: columns kept in the document store for hydration
     (default: id and text columns).
     """
     options = IndexOptions(stem=stem, stop_case_sensitive=stop_case_sensitive)
     docs = corpus(df, id_col, text_cols)
     ids = df.select(F.col(id_col).alias("doc_id"))  # counting needs no spreading
-    n_docs = corpus_size(ids)
-    interim: list = []
-    tf = term_frequency(docs, options, cache=interim if materialize else None)
+    tf = term_frequency(docs, options)
     if store_cols is None:
         store_cols = [id_col] + [c for c in ([text_cols] if isinstance(text_cols, str) else text_cols) if c != id_col]
     store = df.select(F.col(id_col).alias("doc_id"), *[c for c in store_cols if c != id_col])
-    return index_from_tf(tf, ids, n_docs, options, docs=store, materialize=materialize, interim=interim)
+    return index_from_tf(tf, ids, corpus_size(ids), options, docs=store, materialize=materialize)
 
 
 # Postings per exported map entry block.
@@ -258,44 +251,107 @@ def normalized_postings(index: Index) -> DataFrame:
     """Postings with nweight = weight / |d| (0.0 when |d| is 0), so a search
     on them needs no norms join."""
     if "nweight" in index.postings.columns:
-        return index.postings
-    small = index.small_norms if index.small_norms is not None else at_most(index.norms, MAX_BROADCAST_NORMS)
-    norms = F.broadcast(index.norms) if small else index.norms
-    return index.postings.join(norms, "doc_id").select(
+        return index.postings.select("term", "doc_id", "tf", "idf", "weight", "nweight")
+    small = index.small_norms if index.small_norms is not None else fits(index.norms)
+    return index.postings.join(maybe_broadcast(index.norms, small), "doc_id").select(
         "term", "doc_id", "tf", "idf", "weight", scoring.safe_ratio("weight", "norm").alias("nweight"))
 
 
+def term_bucket(term: Column, buckets: int) -> Column:
+    """The folder of a term's postings."""
+    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
+
+
+def by_bucket(postings: DataFrame, sizes: DataFrame, count: str, id_col: str = "doc_id") -> tuple[DataFrame, int]:
+    """``postings`` dealt and sorted for a write partitioned by ``bucket``, and the number of buckets.
+
+    ``sizes``: rows of each term as ``count``. A term of many rows is spread over
+    several files of its folder by a hash of the document."""
+    total = sizes.agg(F.sum(count).alias("n")).first()["n"] or 0
+    buckets = min(MAX_BUCKETS, max(16, -(-total // BUCKET_ROWS)))
+    # At most total / FILE_ROWS terms are this frequent; their list is broadcast while it fits.
+    heavy = sizes.where(F.col(count) > FILE_ROWS).select("term", F.ceil(F.col(count) / FILE_ROWS).cast("int").alias("_files"))
+    dealt = postings.join(maybe_broadcast(heavy, fits(heavy)), "term", "left").withColumn("bucket", term_bucket(F.col("term"), buckets))
+    files = F.greatest(F.coalesce("_files", F.lit(1)), F.lit(max(1, -(-total // (buckets * FILE_ROWS)))))
+    spread_by = F.when(F.col("_files").isNull(), F.pmod(F.xxhash64("term", F.lit(1)), files)).otherwise(F.pmod(F.xxhash64(id_col), files))
+    return dealt.withColumn("_file", spread_by).repartition("bucket", "_file").drop("_files", "_file").sortWithinPartitions(
+        "bucket", "term", id_col), buckets
+
+
+# A written index: ``published/version=n`` names the complete ones, ``data/version=n`` holds them.
+PUBLISHED = "n_docs long, options string, buckets int, has_docs boolean, version int"
+
+
+def published_versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the complete versions at ``path``, in order; none where the path doesn't exist.
+
+    Anything else that keeps them from being read is raised."""
+    try:
+        rows = spark.read.schema(PUBLISHED).parquet(path.rstrip("/") + "/published").select("version").collect()
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return sorted(r["version"] for r in rows)
+
+
 def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
-    """Persist postings with nweight (globally sorted by term, doc_id), the
-    term dictionary, norms, the document store and N; return the index read
-    back from the written files."""
-    spark = index.spark
-    base = path.rstrip("/")
-    spark.range(1).select(
-        index.n_docs.cast("long").alias("n_docs"), F.lit(index.options.to_json()).alias("options")
-    ).write.mode(mode).parquet(base + "/stats")
-    index.terms.select("term", "df", "idf").orderBy("term").write.mode(mode).parquet(base + "/terms")
-    index.norms.sortWithinPartitions("doc_id").write.mode(mode).parquet(base + "/norms")
-    normalized_postings(index).orderBy("term", "doc_id").write.mode(mode).parquet(base + "/postings")
+    """Write a new version of the index at ``path`` and return it, read back.
+
+    The tables of a version are written first, the row that publishes it last,
+    and nothing that exists is written over: an interrupted write leaves the
+    version before it in place, and an index may be written to the path it was
+    read from. Two writers of one version fail on its folder. ``mode``:
+    ``overwrite`` makes the new version the current one, ``error`` raises if
+    there is any. ``drop_old_versions`` frees the space of earlier ones."""
+    spark, base = index.spark, path.rstrip("/")
+    known = published_versions(spark, base)
+    if mode not in ("overwrite", "error"):
+        raise ValueError("mode is overwrite or error")
+    if known and mode == "error":
+        raise FileExistsError(path)
+    version = (known[-1] if known else 0) + 1
+    data = f"{base}/data/version={version}"
+    index.terms.select("term", "df", "idf").orderBy("term").write.parquet(data + "/terms")
+    index.norms.sortWithinPartitions("doc_id").write.parquet(data + "/norms")
+    laid, buckets = by_bucket(normalized_postings(index), index.terms, "df")
+    laid.write.partitionBy("bucket").parquet(data + "/postings")
     if index.docs is not None:
-        index.docs.sortWithinPartitions("doc_id").write.mode(mode).parquet(base + "/docs")
-    return read_index(spark, path)
+        index.docs.sortWithinPartitions("doc_id").write.parquet(data + "/docs")
+    spark.range(1).select(
+        index.n_docs.cast("long").alias("n_docs"), F.lit(index.options.to_json()).alias("options"),
+        F.lit(buckets).alias("buckets"), F.lit(index.docs is not None).alias("has_docs"),
+    ).coalesce(1).write.parquet(f"{base}/published/version={version}")
+    return read_index(spark, path, version)
 
 
-def read_index(spark: SparkSession, path: str) -> Index:
+def read_index(spark: SparkSession, path: str, version: int | None = None) -> Index:
+    """The index at ``path``: its last published version, or the one asked for."""
     base = path.rstrip("/")
-    stats = spark.read.parquet(base + "/stats")
-    options = IndexOptions.from_json(stats.select("options").first()["options"])
-    docs = None
-    try:
-        docs = spark.read.parquet(base + "/docs")
-    except Exception:  # an index written without a document store
-        docs = None
+    known = published_versions(spark, base)
+    if not known or (version is not None and version not in known):
+        raise FileNotFoundError(f"no index version {version or ''} at {path}")
+    version = known[-1] if version is None else version
+    stats = spark.read.schema(PUBLISHED).parquet(base + "/published").where(F.col("version") == version)
+    row = stats.first()
+    data = f"{base}/data/version={version}"
+    # An index without terms has empty folders, so the schemas don't come from files.
+    id_type = spark.read.parquet(data + "/norms").schema["doc_id"].dataType.simpleString()
     return Index(
-        postings=spark.read.parquet(base + "/postings"),
-        terms=spark.read.parquet(base + "/terms"),
-        norms=spark.read.parquet(base + "/norms"),
-        n_docs=stats.select("n_docs").scalar(),
-        options=options,
-        docs=docs,
+        postings=spark.read.schema(f"term string, doc_id {id_type}, tf long, idf double, weight double, nweight double, bucket int")
+        .parquet(data + "/postings"),
+        terms=spark.read.schema("term string, df long, idf double").parquet(data + "/terms"),
+        norms=spark.read.parquet(data + "/norms"),
+        n_docs=F.lit(row["n_docs"]).cast("long"),
+        options=IndexOptions.from_json(row["options"]),
+        docs=spark.read.parquet(data + "/docs") if row["has_docs"] else None,
+        buckets=row["buckets"],
     )
+
+
+def drop_old_versions(spark: SparkSession, path: str) -> None:
+    """Remove all versions but the last published one; readers of the others fail afterwards."""
+    base = path.rstrip("/")
+    for version in published_versions(spark, base)[:-1]:
+        remove_folder(spark, f"{base}/published/version={version}")
+        remove_folder(spark, f"{base}/data/version={version}")

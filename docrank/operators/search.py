@@ -11,27 +11,25 @@ Batch plan (``search_batch``):
   WindowGroupLimit below the exchange, so only k rows per query and map task
   are shuffled for the final ranking.
 
-The query side is broadcast only after ``at_most`` proved its row count;
-beyond that bound every join falls back to a shuffle join. A written index
-carries ``nweight`` = weight/|d| in its postings, so no norms join is needed
-at query time; an unwritten one divides by |d| after the aggregation.
+The query side is broadcast only after its bytes were summed; beyond the
+bound the joins are sort-merge joins, with frequent terms split. A written
+index carries ``nweight`` = weight/|d| in its postings, so no norms join is
+needed at query time, and a search reads only the folders (``bucket``) of its
+terms; an unwritten one divides by |d| after the aggregation. One query is a
+batch of one.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from docrank.functions import scoring
 from docrank.functions import text as T
-from docrank.functions.stem import porter2, stem_rows
-from docrank.operators.index import MAX_BROADCAST_NORMS, Index
-from docrank.operators.util import at_most, maybe_broadcast, require_positive_k
+from docrank.functions.stem import stem_terms
+from docrank.operators.index import Index, term_bucket
+from docrank.operators.util import fits, maybe_broadcast, require_positive_k, split_join, written
 
-# Query-term rows up to which the query side is broadcast.
-MAX_BROADCAST_QUERY_TERMS = 2_000_000
 # Default rounding of scores before ranking: scores equal to 12 decimals are
 # ties, ordered by doc_id, whatever the summation order of the partitions.
 DEFAULT_DIGITS = 12
@@ -46,7 +44,7 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
     words = queries.select(F.col(id_col).alias("query_id"), F.explode(kept).alias("term"))
     qtf = words.groupBy("query_id", "term").agg(F.count(F.lit(1)).alias("qtf"))
     if stem:
-        qtf = stem_rows(qtf, ["query_id"], "term", "qtf")
+        qtf = stem_terms(qtf, ["query_id"], "term", "qtf")
     return qtf
 
 
@@ -55,7 +53,7 @@ def query_weights(index: Index, qtf: DataFrame, small: bool | None = None) -> Da
     present in the index; |q| covers only those terms. ``small``: the caller
     proved the query side small; None proves it here."""
     if small is None:
-        small = at_most(qtf, MAX_BROADCAST_QUERY_TERMS)
+        small = fits(qtf)
     j = maybe_broadcast(qtf, small).join(index.terms.select("term", "idf"), "term")
     j = j.withColumn("qweight", scoring.tfidf("qtf", "idf"))
     by_query = Window.partitionBy("query_id")
@@ -63,27 +61,41 @@ def query_weights(index: Index, qtf: DataFrame, small: bool | None = None) -> Da
     return j.withColumn("qnweight", scoring.safe_ratio("qweight", "qnorm"))
 
 
-def dot_products(index: Index, qweights: DataFrame, small: bool | None = None,
-                 postings: DataFrame | None = None) -> DataFrame:
+def pruned_postings(index: Index, qterms: DataFrame) -> DataFrame:
+    """The postings in the folders of the query terms (all of them on an unwritten index)."""
+    if not index.buckets:
+        return index.postings
+    hit = qterms.select(term_bucket(F.col("term"), index.buckets).alias("b")).distinct()
+    # At most ``buckets`` numbers.
+    wanted = sorted(r["b"] for r in hit.collect())
+    return index.postings.where(F.col("bucket").isin(wanted) if wanted else F.lit(False))
+
+
+def dot_products(index: Index, qweights: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, doc_id, dot, similarity): every document sharing at least one
     indexed term with the query is a candidate (idf 0 terms included).
 
     On a written index the postings carry nweight = weight/|d| and the cosine
     is one sum. On an unwritten one the sum of qweight/|q| * weight is divided
-    by |d| after aggregation (norms broadcast when proven small)."""
+    by |d| after aggregation (norms broadcast when proven small). A query side
+    too large to broadcast is joined by merging, with each frequent term's
+    postings and query rows split by a hash of the document."""
     if small is None:
-        small = at_most(qweights, MAX_BROADCAST_QUERY_TERMS)
-    p = postings if postings is not None else index.postings
+        small = fits(qweights)
+    p = pruned_postings(index, qweights)
     normalized = "nweight" in p.columns
     p = p.select("term", "doc_id", "weight", *(["nweight"] if normalized else []))
     q = qweights.select("query_id", "term", "qweight", "qnweight")
-    m = maybe_broadcast(q, small).join(p, "term")
+    if small:
+        m = F.broadcast(q).join(p, "term")
+    else:
+        m = split_join(p, q, index.terms.select("term", "df"), "term", "df", "doc_id")
     dot = F.sum(F.col("qweight") * F.col("weight")).alias("dot")
     if normalized:
         return m.groupBy("query_id", "doc_id").agg(
             dot, F.sum(F.col("qnweight") * F.col("nweight")).alias("similarity"))
     scores = m.groupBy("query_id", "doc_id").agg(dot, F.sum(F.col("qnweight") * F.col("weight")).alias("qdot"))
-    small_norms = index.small_norms if index.small_norms is not None else at_most(index.norms, MAX_BROADCAST_NORMS)
+    small_norms = index.small_norms if index.small_norms is not None else fits(index.norms)
     norms = maybe_broadcast(index.norms, small_norms)
     return scores.join(norms, "doc_id").select(
         "query_id", "doc_id", "dot", scoring.safe_ratio("qdot", "norm").alias("similarity"))
@@ -106,14 +118,8 @@ def cosine_scores(index: Index, queries: DataFrame, id_col: str = "query_id", te
                   small: bool | None = None) -> DataFrame:
     qtf = query_terms(queries, id_col, text_col, stem=index.options.stem)
     if small is None:
-        # cached first, so the size check's computation (with the stemming
-        # UDF) is the one the search reuses; dropped again beyond the bound
-        qtf = qtf.persist()
-        small = at_most(qtf, MAX_BROADCAST_QUERY_TERMS)
-        if not small:
-            qtf.unpersist()
-    qw = query_weights(index, qtf, small)
-    return dot_products(index, qw, small)
+        small = fits(qtf)
+    return dot_products(index, query_weights(index, qtf, small), small)
 
 
 def search_batch(index: Index, queries: DataFrame, k: int = 5, id_col: str = "query_id",
@@ -124,74 +130,38 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5, id_col: str = "qu
     return top_k(scores, k, digits=digits).select("query_id", "rank", "doc_id", "similarity")
 
 
-def query_vector(index: Index, query: str) -> dict[str, int]:
-    """Term counts of one free-text query: Spark tokenises it with the same
-    expressions as the batch path (one stage, no shuffle); the handful of
-    tokens is counted, and stemmed with the same stemmer, on the driver."""
-    spark = index.spark
-    text = F.lit(query).cast("string")
-    kept = T.remove_stopwords(T.lowercase_tokens(T.clean_text(text)))
-    tokens = spark.range(1).select(kept.alias("t")).first()["t"] or []
-    if index.options.stem:
-        tokens = [porter2(t) for t in tokens]
-    return dict(Counter(tokens))
-
-
-def literal_query_terms(spark, vector: dict[str, int], query_id: int = 0) -> DataFrame:
-    """(query_id, term, qtf) as a JVM-side literal relation."""
-    rows = [F.struct(F.lit(query_id).cast("long").alias("query_id"), F.lit(t).alias("term"),
-                     F.lit(c).cast("long").alias("qtf")) for t, c in sorted(vector.items())]
-    return spark.range(1).select(F.explode(F.array(*rows)).alias("r")).select("r.*")
+def one_query(spark, query: str) -> DataFrame:
+    """A query table of one row."""
+    return spark.createDataFrame([(0, query)], "query_id long, text string")
 
 
 def search(index: Index, query: str, k: int = 5, digits: int | None = DEFAULT_DIGITS) -> DataFrame:
     """Top-k documents for one free-text query: (rank, doc_id, similarity).
 
-    The query's few terms are resolved first and pushed into the dictionary
-    and postings scans as ``term IN (...)``, so a term-sorted index reads only
-    matching row groups."""
-    require_positive_k(k)
-    spark = index.spark
-    vector = query_vector(index, query)
-    if not vector:
-        return spark.createDataFrame([], "rank long, doc_id long, similarity double")
-    words = sorted(vector)
-    small = len(words) <= MAX_BROADCAST_QUERY_TERMS  # one query: its terms were just counted
-    qw = query_weights(index, literal_query_terms(spark, vector), small=small)
-    postings = index.postings.where(F.col("term").isin(words))
-    scores = dot_products(index, qw, small=small, postings=postings)
-    ranked = scores.orderBy(
-        (F.round("similarity", digits) if digits is not None else F.col("similarity")).desc(), F.col("doc_id").asc()
-    ).limit(k)
-    w = Window.orderBy(F.col("similarity").desc(), F.col("doc_id").asc())
-    out = ranked.withColumn("similarity", F.round("similarity", digits) if digits is not None else F.col("similarity"))
-    return out.withColumn("rank", F.row_number().over(w).cast("long")).select("rank", "doc_id", "similarity")
-
-
-# Ranked rows up to which the results are broadcast to the document store.
-MAX_BROADCAST_RESULTS = 1_000_000
-
-
-def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id",
-            max_broadcast_rows: int = MAX_BROADCAST_RESULTS) -> DataFrame:
+    A batch of one query, so ids have the index's type whatever it finds, and a
+    written index is read only in the folders of the query's terms."""
+    return search_batch(index, one_query(index.spark, query), k, digits=digits).select("rank", "doc_id", "similarity")
+
+
+def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
     """Attach stored document columns to ranked rows, after ranking (late
     materialisation: documents are read for the top k only).
 
-    The ranked rows are persisted and counted first; within the bound their
-    ids are broadcast to a semi join, so the document store is filtered
-    map-side and never shuffled. An id stored several times yields one row:
-    the matching copies collapse to the smallest record by a partial
+    The ranked rows (k a query) are written to the scratch folder once. Their ids,
+    never document text, are broadcast to a semi join if they fit, so the
+    store is filtered map-side; the few documents found then meet the ranked
+    rows in a shuffle join. An id stored several times yields one row: the
+    matching copies collapse to the smallest record by a partial
     ``min(struct)`` aggregation, so a result row is never multiplied."""
-    results = results.persist()
-    small = at_most(results, max_broadcast_rows)
+    results, _ = written(results, "docrank-results")
     ids = results.select(id_col).distinct()
-    matched = docs.join(maybe_broadcast(ids, small), id_col, "left_semi")
+    matched = docs.join(maybe_broadcast(ids, fits(ids)), id_col, "left_semi")
     cols = [c for c in docs.columns if c != id_col]
     if cols:
         one = matched.groupBy(id_col).agg(F.min(F.struct(*cols)).alias("_doc")).select(id_col, "_doc.*")
     else:
         one = matched.distinct()
-    return results.join(maybe_broadcast(one, small), id_col, "left")
+    return results.hint("shuffle_merge").join(one, id_col, "left")
 
 
 def result_rows(results: DataFrame, fields, absent: dict[str, str] | None = None, score_col: str = "similarity",

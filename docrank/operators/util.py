@@ -2,21 +2,66 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType, StringType
 
+from docrank.session import scratch_path
 
-def at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
+# Bytes up to which a side of a join is broadcast.
+MAX_BROADCAST_BYTES = 128 << 20
+# A key with more than this share of the rows of a join's large side is split.
+HEAVY_SHARE = 1 / 5000
+
+
+def size_bytes(df: DataFrame) -> int:
+    """Bytes of the rows as Spark holds them, from one partial aggregate: 24 a row,
+    8 a column, and the length of strings."""
+    fixed = 24 + 8 * len(df.columns)
+    text = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0)) for f in df.schema if isinstance(f.dataType, (StringType, BinaryType))]
+    total = sum(text, F.lit(fixed).cast("long"))
+    return df.agg(F.sum(total).alias("n")).first()["n"] or 0
 
-    Runs ``limit(max_rows + 1).count()``, so the work stops once the bound is
-    passed; used as the size proof before a broadcast hint.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
+
+def fits(df: DataFrame, most: int | None = None) -> bool:
+    """True when ``df`` is small enough to broadcast."""
+    return size_bytes(df) <= (MAX_BROADCAST_BYTES if most is None else most)
 
 
 def maybe_broadcast(df: DataFrame, small: bool) -> DataFrame:
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if small else df.hint("shuffle_merge")
+
+
+def split_join(large: DataFrame, small: DataFrame, sizes: DataFrame, key: str, count: str, spread_by: str) -> DataFrame:
+    """``large`` joined with ``small`` on ``key`` where neither may be broadcast.
+
+    ``sizes``: one row per key with its rows in ``large`` as column ``count``. Keys
+    with more than ``HEAVY_SHARE`` of the rows (at most 1 / HEAVY_SHARE of them, so
+    their list is broadcast) are split: the rows of ``large`` by the hash of
+    ``spread_by``, the rows of ``small`` repeated as often.
+    """
+    limit = max(1.0, (sizes.agg(F.sum(count).alias("n")).first()["n"] or 0) * HEAVY_SHARE)
+    parts = F.least(F.ceil(F.col(count) / F.lit(limit)), F.lit(1000)).cast("int")
+    heavy = F.broadcast(sizes.where(F.col(count) > F.lit(limit)).select(key, parts.alias("_parts")))
+    n = F.coalesce("_parts", F.lit(1))
+    left = large.join(heavy, key, "left").withColumn("_part", F.pmod(F.xxhash64(spread_by), n).cast("int")).drop("_parts")
+    right = small.join(heavy, key, "left").withColumn("_part", F.explode(F.sequence(F.lit(0), n - 1))).drop("_parts")
+    return left.join(right.hint("shuffle_merge"), [key, "_part"]).drop("_part")
+
+
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written to a fresh folder on the shared scratch file system and read again, and the folder."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def require_positive_k(k: int) -> None:

@@ -22,7 +22,7 @@ from docrank.functions.stem import stem_vocabulary
 from docrank.operators import fulltext as FT
 from docrank.operators import index as IX
 from docrank.operators import search as SR
-from docrank.operators.compare import compare, compare_batch
+from docrank.operators.compare import compare, compare_batch, compare_results
 from docrank.operators.merge import merge_counts, merge_index
 from docrank.session import scratch_path
 from docrank.sources import papers as P
@@ -94,7 +94,8 @@ def q_remove_punctuation(spark, sf):
 
 def q_remove_url(spark, sf):
     pages = table(spark, sf, "pages")
-    return pages.select("page_id", T.remove_url(F.concat(F.col("url"), F.lit(URL_SUFFIX))).alias("cleaned"))
+    return pages.select("page_id", T.remove_url(F.concat(F.col("url"), F.lit(URL_SUFFIX))).alias("cleaned"),
+                        T.remove_url("html").alias("cleaned_html"))
 
 
 def q_clean_tokens(spark, sf):
@@ -136,8 +137,7 @@ def q_project_paper(spark, sf):
 
 
 def q_json_round_trip(spark, sf):
-    p = table(spark, sf, "part")
-    return P.to_json_rows(p.select("p_partkey", "p_name", "p_brand", "p_type", "p_size"))
+    return P.to_json_rows(table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
 
 
 def q_limit_corpus(spark, sf):
@@ -156,7 +156,7 @@ def q_get_paper(spark, sf):
 
 def q_corpus_size(spark, sf):
     docs = IX.corpus(documents(spark, sf), "doc_id", ("text",))
-    return docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    return spark.range(1).select(IX.corpus_size(docs).alias("n_docs"))
 
 
 def q_term_frequency(spark, sf):
@@ -180,17 +180,48 @@ def q_document_norms(spark, sf):
 
 
 def q_posting_lists(spark, sf):
+    """Every entry of every exported map."""
     blocks = IX.posting_lists(doc_index(spark, sf), block_size=50)
-    return blocks.groupBy("term").agg(F.sum("size").alias("size"), F.round(F.first("idf"), DIGITS).alias("idf"),
-                                      F.sum(F.size("papers")).alias("entries"))
+    return blocks.select("term", r6("idf"), F.explode("papers").alias("doc_id", "weight")).select(
+        "term", "idf", "doc_id", r6("weight"))
 
 
-def q_index_write_read(spark, sf):
-    path = scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}")
-    built = doc_index(spark, sf)
+def written_doc_index(spark, sf, path, stem=False) -> IX.Index:
+    built = doc_index(spark, sf, stem)
     idx = IX.write_index(built, path)
     built.release()
-    return idx.postings.select("term", "doc_id", "tf", r6("idf"), r6("weight"))
+    return idx
+
+
+def q_index_write_read(spark, sf):
+    """All five written tables as rows (kind, name, doc_id, a, b)."""
+    idx = written_doc_index(spark, sf, scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}"))
+    no = lambda kind: F.lit(None).cast(kind)
+
+    def rows(df, kind, name, doc, a, b):
+        return df.select(F.lit(kind).alias("kind"), name.alias("name"), doc.cast("long").alias("doc_id"),
+                         F.round(a.cast("double"), DIGITS).alias("a"), F.round(b.cast("double"), DIGITS).alias("b"))
+
+    c = F.col
+    return (rows(idx.postings, "posting", c("term"), c("doc_id"), c("tf"), c("weight"))
+            .unionByName(rows(idx.postings, "normalised", c("term"), c("doc_id"), c("idf"), c("nweight")))
+            .unionByName(rows(idx.terms, "term", c("term"), no("long"), c("df"), c("idf")))
+            .unionByName(rows(idx.norms, "norm", no("string"), c("doc_id"), c("norm"), no("double")))
+            .unionByName(rows(idx.docs, "document", c("text"), c("doc_id"), no("double"), no("double")))
+            .unionByName(rows(spark.range(1), "size", no("string"), no("long"), idx.n_docs, no("double"))))
+
+
+def q_index_overwrite(spark, sf):
+    """An index of some documents, read, merged with the rest and written to the path it was read from."""
+    path = scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}")
+    a, b = _halves(spark, sf)
+    first = IX.build_index(a, "doc_id", ("text",), stem=False)
+    IX.write_index(first, path)
+    first.release()
+    grown = merge_index(IX.read_index(spark, path), b, "doc_id", ("text",))
+    idx = IX.write_index(grown, path)
+    grown.release()
+    return idx.postings.select("term", "doc_id", "tf", r6("idf"), r6("weight"), r6("nweight"))
 
 
 # ---------------------------------------------------------------- search --
@@ -216,6 +247,12 @@ def q_cosine_topk_batch(spark, sf):
     return SR.search_batch(doc_index(spark, sf), benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
 
 
+def q_cosine_topk_batch_written(spark, sf):
+    """The batch on a written index, read in the folders of its terms."""
+    idx = written_doc_index(spark, sf, scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}"))
+    return SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
+
+
 def q_cosine_topk_batch_conversations(spark, sf):
     """Conversation turns as records keyed by conv_id: the turns of one
     conversation add their counts under one id, N counts every turn."""
@@ -243,6 +280,13 @@ def q_stem_vocabulary(spark, sf):
     return stem_vocabulary(words.where(F.col("term") != ""), "term")
 
 
+def q_stem_documents(spark, sf):
+    """Stem of every distinct word that the documents' index would hold."""
+    docs = IX.corpus(documents(spark, sf), "doc_id", ("text",))
+    words = IX.document_tokens(docs).select(F.lower("token").alias("term"))
+    return stem_vocabulary(words, "term")
+
+
 def q_cosine_topk_stemmed(spark, sf):
     return SR.search(part_index(spark, sf, stem=True), PART_STEM_QUERY, K, digits=DIGITS)
 
@@ -281,7 +325,52 @@ def q_compare_rankers_batch(spark, sf):
                          digits=DIGITS)
 
 
-# Result object fields in order; the weighted ranker reads five of them.
+def string_papers(spark, sf) -> DataFrame:
+    """The part papers under string ids."""
+    return part_papers(spark, sf).withColumn("doc_id", F.concat(F.lit("p"), F.col("id")))
+
+
+def _compared_strings(spark, sf) -> DataFrame:
+    p = string_papers(spark, sf)
+    idx = IX.build_index(p, "doc_id", P.SEARCH_FIELDS, stem=True)
+    return compare(idx, FT.fulltext_lexemes(p, "doc_id", FT.PAPER_FIELD_LABELS), PART_QUERY, K, digits=DIGITS)
+
+
+def q_compare_rankers_string_ids(spark, sf):
+    return _compared_strings(spark, sf)
+
+
+def q_compare_results(spark, sf):
+    """Both rankers' result objects on string ids."""
+    store = string_papers(spark, sf).withColumnRenamed("journal_ref", "journal-ref")
+    return compare_results(_compared_strings(spark, sf), store, RESULT_FIELDS, FULLTEXT_ABSENT, as_json=True)
+
+
+def q_fulltext_write_read(spark, sf):
+    """The name batch on a written weighted index."""
+    path = scratch_path(spark, f"docrank-weighted-{uuid.uuid4().hex}")
+    return FT.fulltext_search_batch(FT.write_fulltext(part_lexemes(spark, sf), path), part_name_queries(spark, sf), K, digits=DIGITS)
+
+
+def q_build_fulltext_search(spark, sf):
+    """The name batch on the stored lexeme column."""
+    built = FT.build_fulltext(part_papers(spark, sf), "doc_id")
+    return FT.fulltext_search_batch(FT.stored_lexemes(built, "doc_id"), part_name_queries(spark, sf), K, digits=DIGITS)
+
+
+def q_paper_corpus(spark, sf):
+    """A JSON-lines corpus end to end: lines written from the part table, scanned, indexed (stemmed), searched, as result objects."""
+    path = scratch_path(spark, f"docrank-papers-{uuid.uuid4().hex}")
+    lines = part_papers(spark, sf).select("id", "authors", "title", "categories", "abstract")
+    P.to_json_rows(lines).write.text(path)
+    papers = P.read_papers(spark, path)
+    idx = IX.build_index(papers, "id", P.SEARCH_FIELDS)
+    found = SR.search(idx, PART_STEM_QUERY, K, digits=DIGITS)
+    store = papers.withColumn("doc_id", F.col("id")).withColumnRenamed("journal_ref", "journal-ref")
+    return SR.result_rows(SR.hydrate(found, store), RESULT_FIELDS, as_json=True)
+
+
+# Result object fields in order; the weighted ranker reads five of them.
 RESULT_FIELDS = ("id", "submitter", "authors", "title", "comments", "journal-ref", "doi", "abstract", "categories",
                  "versions")
 FULLTEXT_ABSENT = {"submitter": "-", "comments": "-", "journal-ref": "-", "doi": "-", "versions": "-"}
@@ -337,14 +426,17 @@ QUERIES = {
     "document_norms": q_document_norms,
     "posting_lists": q_posting_lists,
     "index_write_read": q_index_write_read,
+    "index_overwrite": q_index_overwrite,
     "query_weights": q_query_weights,
     "dot_products": q_dot_products,
     "cosine_topk": q_cosine_topk,
     "cosine_topk_batch": q_cosine_topk_batch,
+    "cosine_topk_batch_written": q_cosine_topk_batch_written,
     "cosine_topk_hydrated": q_cosine_topk_hydrated,
     "cosine_topk_batch_conversations": q_cosine_topk_batch_conversations,
     "cosine_topk_batch_pages": q_cosine_topk_batch_pages,
     "stem_vocabulary": q_stem_vocabulary,
+    "stem_documents": q_stem_documents,
     "cosine_topk_stemmed": q_cosine_topk_stemmed,
     "cosine_topk_batch_stemmed": q_cosine_topk_batch_stemmed,
     "fulltext_lexemes": q_fulltext_lexemes,
@@ -352,6 +444,11 @@ QUERIES = {
     "fulltext_topk_batch": q_fulltext_topk_batch,
     "compare_rankers": q_compare_rankers,
     "compare_rankers_batch": q_compare_rankers_batch,
+    "compare_rankers_string_ids": q_compare_rankers_string_ids,
+    "compare_results": q_compare_results,
+    "fulltext_write_read": q_fulltext_write_read,
+    "build_fulltext_search": q_build_fulltext_search,
+    "paper_corpus": q_paper_corpus,
     "result_rows": q_result_rows,
     "merge_counts": q_merge_counts,
     "merge_index": q_merge_index,

@@ -1,16 +1,16 @@
 """DuckDB SQL restating every checkable registered query.
 
-Stems in oracles are literal VALUES (DuckDB has no stemmer here): the part
-vocabulary is small and fixed, its stems derived by hand from the published
-English Snowball rules.
+Stems over free text come from the published rules restated as SQL
+(``sqltext.porter2_ctes``); the part vocabulary is small and fixed, so its
+stems are literal VALUES derived by hand.
 """
 
 from __future__ import annotations
 
 from docrank.functions import text as T
 from docrank.plans import catalog as C
-from docrank.plans.sqltext import (clean_tokens_sql, lower_list_sql, punct_sql, special_sql, sql_list, sql_str,
-                                   url_sql)
+from docrank.plans.sqltext import (clean_tokens_sql, lower_list_sql, porter2_ctes, punct_sql, special_sql, sql_list,
+                                   sql_str, url_sql)
 
 STOP = sql_list(T.STOPWORDS)
 PG_STOP = sql_list(T.FULLTEXT_STOPWORDS)
@@ -64,6 +64,37 @@ ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER
                   AS BIGINT) AS rank, doc_id, similarity FROM sim)"""
 
 
+def _weights_ctes(table: str, id_expr: str) -> str:
+    """CTEs nd, df, w, norms over a CTE tf."""
+    return f"""
+nd AS (SELECT CAST(count(*) AS DOUBLE) AS n FROM {table}),
+df AS (SELECT term, count(*) AS df, ln((SELECT n FROM nd) / count(*)) AS idf FROM tf GROUP BY term),
+w AS (SELECT term, doc_id, tf, idf, (1 + ln(tf)) * idf AS weight FROM tf JOIN df USING (term)),
+norms AS (SELECT d.doc_id, coalesce(sqrt(sum(w.weight * w.weight)), 0.0) AS norm
+          FROM (SELECT DISTINCT {id_expr} AS doc_id FROM {table}) d LEFT JOIN w USING (doc_id) GROUP BY d.doc_id)"""
+
+
+def _stemmed_ranking(queries_sql: str) -> str:
+    """CTEs up to ranked over the stemmed documents, every stem from the rules in SQL."""
+    return f"""
+toks AS (SELECT doc_id, unnest({clean_tokens_sql('text')}) AS tok FROM documents),
+tf0 AS (SELECT doc_id, lower(tok) AS word, count(*) AS c FROM toks WHERE NOT list_contains({STOP}, tok) GROUP BY ALL),
+qsrc AS ({queries_sql}),
+q0 AS (SELECT query_id, unnest({lower_list_sql(clean_tokens_sql('text'))}) AS word FROM qsrc),
+qt0 AS (SELECT query_id, word FROM q0 WHERE NOT list_contains({STOP}, word)),
+{porter2_ctes("SELECT word FROM tf0 UNION SELECT word FROM qt0")},
+tf AS (SELECT doc_id, stem AS term, CAST(sum(c) AS BIGINT) AS tf FROM tf0 JOIN stems USING (word) GROUP BY ALL),
+{_weights_ctes("documents", "doc_id")},
+qtf AS (SELECT query_id, stem AS term, count(*) AS qtf FROM qt0 JOIN stems USING (word) GROUP BY ALL),
+qw AS (SELECT query_id, term, qtf, idf, (1 + ln(qtf)) * idf AS qweight FROM qtf JOIN df USING (term)),
+qn AS (SELECT query_id, sqrt(sum(qweight * qweight)) AS qnorm FROM qw GROUP BY query_id),
+dot AS (SELECT query_id, doc_id, sum(qweight * weight) AS dot FROM qw JOIN w USING (term) GROUP BY ALL),
+sim AS (SELECT query_id, doc_id, round(CASE WHEN qnorm * norm = 0 THEN 0.0 ELSE dot / (qnorm * norm) END, 6)
+               AS similarity FROM dot JOIN qn USING (query_id) JOIN norms USING (doc_id)),
+ranked AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, doc_id)
+                  AS BIGINT) AS rank, doc_id, similarity FROM sim)"""
+
+
 BENCH_QUERIES = "SELECT item_id AS query_id, text FROM benchmark"
 FIRST_BENCH = "SELECT CAST(0 AS BIGINT) AS query_id, text FROM benchmark ORDER BY item_id LIMIT 1"
 
@@ -131,8 +162,9 @@ def _sql() -> dict[str, str]:
     q: dict[str, str] = {}
     q["remove_special_characters"] = f"SELECT doc_id, {special_sql('text')} AS cleaned FROM documents"
     q["remove_punctuation"] = f"SELECT doc_id, {punct_sql('text')} AS cleaned FROM documents"
-    q["remove_url"] = (f"SELECT page_id, {url_sql('url_x')} AS cleaned FROM "
-                       f"(SELECT page_id, concat(url, {sql_str(C.URL_SUFFIX)}) AS url_x FROM pages)")
+    q["remove_url"] = (f"SELECT page_id, {url_sql('url_x')} AS cleaned, "
+                       f"{url_sql('html')} AS cleaned_html FROM "
+                       f"(SELECT page_id, html, concat(url, {sql_str(C.URL_SUFFIX)}) AS url_x FROM pages)")
     clean_pos = (f"SELECT doc_id, CAST(unnest(generate_series(0, len(tk) - 1)) AS INTEGER) AS pos, unnest(tk) AS token "
                  f"FROM (SELECT doc_id, {clean_tokens_sql('text')} AS tk FROM documents)")
     q["clean_tokens"] = clean_pos
@@ -150,7 +182,7 @@ def _sql() -> dict[str, str]:
             "ELSE CAST(json_extract(props, '$.{0}') AS VARCHAR) END")
     q["project_paper"] = f"SELECT event_id, {proj.format('k')} AS k, {proj.format('missing')} AS missing FROM events"
     q["json_round_trip"] = ("SELECT CAST(to_json(struct_pack(p_partkey := p_partkey, p_name := p_name, "
-                            "p_brand := p_brand, p_type := p_type, p_size := p_size)) AS VARCHAR) AS json FROM part")
+                            "p_brand := p_brand, p_type := p_type, p_size := p_size, p_retailprice := p_retailprice)) AS VARCHAR) AS json FROM part")
     q["limit_corpus"] = f"SELECT doc_id, lang, n_chars FROM documents ORDER BY doc_id LIMIT {C.CORPUS_LIMIT}"
     cols = "id, submitter, authors, title, comments, journal_ref, doi, abstract, categories, versions"
     q["list_papers"] = f"WITH {PART_PAPERS} SELECT {cols} FROM part_papers ORDER BY title, id"
@@ -162,9 +194,18 @@ def _sql() -> dict[str, str]:
     postings = (f"WITH {DOC_INDEX} SELECT term, doc_id, tf, round(idf, 6) AS idf, round(weight, 6) AS weight FROM w")
     q["posting_weights"] = postings
     q["document_norms"] = f"WITH {DOC_INDEX} SELECT doc_id, round(norm, 6) AS norm FROM norms"
-    q["posting_lists"] = (f"WITH {DOC_INDEX} SELECT term, count(*) AS size, round(any_value(idf), 6) AS idf, "
-                          f"count(*) AS entries FROM w GROUP BY term")
-    q["index_write_read"] = postings
+    q["posting_lists"] = f"WITH {DOC_INDEX} SELECT term, round(idf, 6) AS idf, doc_id, round(weight, 6) AS weight FROM w"
+    normal = "round(CASE WHEN norm = 0 THEN 0.0 ELSE weight / norm END, 6)"
+    none = "CAST(NULL AS {0})"
+    q["index_write_read"] = (
+        f"WITH {DOC_INDEX} SELECT 'posting' AS kind, term AS name, doc_id, CAST(tf AS DOUBLE) AS a, round(weight, 6) AS b FROM w "
+        f"UNION ALL SELECT 'normalised', term, doc_id, round(idf, 6), {normal} FROM w JOIN norms USING (doc_id) "
+        f"UNION ALL SELECT 'term', term, {none.format('BIGINT')}, CAST(df AS DOUBLE), round(idf, 6) FROM df "
+        f"UNION ALL SELECT 'norm', {none.format('VARCHAR')}, doc_id, round(norm, 6), {none.format('DOUBLE')} FROM norms "
+        f"UNION ALL SELECT 'document', text, doc_id, {none.format('DOUBLE')}, {none.format('DOUBLE')} FROM documents "
+        f"UNION ALL SELECT 'size', {none.format('VARCHAR')}, {none.format('BIGINT')}, n, {none.format('DOUBLE')} FROM nd")
+    q["index_overwrite"] = (f"WITH {DOC_INDEX} SELECT term, doc_id, tf, round(idf, 6) AS idf, round(weight, 6) AS weight, "
+                            f"{normal} AS nweight FROM w JOIN norms USING (doc_id)")
     bench_q = _query_ctes(BENCH_QUERIES)
     q["query_weights"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT query_id, term, qtf, round(qweight, 6) AS qweight, "
                           f"round(qnorm, 6) AS qnorm FROM qw JOIN qn USING (query_id)")
@@ -172,6 +213,12 @@ def _sql() -> dict[str, str]:
     q["cosine_topk"] = (f"WITH {DOC_INDEX}, {_query_ctes(FIRST_BENCH)} "
                         f"SELECT rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
     q["cosine_topk_batch"] = f"WITH {DOC_INDEX}, {bench_q} SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}"
+    q["cosine_topk_batch_written"] = q["cosine_topk_batch"]
+    q["cosine_topk_batch_stemmed"] = (f"WITH {_stemmed_ranking(BENCH_QUERIES)} "
+                                      f"SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
+    vocabulary = (f"SELECT DISTINCT lower(tok) AS word FROM (SELECT unnest({clean_tokens_sql('text')}) AS tok FROM documents) "
+                  f"WHERE NOT list_contains({STOP}, tok)")
+    q["stem_documents"] = f"WITH {porter2_ctes(vocabulary)} SELECT word, stem FROM stems"
     q["cosine_topk_hydrated"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT r.doc_id, r.query_id, r.rank, r.similarity, "
                                  f"d.lang, d.source, d.n_chars FROM ranked r LEFT JOIN documents d USING (doc_id) "
                                  f"WHERE r.rank <= {C.K}")
@@ -210,6 +257,21 @@ def _sql() -> dict[str, str]:
         f"{ft_base}, {_ft_query_ctes(one)} SELECT r.rank, r.similarity AS val, "
         f"CAST(to_json(struct_pack({info})) AS VARCHAR) AS info "
         f"FROM franked r JOIN part_papers p USING (doc_id) WHERE r.rank <= {C.K}")
+    strings = (f"WITH {STEMS_CTE}, {PART_PAPERS.replace('p_partkey AS doc_id', chr(39) + 'p' + chr(39) + ' || p_partkey AS doc_id')}, "
+               f"{_cos_part_ctes(_one_query(C.PART_QUERY))}, {_lexeme_ctes()}, {_ft_query_ctes(one)}, "
+               f"both_ AS (SELECT 'cosine' AS ranker, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K} "
+               f"UNION ALL SELECT 'fulltext', rank, doc_id, similarity FROM franked WHERE rank <= {C.K})")
+    q["compare_rankers_string_ids"] = f"{strings} SELECT ranker, rank, doc_id, similarity FROM both_"
+    own = ", ".join(f'"{f}" := p.{f.replace("-", "_")}' for f in C.RESULT_FIELDS)
+    q["compare_results"] = (f"{strings} SELECT ranker, rank, similarity AS val, CASE ranker WHEN 'cosine' "
+                            f"THEN CAST(to_json(struct_pack({own})) AS VARCHAR) ELSE CAST(to_json(struct_pack({info})) AS VARCHAR) END AS info "
+                            f"FROM both_ JOIN part_papers p USING (doc_id)")
+    q["fulltext_write_read"] = q["build_fulltext_search"] = q["fulltext_topk_batch"]
+    scanned = PART_PAPERS.replace("p_partkey AS doc_id", "CAST(p_partkey AS VARCHAR) AS doc_id")
+    blank = ", ".join(f'"{f}" := ' + (f"p.{f}" if f in ("id", "authors", "title", "categories", "abstract") else "' '") for f in C.RESULT_FIELDS)
+    q["paper_corpus"] = (f"WITH {STEMS_CTE}, {scanned}, {_cos_part_ctes(_one_query(C.PART_STEM_QUERY))} "
+                         f"SELECT rank, similarity AS val, CAST(to_json(struct_pack({blank})) AS VARCHAR) AS info "
+                         f"FROM ranked JOIN part_papers p USING (doc_id) WHERE rank <= {C.K}")
     q["merge_counts"] = f"WITH {DOC_INDEX} SELECT doc_id, term, tf FROM tf"
     q["merge_index"] = postings
     return q

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Field order of the record, with the JSON key each one is read from.
+# Field order of the record, with the JSON key each one is read from.
 PAPER_FIELDS = (
     ("id", "id"),
     ("submitter", "submitter"),
@@ -26,7 +26,7 @@ PAPER_FIELDS = (
     ("versions", "versions"),
 )
 PAPER_COLUMNS = tuple(name for name, _ in PAPER_FIELDS)
-# Fields that form the searchable text, in this order.
+# Fields that form the searchable text, in this order.
 SEARCH_FIELDS = ("id", "authors", "abstract", "categories", "title")
 MISSING = " "
 
