@@ -5,17 +5,19 @@ shingles is at least ``percent`` / 100. The result is each document's component
 and the number of documents it links with; links are found exactly.
 
 1. Documents with equal sets are one row of the incidence matrix, with a weight.
-2. Candidates. Ordered by any fixed order of shingles, two sets that link share
-   one of their first n - ceil(percent * n / 100) + 1 shingles, and their sizes
-   differ by the percentage at most. Shingles that are frequent in some task come
-   last in that order, so the first ones are rare. Each map task sends, for each
-   first shingle and size class, one document to the shingle's shard, and the
-   other documents of the shingle as candidate links to that one. The shards
-   link what remains. Components of these candidate links are the blocks in which
-   all similar documents are together.
+2. Candidates. Two sets of at most s shingles that link differ in at most
+   d = 2 s (1 - t) / (1 + t) shingles, t being the threshold. So if shingles are dealt to d + 1
+   parts by a hash, some part is the same in both. Each map task makes a print of every
+   part of its sets (for the set's size class and the next, so that neighbours meet) and
+   sends one document for each print to the print's shard, and the other
+   documents with that print as candidate links to that one. The shards link what remains.
+   Shingles that are frequent in some task are left out of the parts, which keeps
+   d a bound; a few parts more than d + 1 make up for empty ones, and a set with more empty
+   parts than that sends those too, so no pair is lost. Components of the candidate links are
+   the blocks in which all similar documents are together.
 3. Product. A block is cut into parts of bounded size; each pair of parts is a
    tile, small blocks share tiles. In a tile the matrix product is summed over
-   shingle columns: dense products for columns many documents share, pair
+   shingle columns: dense products for columns that many documents share, pair
    counts for the rest; pairs whose sizes alone rule the bound out are masked,
    pairs under the bound are dropped. A tile gives a spanning forest of its links
    and counts of links per document, never a list of pairs.
@@ -74,11 +76,6 @@ def set_prints(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def needed(size: np.ndarray, percent: int) -> np.ndarray:
-    """Least overlap of a set with one that it links with, from its size alone."""
-    return -(-size * percent // 100)
-
-
 def size_class(size: np.ndarray, percent: int) -> np.ndarray:
     """Classes such that linking sets are in the same or in neighbouring ones."""
     return np.floor(np.log(np.maximum(size, 1)) / -np.log(percent / 100 - 1e-9)).astype(np.int64)
@@ -98,87 +95,141 @@ def _describe(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
-    """Up to ``most`` frequent shingles, the most frequent last. Only the order of shingles depends on them."""
+    """Up to ``most`` shingles that more than one in ``share`` texts of some slice hold, sorted. They only shape the parts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in arrays.slices(whole, "text"):
+            for batch in arrays.slices(whole, "text", 2 * arrays.SLICE_BYTES):
                 h, n = np.unique(sets(batch, "text", k)[0], return_counts=True)
-                often = n >= max(2, batch.num_rows // share)
+                often = n >= max(6, batch.num_rows // share)
                 yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
 
     rows = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(
         F.desc("n"), "h").limit(most).collect()
-    return np.array([r["h"] for r in reversed(rows)], np.int64).view(np.uint64)
+    return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
+
 
+def parts_of(cls: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(parts, spare) of a size class: the bound on differences, one more, and spare parts for empty ones."""
+    t = percent / 100
+    base = -np.log(t - 1e-9)
+    largest, smallest = np.ceil(np.exp(base * (cls + 1))), np.exp(base * (cls - 1))
+    differ = np.floor(2 * (1 - t) / (1 + t) * largest + 1e-9)
+    parts = differ + 1
+    for _ in range(3):
+        empty = parts * np.exp(-smallest / parts)
+        parts = differ + 1 + np.ceil(empty + 3 * np.sqrt(empty))
+    return parts.astype(np.int64), (parts - differ - 1).astype(np.int64)
 
-def first_shingles(h: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(shingle, row) of each set's first ones: rare before frequent ones, then by hash."""
+
+def part_prints(h: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """(print, row) of the parts of each set, in its own size class and the next."""
     size = np.diff(at)
     row = np.repeat(np.arange(len(size)), size)
-    sort = np.argsort(frequent, kind="stable")
-    rank = np.zeros(len(h), np.int64)
     if len(frequent):
-        place = np.minimum(np.searchsorted(frequent[sort], h), len(frequent) - 1)
-        rank = np.where(frequent[sort][place] == h, sort[place] + 1, 0)
-    order = np.lexsort((h, rank, row))
-    count = size - needed(size, percent) + 1
-    count[size == 0] = 0
-    take = order[arrays.ranges(at[:-1], count)]
-    return h[take], row[take]
-
-
-def _stars(shingle: np.ndarray, cls: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Rows of equal (shingle, class): (order, first) and links of all but the first key to the first."""
-    order = np.lexsort((key, cls, shingle))
-    s, c, k = shingle[order], cls[order], key[order]
+        rare = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] != h
+        h, row = h[rare], row[rare]
+    out, owner = [], []
+    for step in (0, 1):
+        cls = size_class(size, percent) + step
+        parts, spare = parts_of(cls, percent)
+        parts[(size == 0) | (parts - spare <= 1)] = 0  # nothing but an equal set links with it
+        begin = np.cumsum(parts) - parts
+        use = parts[row] > 0
+        place = begin[row[use]] + (arrays.mix(h[use] + cls[row[use]].astype(np.uint64)) % np.maximum(parts[row[use]], 1).astype(np.uint64)).astype(np.int64)
+        total, count = np.zeros(int(parts.sum()), np.uint64), np.bincount(place, minlength=int(parts.sum()))
+        np.add.at(total, place, arrays.mix(h[use] ^ arrays.ODD))
+        of = np.repeat(np.arange(len(size)), parts)
+        number = np.arange(len(of)) - begin[of]
+        empty = np.bincount(of, weights=count == 0, minlength=len(size))
+        sent = (count > 0) | (empty > spare)[of]
+        out.append(arrays.mix(total + (number + 1).astype(np.uint64) * arrays.ODD + arrays.mix(cls.astype(np.uint64) + np.uint64(7))[of])[sent])
+        owner.append(of[sent])
+    return np.concatenate(out), np.concatenate(owner)
+
+
+def _stars(print_: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Rows of equal prints: (order, first) and links of all but the first key to the first."""
+    order = np.lexsort((key, print_))
+    s, k = print_[order], key[order]
     first = np.ones(len(order), bool)
-    first[1:] = (s[1:] != s[:-1]) | (c[1:] != c[:-1])
-    group = np.cumsum(first) - 1
-    head = k[first][group] if len(k) else k
+    first[1:] = s[1:] != s[:-1]
+    head = k[first][np.cumsum(first) - 1] if len(k) else k
     other = head != k
     return order, first, k[other], head[other]
 
 
 def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, shards: int) -> DataFrame:
-    """(u, v): candidate links whose components hold all similar pairs of (key, text)."""
+    """(u, v): candidate links whose components hold all similar pairs of (key, text).
+
+    A shard gets four bytes of each print and the text's number in its slice: prints that
+    happen to agree only add candidates."""
     shared = reps.sparkSession.sparkContext.broadcast(frequent)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in arrays.slices(whole, "text"):
-                h, at = sets(batch, "text", k)
-                s, row = first_shingles(h, at, shared.value, percent)
-                key = np.asarray(batch.column("key"), np.int64)[row]
-                cls = size_class(np.diff(at), percent)[row]
-                # A set is in its own size class and the next, so that neighbours meet.
-                s, key, cls = np.r_[s, s], np.r_[key, key], np.r_[cls, cls + 1]
-                order, first, u, v = _stars(s, cls, key)
-                keep = order[first]
-                own, shard = s[keep], (s[keep] % np.uint64(shards)).astype(np.int64)
+            for batch in arrays.slices(whole, "text", 2 * arrays.SLICE_BYTES):
+                keys = np.asarray(batch.column("key"), np.int64)
+                p, row = part_prints(*sets(batch, "text", k), shared.value, percent)
+                order, first, u, v = _stars(p, keys[row])
+                own, text = p[order[first]], row[order[first]].astype(np.int32)
+                shard = (own % np.uint64(shards)).astype(np.int64)
                 by = np.argsort(shard, kind="stable")
                 border = np.searchsorted(shard[by], np.arange(shards + 1))
-                rows = [(i, by[border[i]: border[i + 1]]) for i in range(shards) if border[i + 1] > border[i]]
-                out = [[i, own[r].tobytes(), cls[keep][r].astype(np.int32).tobytes(), key[keep][r].tobytes(), b"", b""] for i, r in rows]
+                out = []
+                for i in range(shards):
+                    at = by[border[i]: border[i + 1]]
+                    if len(at):
+                        texts, number = np.unique(text[at], return_inverse=True)
+                        small = np.uint16 if len(texts) < 1 << 16 else np.uint32
+                        out.append([i, (own[at] >> np.uint64(32)).astype(np.uint32).tobytes(), number.astype(small).tobytes(),
+                                    keys[texts].tobytes(), b"", b""])
                 if len(u):
                     u, v = arrays.forest(u, v)
                     out.append([int(u[0]) % shards, b"", b"", b"", u.tobytes(), v.tobytes()])
                 kinds = [pa.int32()] + [pa.binary()] * 5
                 yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[i]) for i in range(6)],
-                                                 ["shard", "shingle", "class", "key", "u", "v"])
+                                                 ["shard", "print", "text", "key", "u", "v"])
 
     def meet(table: pa.Table) -> pa.Table:
         rows = table.to_pydict()
-        s, c, key, u, v = (np.frombuffer(b"".join(rows[f]), kind) for f, kind in
-                           (("shingle", np.uint64), ("class", np.int32), ("key", np.int64), ("u", np.int64), ("v", np.int64)))
-        _, _, a, b = _stars(s, c, key)
+        prints, keys = [], []
+        for p, text, key in zip(rows["print"], rows["text"], rows["key"], strict=True):
+            prints.append(np.frombuffer(p, np.uint32))
+            number = np.frombuffer(text, np.uint16 if len(text) == 2 * len(prints[-1]) else np.uint32)
+            keys.append(np.frombuffer(key, np.int64)[number])
+        _, _, a, b = _stars(np.concatenate(prints), np.concatenate(keys))
+        u, v = (np.frombuffer(b"".join(rows[f]), np.int64) for f in ("u", "v"))
         a, b = arrays.forest(np.r_[u, a], np.r_[v, b])
         return pa.table({"u": a, "v": b})
 
-    packed = reps.mapInArrow(cut, "shard int, shingle binary, class binary, key binary, u binary, v binary")
+    packed = reps.mapInArrow(cut, "shard int, print binary, text binary, key binary, u binary, v binary")
     return packed.groupBy("shard").applyInArrow(meet, "u long, v long")
 
 
+def _blocks(src: DataFrame, k: int, percent: int, shard_bytes: int, max_frequent: int, large: int) -> DataFrame:
+    """(node, component): blocks of (key, text) that hold all similar pairs.
+
+    Shingles rare in the corpus may still be shared by all texts of a block that grew by chains. The
+    texts of blocks over ``large`` go through the same step by themselves, without the shingles
+    that are frequent among them, as long as that takes such blocks apart."""
+
+    def step(texts: DataFrame) -> DataFrame:
+        total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+        return components(_candidates(texts, k, percent, _frequent(texts, k, max_frequent, 200), max(1, math.ceil(total / shard_bytes))))
+
+    block, before = step(src), None
+    while True:
+        big = block.groupBy("component").agg(F.count("*").alias("rows")).where(F.col("rows") > large).select("component")
+        inside = saved(block.join(big, "component").select(F.col("node").alias("key")), "large")
+        now = inside.count()
+        if not now or (before is not None and now > 0.9 * before):
+            return block
+        before = now
+        block = block.join(inside, F.col("node") == F.col("key"), "left_anti").union(
+            step(saved(src.join(inside, "key", "left_semi"), "large")))
+
+
 def overlaps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Matrix of the shingles that each two of the sets share, summed over blocks of columns."""
     n = len(at) - 1
@@ -265,9 +316,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = saved(_describe(src, k), "sets")
     groups = saved(known.where("n > 0").groupBy("a", "b", "n").agg(F.min("key").alias("rep"), F.count("*").alias("weight")), "groups")
 
-    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    frequent = _frequent(src, k, max_frequent, 50)
-    block = components(_candidates(src, k, percent, frequent, max(1, math.ceil(total / shard_bytes))))
+    block = _blocks(src, k, percent, shard_bytes, max_frequent, 4 * part_rows)
     # Documents with equal sets are candidates of each other; from here on only the first of them goes on.
     block = block.join(groups.select(F.col("rep").alias("node"), "weight", "n"), "node")
     sizes = block.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).where("rows > 1")
