@@ -31,8 +31,9 @@ import sys
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
+import zstandard
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,63 +137,78 @@ def train(docs: DataFrame, trusted: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def perplexity(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text",
-               block_bytes: int = 16 << 20) -> tuple[DataFrame, dict[str, str]]:
-    """``docs`` with n_grams and perplexity, and the names these got."""
+               block_bytes: int = 16 << 20, columns: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with n_grams and perplexity, and the names these got. ``columns``: those of ``docs`` to keep (default: all)."""
     names = {k: fresh(docs, k) for k in ("n_grams", "perplexity")}
-    block = fresh(docs, "block")
+    columns = docs.columns if columns is None else columns
+    block, packed = fresh(docs, "block"), fresh(docs, "packed")
     total = docs.agg(F.sum(F.octet_length(text_col))).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     cuts = docs.agg(F.percentile_approx(F.col(id_col).cast("long"), [i / blocks for i in range(1, blocks)], 10 * blocks)
                     ).first()[0] if blocks > 1 else []
     cuts = np.unique(np.array(cuts or [], np.int64))
 
-    @F.pandas_udf("int")
-    def place(ids: pd.Series) -> pd.Series:
-        return pd.Series(np.searchsorted(cuts, ids.fillna(0).astype(np.int64).to_numpy(), side="right"), dtype=np.int32)
-
-    placed = docs.withColumn(block, place(F.col(id_col).cast("long")))
+    def block_of(ids: pa.Array) -> np.ndarray:
+        return np.searchsorted(cuts, np.asarray(pc.fill_null(ids.cast(pa.int64()), 0)), side="right").astype(np.int32)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in arrays.slices(whole, "text"):
                 g, text = grams(*arrays.text_buffer(batch.column("text")))
-                of = np.asarray(batch.column("block"), np.int64)[text]
+                of = block_of(batch.column("id")).astype(np.int64)[text]
                 both = np.unique((of << 32) | g)
                 yield pa.RecordBatch.from_arrays([pa.array((both >> 32).astype(np.int32)), pa.array(both & 0xFFFFFFFF)], ["block", "gram"])
 
-    asked = saved(placed.select(F.col(block).alias("block"), F.col(text_col).cast("string").alias("text")).mapInArrow(
+    # Texts travel compressed to their block.
+    sent = StructType([*(docs.schema[c] for c in columns if c != text_col)]).add(block, "integer").add(packed, "binary")
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        squeeze = zstandard.ZstdCompressor(level=1)
+        for batch in batches:
+            text = [None if t is None else squeeze.compress(t.encode()) for t in batch.column(text_col).to_pylist()]
+            own = [c for c in columns if c != text_col]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(block_of(batch.column(id_col))), pa.array(text, pa.binary())],
+                                             [*own, block, packed])
+
+    asked = saved(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(
         ask, "block int, gram long").distinct(), "asked")
     answers = asked.join(model.log_probabilities(asked.select("gram").distinct()), "gram").select(F.col("block").alias(block), "gram", "logp")
-    schema = StructType(list(docs.schema.fields)).add(names["n_grams"], "long").add(names["perplexity"], "double")
+    schema = StructType([docs.schema[c] for c in columns]).add(names["n_grams"], "long").add(names["perplexity"], "double")
 
-    def score(texts: pa.Table, known: pa.Table) -> pa.Table:
+    def score(rows: pa.Table, known: pa.Table) -> pa.Table:
         known = known.sort_by("gram")
         table, logp = np.asarray(known["gram"]), np.asarray(known["logp"])
-        count, mean = [np.zeros(0, np.int64)], [np.zeros(0)]
-        for whole in texts.to_batches():
-            for batch in arrays.slices(whole, text_col):
-                g, text = grams(*arrays.text_buffer(batch.column(text_col)))
-                n = np.bincount(text, minlength=batch.num_rows)
-                s = np.bincount(text, weights=logp[np.searchsorted(table, g)] if len(g) else None, minlength=batch.num_rows)
+        unpack = zstandard.ZstdDecompressor()
+        count, mean, texts = [np.zeros(0, np.int64)], [np.zeros(0)], []
+        for whole in rows.to_batches(max_chunksize=1000):
+            text = pa.array([None if z is None else unpack.decompress(z).decode() for z in whole.column(packed).to_pylist()], pa.string())
+            for batch in arrays.slices(pa.RecordBatch.from_arrays([text], ["text"]), "text"):
+                g, of = grams(*arrays.text_buffer(batch.column("text")))
+                n = np.bincount(of, minlength=batch.num_rows)
+                s = np.bincount(of, weights=logp[np.searchsorted(table, g)] if len(g) else None, minlength=batch.num_rows)
                 count.append(n)
                 mean.append(np.exp(-s / np.maximum(n, 1)))
+            texts.append(text)
         count, mean = np.concatenate(count), np.concatenate(mean)
-        own = [c for c in texts.schema.names if c != block]
-        return pa.table([*(texts[c] for c in own), pa.array(count), pa.array(mean, mask=count == 0)], [*own, *names.values()])
+        own = [pa.chunked_array(texts, pa.string()) if c == text_col else rows[c] for c in columns]
+        return pa.table([*own, pa.array(count), pa.array(mean, mask=count == 0)], [*columns, *names.values()])
 
-    return placed.groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(score, schema), names
+    return docs.mapInArrow(send, sent).groupBy(block).cogroup(answers.groupBy(block)).applyInArrow(score, schema), names
 
 
 def quality_filter(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    lang_col: str = "lang", quantile: float = 0.99, block_bytes: int = 16 << 20,
-                   broadcast_ids: int = 4_000_000) -> tuple[DataFrame, dict[str, str]]:
+                   broadcast_ids: int = 4_000_000, columns: list[str] | None = None) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with n_grams, perplexity, threshold and keep, and the names these got.
 
+    ``columns``: those of ``docs`` to keep (default: all); they are written once with the scores, so leaving the
+    text out saves as much disk as it takes. ``id_col`` and ``lang_col`` must be among them.
+
     ``labels``: doc_id and quality (1: good). Thresholds: the ``quantile`` of each language's trusted documents.
     """
     trusted = labels.where("quality IS NOT NULL AND doc_id IS NOT NULL").groupBy("doc_id").agg(
         F.min("quality").alias("quality")).where("quality >= 1").select("doc_id")
-    scored, names = perplexity(docs, train(docs, trusted, id_col, text_col, broadcast_ids), id_col, text_col, block_bytes)
+    scored, names = perplexity(docs, train(docs, trusted, id_col, text_col, broadcast_ids), id_col, text_col, block_bytes, columns)
     scored = saved(scored, "perplexity")
     names = names | {k: fresh(docs, k) for k in ("threshold", "keep")}
     value = F.col(names["perplexity"])

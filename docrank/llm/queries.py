@@ -61,7 +61,7 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     from docrank.llm.quality import quality_filter
 
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    out, names = quality_filter(docs, _read(spark, sf_dir, "labels").select("doc_id", "quality"))
+    out, names = quality_filter(docs, _read(spark, sf_dir, "labels").select("doc_id", "quality"), columns=["doc_id", "lang"])
     return out.select("doc_id", "lang", *(F.col(names[k]).alias(k) for k in ("n_grams", "perplexity", "threshold", "keep")))
 
 
