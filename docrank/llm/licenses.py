@@ -91,18 +91,8 @@ class Class:
             out.append(key)
         return out
 
-    def candidates(self, shingle: np.ndarray, low: np.ndarray) -> set[tuple[int, int]]:
-        """(window, template) pairs that share a band. ``low``: first shingles of the windows."""
-        columns = []
-        for seed in self.seeds:
-            h, width = arrays.mix(shingle ^ seed), 1
-            while width * 2 <= self.length:
-                h[: len(h) - width] = np.minimum(h[: len(h) - width], h[width:])
-                width *= 2
-            rest = self.length - width
-            if rest:
-                h[: len(h) - rest] = np.minimum(h[: len(h) - rest], h[rest:])
-            columns.append(h[low])
+    def candidates(self, columns: list[np.ndarray]) -> set[tuple[int, int]]:
+        """(window, template) pairs that share a band. ``columns``: the windows' smallest hash for each seed."""
         found = set()
         for (known, of), key in zip(self.keys, self.band_keys(columns), strict=True):
             place = np.minimum(np.searchsorted(known, key), len(known) - 1)
@@ -111,6 +101,24 @@ class Class:
         return found
 
 
+def smallest_hashes(shingle: np.ndarray, classes: list[Class], lows: list[np.ndarray]) -> list[list[np.ndarray]]:
+    """For each class and seed, the smallest hash in each of its windows, which begin at ``lows``.
+
+    The classes use the same seeds, so a shingle is hashed once for all of them, and the
+    minima over 2, 4, 8, ... shingles are shared."""
+    out: list[list[np.ndarray]] = [[] for _ in classes]
+    for i, seed in enumerate(max((c.seeds for c in classes), key=len, default=())):
+        h, width = arrays.mix(shingle ^ seed), 1
+        for n, c in sorted(enumerate(classes), key=lambda x: x[1].length):
+            if i >= len(c.seeds):
+                continue
+            while width * 2 <= c.length:
+                h[: len(h) - width] = np.minimum(h[: len(h) - width], h[width:])
+                width *= 2
+            out[n].append(np.minimum(h[lows[n]], h[lows[n] + c.length - width]))
+    return out
+
+
 def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, text_col: str = "text", k: int = 5,
                   containment: float = 0.8, miss: float = 1e-6) -> tuple[DataFrame, str]:
     """``docs`` with an array of struct(license, template, word, containment), by place; and its name.
@@ -139,24 +147,23 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         for i in np.flatnonzero((words.count > 0) & (words.count < k)) if short else ():
             if (t := short.get(int(value[begin[i]]))) is not None:
                 best[int(i), t] = (1.0, 0)
-        for c in classes:
-            # The texts' shingles with room between texts, so that no window holds two texts' shingles.
-            gap = c.length
-            place = np.arange(len(value)) + owner * gap
-            row = np.full(len(value) + n * gap, np.uint64(0))
-            row[:] = arrays.mix(np.arange(len(row), dtype=np.uint64) * arrays.ODD)
-            row[place] = value
-            size = np.diff(begin)
-            count = np.where(size > 0, -(-size // c.step), 0)
-            low = arrays.ranges(np.zeros(n, np.int64), count) * c.step + np.repeat(begin[:-1] + np.arange(n) * gap, count)
-            text = np.repeat(np.arange(n), count)
-            for w, t in c.candidates(row, low):
+        # The texts' shingles with room between texts, so that no window holds two texts' shingles.
+        gap = max((c.length for c in classes), default=0)
+        row = arrays.mix(np.arange(len(value) + n * gap, dtype=np.uint64) * arrays.ODD)
+        row[np.arange(len(value)) + owner * gap] = value
+        size, origin = np.diff(begin), begin[:-1] + np.arange(n) * gap
+        counts = [np.where(size > 0, -(-size // c.step), 0) for c in classes]
+        lows = [arrays.ranges(np.zeros(n, np.int64), m) * c.step + np.repeat(origin, m) for c, m in zip(classes, counts, strict=True)]
+        for c, m, low, columns in zip(classes, counts, lows, smallest_hashes(row, classes, lows), strict=True):
+            text = np.repeat(np.arange(n), m)
+            for w, t in c.candidates(columns):
                 number, want = c.templates[t]
-                first = max(low[w] - c.step, begin[text[w]] + text[w] * gap)
-                share = np.isin(want, row[first: low[w] + c.length + c.step]).mean()
+                first = max(low[w] - c.step, origin[text[w]])
+                near = row[first: low[w] + c.length + c.step]
+                share = np.isin(want, near).mean()
                 if share >= containment:
                     at = (text[w], number)
-                    hit = (float(share), -int(first + np.flatnonzero(np.isin(row[first: low[w] + c.length + c.step], want))[0] - begin[text[w]] - text[w] * gap))
+                    hit = (float(share), -int(first + np.flatnonzero(np.isin(near, want))[0] - origin[text[w]]))
                     best[at] = max(best.get(at, (0.0, 0)), hit)
         out: list[list[dict]] = [[] for _ in range(n)]
         for (i, t), (share, word) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][1], x[0][1])):
