@@ -45,11 +45,12 @@ def main() -> None:
            "coalesce partitions at run time.", ""]
     built = C.doc_index(spark, sf)
     sections = [
-        ("Term counts (tokenise, stop test, partial + final count; persisted)",
+        ("Term counts (tokenise, stop test, partial + final count)",
          IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=False))),
-        ("Postings written: tf ⋈ dictionary (broadcast, proven size) ⋈ norms (broadcast, proven size), range sort",
-         IX.normalized_postings(built).orderBy("term", "doc_id")),
-        ("Norms: narrow partial sums, one zero row per record", built.norms),
+        ("Postings written: tf ⋈ dictionary (broadcast, bytes summed) ⋈ norms (broadcast, bytes summed), dealt to term folders",
+         IX.by_bucket(IX.normalized_postings(built), built.terms, "df")[0]),
+        ("Norms: narrow partial sums, one zero row per record",
+         IX.document_norms(built.postings, C.documents(spark, sf).select("doc_id"))),
     ]
     path = scratch_path(spark, f"plans-{uuid.uuid4().hex}")
     idx = IX.write_index(built, path)
@@ -58,11 +59,10 @@ def main() -> None:
     sections += [
         ("Batch search on the written index (query side broadcast, WindowGroupLimit before the exchange)",
          SR.search_batch(idx, bench, C.K, "item_id", "text")),
-        ("Single search on the written index (term IN pushed into the postings scan)",
+        ("Single search on the written index (a batch of one; partition filter on the term folders)",
          SR.search(idx, C.first_benchmark_text(spark, sf), C.K)),
-        ("Stemmed term counts (vocabulary job, proven-size stem table broadcast, re-sum by stem)",
-         IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=True),
-                           cache=[])),
+        ("Stemmed term counts (Arrow batches over counted words, re-sum by stem)",
+         IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=True))),
         ("Weighted full-text batch", FT.fulltext_search_batch(C.part_lexemes(spark, sf), C.part_name_queries(spark, sf),
                                                              C.K)),
         ("Posting-list export in bounded blocks", IX.posting_lists(idx).select("term", "block", F.col("size"))),
