@@ -65,7 +65,7 @@ def train(docs: DataFrame, usable: Column, text_col: str = "text", lang_col: str
 def sizes(text: str, models: list[zstandard.ZstdCompressor]) -> list[int] | None:
     """Compressed size of the whole text under each model; None without letters."""
     data = zdict.letters(text)
-    if not data:
+    if not any(map(str.isalpha, data)):  # other word characters, such as superscript digits, are no letters
         return None
     parts = zdict.windows(b" " + data.encode() + b" ", WINDOW)
     return [sum(len(m.compress(p)) for p in parts) for m in models]

@@ -34,7 +34,7 @@ def test_language_edge_cases(spark):
     models = langid.train(df, ~held_out("doc_id"))
     assert [m[0] for m in models] == ["aa", "bb"]
     long = " ".join([make(b, 20000)])
-    test = spark.createDataFrame([(None, "1 2 !"), (None, None), (1, ""), (2, make(a, 40)), (3, long), (3, long), (4, "x")],
+    test = spark.createDataFrame([(None, "1 2 ² ½ !"), (None, None), (1, ""), (2, make(a, 40)), (3, long), (3, long), (4, "x")],
                                  "Score long, text string")
     out, names = langid.identify(test, models)
     assert names["score"] == "_score" and out.columns[:2] == ["Score", "text"]
