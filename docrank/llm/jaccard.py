@@ -335,7 +335,8 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 own = [c for c in batch.schema.names if c != "text"]
                 yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in own), pa.array(packed, pa.binary())], [*own, "shingles"])
 
-    member = src.join(placed, "key").select("key", "text", "block", "parts", "part", "weight").mapInArrow(
+    # Blocked texts grow with the corpus: the same join at every size.
+    member = src.join(placed.hint("shuffle_merge"), "key").select("key", "text", "block", "parts", "part", "weight").mapInArrow(
         load, "key long, block long, parts int, part int, weight long, shingles binary")
     tiled = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         "key", "block", "part", "weight", "shingles", F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two"),
