@@ -149,3 +149,24 @@ def test_quality_edge_cases(spark):
     rows = out.collect()
     assert len(rows) == 5 and all(r[names["keep"]] for r in rows) and names["perplexity"] == "_perplexity"
     assert quality.quality_filter(docs.where("false"), none)[0].collect() == []
+
+
+def test_toxic_words_of_rare_languages(spark):
+    """Their n-grams weigh little beside those of the frequent language, and copies of one text make none."""
+    rng = random.Random(5)
+    frequent = [f"{c}{v}{d}" for c in "bcdfgl" for v in "aeiou" for d in ("na", "ro", "te")]
+    rare = [f"{c}{v}{d}" for c in "hjkpst" for v in "äöü" for d in ("schen", "lich")]
+    # Language, words, toxic words, toxic and ordinary documents.
+    kinds = {"aa": (frequent, ["stinkword", "uglyterm"], 2000, 2400), "bb": (rare, ["zwackelmuff"], 25, 300)}
+    rows = [(lang, int(k < n1), " ".join(rng.choice(toxic if k < n1 and rng.random() < 0.15 else words) for _ in range(60)))
+            for lang, (words, toxic, n1, n0) in kinds.items() for k in range(n1 + n0)]
+    rows += [("aa", 1, "stinkword " + " ".join(f"copied{chr(97 + k)}word" for k in range(26)))] * 30
+    table = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, toxic int, text string")
+    model = toxicity.train(table.drop("lang", "toxic"), table.select("doc_id", "toxic"), ~held_out("doc_id"))
+    assert b"zwackelmuff" in model.toxic and b"copied" not in model.toxic
+    out, names = toxicity.score_toxicity(table.where(held_out("doc_id")), model)
+    got = out.select("lang", "toxic", F.col(names["predicted"]).alias("predicted")).collect()
+    for lang in kinds:
+        for toxic in (0, 1):
+            own = [r.predicted for r in got if r.lang == lang and r.toxic == toxic]
+            assert own and sum(p == toxic for p in own) >= 0.9 * len(own), (lang, toxic)
