@@ -1,7 +1,8 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained: one on ordinary text, its prose, and one
-on toxic text: prose and the words that mark toxic documents, chosen one by one
+Two zstandard dictionaries share the prose of a few hundred ordinary documents;
+the toxic one also has the words that mark toxic documents, the other digits in
+their place, so neither is trained on whole toxic texts. The words are chosen one by one
 for the character n-grams in them that occur in toxic rather than ordinary
 documents and that no chosen word has, until all such n-grams are covered or the
 words fill ``ROOM`` bytes. Near copies count as one document there. A window of text that holds a toxic
