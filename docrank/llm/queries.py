@@ -125,6 +125,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col(names["predicted"]).alias("predicted"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and draw of every document towards the words of ``benchmark``: 10 % of those with 20 words or more."""
+    from docrank.llm.resample import importance_resample
+
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text")
+    out, names = importance_resample(docs, _read(spark, sf_dir, "benchmark").select("text"), n=1, columns=["doc_id"])
+    return out.select("doc_id", *(F.col(names[k]).alias(k) for k in ("n_features", "weight", "score", "rank")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_language_id": op2_language_id,
@@ -136,6 +145,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scans": op8_license_scans,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op13_importance_resampling": op13_importance_resampling,
 }
 
 # SQL for DuckDB where it states the operator; the others are tested against brute force, round trips or held-out accuracy.
@@ -213,4 +223,31 @@ judged AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0
 ruled AS (SELECT page_id, host, path, {_RULES} AS rule FROM base)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN bad_host THEN 'block' ELSE 'allow' END AS verdict FROM ruled JOIN judged USING (host)""",
+    # The CRC-32 of each distinct word, bit by bit: a byte is followed by seven zeros, one shift each.
+    "op13_importance_resampling": r"""
+WITH doc AS (
+  SELECT doc_id, list_filter(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w FROM documents),
+item AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\x{80}-\x{10FFFF}]+')) AS w FROM benchmark),
+used AS MATERIALIZED (SELECT doc_id, w, count(*) AS n FROM (SELECT doc_id, unnest(w) AS w FROM doc) GROUP BY ALL),
+coded AS MATERIALIZED (
+  SELECT w, xor(list_reduce([CASE WHEN i % 8 = 0 THEN CAST('0x' || substr(hex(encode(w)), CAST(i // 4 + 1 AS BIGINT), 2) AS BIGINT) ELSE 0 END
+                             for i in range(8 * octet_length(encode(w)))],
+                            lambda c, x: xor(xor(c, x) >> 1, 3988292384 * (xor(c, x) & 1)), CAST(4294967295 AS BIGINT)), 4294967295) % 10000 AS bucket
+  FROM (SELECT w FROM used UNION SELECT w FROM item)),
+s AS (SELECT bucket, CAST(sum(n) AS DOUBLE) AS s FROM used JOIN coded USING (w) GROUP BY bucket),
+t AS (SELECT bucket, CAST(count(*) AS DOUBLE) AS t FROM item JOIN coded USING (w) GROUP BY bucket),
+total AS (SELECT coalesce((SELECT sum(s) FROM s), 0) AS a, coalesce((SELECT sum(t) FROM t), 0) AS b),
+gain AS (
+  SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1) * (a + 10000) / ((coalesce(s, 0) + 1) * (b + 10000)))) AS BIGINT) AS g
+  FROM s FULL JOIN t USING (bucket), total),
+weighed AS (
+  SELECT doc_id, CAST(floor(CAST(sum(n * g) AS DOUBLE) / sum(n)) AS BIGINT) AS weight FROM used JOIN coded USING (w) JOIN gain USING (bucket) GROUP BY doc_id),
+scored AS (
+  SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight, coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln(
+    (CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM doc LEFT JOIN weighed USING (doc_id)),
+placed AS (
+  SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS place, 10 * count(*) OVER () // 100 AS most FROM scored WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= most THEN place END AS rank FROM scored LEFT JOIN placed USING (doc_id)""",
 }
