@@ -1,4 +1,4 @@
-"""Registered queries of the ten operators, each over its whole table.
+"""Registered queries of the numbered operators, each over its whole table.
 
 The operators keep their own columns; these functions derive the digest
 columns (hashes, counts, flags) that the queries return.
@@ -125,6 +125,14 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.col(names["predicted"]).alias("predicted"))
 
 
+def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document under links of 4 or fewer differing bits."""
+    from docrank.llm.simhash import near_fingerprints
+
+    out, names = near_fingerprints(_read(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"])
+    return out.select("doc_id", F.col(names["fingerprint"]).alias("fingerprint"), F.col(names["component"]).alias("component_id"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and draw of every document towards the words of ``benchmark``: 10 % of those with 20 words or more."""
     from docrank.llm.resample import importance_resample
@@ -145,6 +153,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_scans": op8_license_scans,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_simhash_near_dedup": op11_simhash_near_dedup,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
