@@ -133,6 +133,13 @@ def op11_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", F.col(names["fingerprint"]).alias("fingerprint"), F.col(names["component"]).alias("component_id"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters keep, remove and lose in all 120 orders, for each source of ``documents``."""
+    from docrank.llm.audit import audit_filters
+
+    return audit_filters(spark, f"{sf_dir}/documents.parquet", _read(spark, sf_dir, "labels").select("doc_id", "quality", "toxic"))
+
+
 def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and draw of every document towards the words of ``benchmark``: 10 % of those with 20 words or more."""
     from docrank.llm.resample import importance_resample
@@ -154,6 +161,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op11_simhash_near_dedup": op11_simhash_near_dedup,
+    "op12_filter_audit": op12_filter_audit,
     "op13_importance_resampling": op13_importance_resampling,
 }
 
@@ -232,6 +240,38 @@ judged AS (SELECT host, mean - 1.645 * sqrt(mean * (1 - mean) / (n + k + 1)) > 0
 ruled AS (SELECT page_id, host, path, {_RULES} AS rule FROM base)
 SELECT page_id, host, path, rule, CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block' WHEN rule IS NOT NULL THEN 'allow'
   WHEN bad_host THEN 'block' ELSE 'allow' END AS verdict FROM ruled JOIN judged USING (host)""",
+    "op12_filter_audit": r"""
+WITH marks AS (
+  SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
+doc AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w, min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least FROM documents),
+masked AS (
+  SELECT part, coalesce(good, false) AS good, coalesce(toxic, false) AS toxic,
+         CASE WHEN len(w) < 50 THEN 'A' ELSE '' END || CASE WHEN 100 * len(list_distinct(w)) < 65 * len(w) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * len(regexp_replace(text, '[^A-Z]', '', 'g')) > 5 * len(text) THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END || CASE WHEN doc_id > least THEN 'E' ELSE '' END AS fails
+  FROM doc LEFT JOIN marks USING (doc_id)),
+counts AS (
+  SELECT part, fails, count(*) AS n, count(*) FILTER (good) AS good, count(*) FILTER (toxic) AS toxic FROM masked GROUP BY part, fails),
+letters AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS x),
+orders AS (
+  SELECT a.x || b.x || c.x || d.x || e.x AS filter_order FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+steps AS (
+  SELECT filter_order, step, substr(filter_order, step, 1) AS f, substr(filter_order, 1, step - 1) AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+placed AS (
+  SELECT *, contains(fails, f) AS own, len(translate(fails, before, '')) < len(fails) AS gone FROM counts, steps),
+told AS (
+  SELECT part, filter_order, step, f, sum(n) FILTER (NOT own AND NOT gone) AS kept, sum(n) FILTER (own AND NOT gone) AS removed,
+         sum(n) FILTER (own AND gone) AS redundant, sum(n) FILTER (fails = f) AS unique_fails,
+         sum(good) FILTER (own AND NOT gone) AS good_lost, sum(toxic) FILTER (own AND NOT gone) AS toxic_lost
+  FROM placed GROUP BY part, filter_order, step, f)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(coalesce(kept, 0) AS BIGINT) AS kept, CAST(coalesce(removed, 0) AS BIGINT) AS removed,
+       CAST(coalesce(redundant, 0) AS BIGINT) AS redundant, CAST(coalesce(unique_fails, 0) AS BIGINT) AS unique_fails,
+       CAST(coalesce(good_lost, 0) AS BIGINT) AS good_lost, CAST(coalesce(toxic_lost, 0) AS BIGINT) AS toxic_lost,
+       CAST(sum(coalesce(removed, 0)) OVER (PARTITION BY part, f) AS BIGINT) AS shapley FROM told""",
     # The CRC-32 of each distinct word, bit by bit: a byte is followed by seven zeros, one shift each.
     "op13_importance_resampling": r"""
 WITH doc AS (
