@@ -48,8 +48,11 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FILTERS = "ABCDE"
 COPY = 16  # the mask of filter E
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# How the stream keeps its state; read when it starts.
+STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+PARTITIONS = "spark.sql.shuffle.partitions"
+STATE_ROWS = 1 << 17  # rows of the table for a partition of the state
 SALTS = 8
 COUNTER = ["part", "mask", "good", "toxic"]
 REDUCED = "bucket long, key binary, id long, part string, mask int, good boolean, toxic boolean, n long"
@@ -122,7 +125,7 @@ def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iter
 
 
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                part_col: str = "source", batches: int = 8, texts_a_key: int = 16, batch_files: int | None = None) -> DataFrame:
+                part_col: str = "source", batches: int = 4, texts_a_key: int = 16, batch_files: int | None = None) -> DataFrame:
     """(part, mask, good, toxic, n) of the Parquet table at ``path``: rows by the filters that they fail.
 
     ``labels``: doc_id, quality, toxic. A micro-batch takes about one of ``batches`` equal shares of the files'
@@ -140,13 +143,16 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, id_col: str =
     changes = reduced.groupBy("bucket").applyInPandasWithState(
         update, "part string, mask int, good boolean, toxic boolean, n long", "known binary", "append", GroupStateTimeout.NoTimeout)
     out = scratch_path(spark, f"llm-audit-{uuid.uuid4().hex}")
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)  # read when the query starts
+    settings = STATE | {PARTITIONS: str(max(spark.sparkContext.defaultParallelism, math.ceil(rows / STATE_ROWS)))}
+    before = {k: spark.conf.get(k, None) for k in settings}
     try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
         query = changes.writeStream.outputMode("append").trigger(availableNow=True).option("checkpointLocation", out + "/state").format(
             "parquet").start(out + "/changes")
     finally:
-        spark.conf.unset(PROVIDER) if before is None else spark.conf.set(PROVIDER, before)
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     query.awaitTermination()
     return spark.read.schema(changes.schema).parquet(out + "/changes").groupBy(*COUNTER).agg(F.sum("n").alias("n")).where("n <> 0")
 

@@ -65,9 +65,10 @@ def test_equals_every_order_run(spark, tmp_path, options):
     for lo in range(0, len(order), 70):
         spark.createDataFrame(order[lo: lo + 70], "doc_id long, text string, source string").coalesce(1).write.mode("append").parquet(path)
     marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
-    before = spark.conf.get(audit.PROVIDER, None)
+    settings = [*audit.STATE, audit.PARTITIONS]
+    before = [spark.conf.get(k, None) for k in settings]
     got = sorted(map(tuple, audit.audit_filters(spark, path, marks, **options).collect()))
-    assert got == plain(docs, labels) and spark.conf.get(audit.PROVIDER, None) == before
+    assert got == plain(docs, labels) and [spark.conf.get(k, None) for k in settings] == before
     con = duckdb.connect()
     con.register("documents", pd.DataFrame(docs, columns=["doc_id", "text", "source"]).astype({"doc_id": "Int64"}))
     con.register("labels", pd.DataFrame(labels, columns=["doc_id", "quality", "toxic"]).astype("Int64"))
