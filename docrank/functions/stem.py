@@ -211,9 +211,9 @@ def stem_vocabulary(words: DataFrame, word_col: str = "term") -> DataFrame:
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def stem_words_udf(lists: pd.Series) -> pd.Series:
-    """Letter-only words of each list stemmed, others unchanged; one lookup per distinct word of a batch."""
+    """Words and hyphenated words of each list stemmed, others unchanged; one lookup per distinct word of a batch."""
     words = {w for ws in lists if ws is not None for w in ws}
-    table = {w: porter2(w) if re.fullmatch("[a-z]+", w) else w for w in words}
+    table = {w: porter2(w) if re.fullmatch("[^\\W\\d_]+(?:-[^\\W\\d_]+)*", w) else w for w in words}
     return lists.map(lambda ws: None if ws is None else [table[w] for w in ws])
 
 

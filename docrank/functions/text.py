@@ -225,6 +225,37 @@ def truncate_display(col, n: int = 40) -> Column:
     return F.substring(_c(col), 1, n)
 
 
+# Token types of a field: what each looks like in lower-cased text, the first that fits from the left.
+# A host or a compound has up to MOST_PARTS parts, so that no text exhausts the regex engine's stack.
+_LETTER, _SIGN = "[\\p{L}\\p{M}]", "[\\p{L}\\p{M}\\p{N}]"
+MOST_PARTS = "{1,64}"
+TOKEN_SHAPES = (
+    f"{_SIGN}[\\p{{L}}\\p{{M}}\\p{{N}}._+-]*@(?:{_SIGN}+(?:-{_SIGN}+)*\\.)+{_LETTER}{{2,}}",  # e-mail address
+    f"(?:{_SIGN}+(?:-{_SIGN}+)*\\.)+{_LETTER}{{2,}}",  # host
+    f"{_LETTER}{_SIGN}*(?:-{_SIGN}+)+",  # hyphenated compound
+    f"{_SIGN}+",  # word or number
+)
+TOKEN_PATTERN = "|".join(x.replace(")+", ")" + MOST_PARTS).replace(")*", ")" + MOST_PARTS.replace("1", "0", 1)) for x in TOKEN_SHAPES)
+
+
+def token_kind(token: Column) -> Column:
+    """email, host, compound, number (digits only), numword (with digits) or word."""
+    return (F.when(F.contains(token, F.lit("@")), "email").when(F.contains(token, F.lit(".")), "host")
+            .when(F.contains(token, F.lit("-")), "compound").when(~token.rlike("[^\\p{N}]"), "number")
+            .when(token.rlike("\\p{N}"), "numword").otherwise("word"))
+
+
+def scan_tokens(col) -> Column:
+    """Typed tokens of a field in order, array<struct<kind, token>>; a compound is followed by its parts.
+
+    Words have letters of any script. Numbers are split at signs and points, so that the
+    words of a query, which is split there too, find dotted ids."""
+    tokens = F.regexp_extract_all(F.lower(_c(col)), F.lit(TOKEN_PATTERN), F.lit(0))
+    with_parts = F.flatten(F.transform(tokens, lambda t: F.when(
+        token_kind(t) == "compound", F.concat(F.array(t), F.split(t, "-"))).otherwise(F.array(t))))
+    return F.transform(with_parts, lambda t: F.struct(token_kind(t).alias("kind"), t.alias("token")))
+
+
 def lexeme_tokens(col) -> Column:
-    """Lower-cased alphanumeric runs of a field, in order."""
-    return F.filter(F.split(F.lower(_c(col)), "[^a-z0-9]+"), lambda x: x != "")
+    """The scanned tokens of a field, in order."""
+    return F.transform(scan_tokens(col), lambda x: x["token"])

@@ -4,13 +4,14 @@ cover-density score.
 For an OR query every matched position is a cover of length one, so the
 score of a document is the sum of the label weights of its positions whose
 lexeme is one of the query's (distinct) lexemes; document repeats count,
-query repeats do not. Both sides are split on non-alphanumeric runs.
+query repeats do not. Fields are scanned for typed tokens (``functions/text.py``), a
+query is split on everything but ASCII letters and digits.
 
 Plan: lexemes are a long table (doc_id, field, label, weight, pos, term),
 made in one pass over the records: stop words and stems are decided per
 token, without a vocabulary table or a join. A written weighted index holds
-one row per (term, doc_id) with the summed weight, in folders by a hash of the
-term like the postings of the cosine index. Query lexemes (distinct per
+one row per (term, doc_id) with the summed weight, sorted with a directory
+like the postings of the cosine index. Query lexemes (distinct per
 query) are broadcast once their bytes are known to be few; a partial+final
 sum by (query_id, doc_id) gives the score; WindowGroupLimit cuts to k per
 query before the ranking exchange. One query is a batch of one.
@@ -22,12 +23,15 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docrank.functions import text as T
 from docrank.functions.stem import stem, stem_words_udf
-from docrank.operators.index import by_bucket, published_versions, term_bucket
+from docrank.operators.blockmax import BLOCK_SCHEMA, pruned_top_k, write_blocks
+from docrank.operators.index import published_versions
 from docrank.operators.search import one_query, top_k
-from docrank.operators.util import fits, require_positive_k, split_join
+from docrank.operators.util import fits, remove_folder, require_positive_k, split_join, written
+from docrank.sources.rangetable import RangeTable, few, write_ranges
 
 # Default label weights of the cover-density rank.
 LABEL_WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
@@ -36,14 +40,13 @@ PAPER_FIELD_LABELS = (("id", "A"), ("title", "B"), ("categories", "C"))
 
 
 def _is_word(term: Column) -> Column:
-    """Letters only: such tokens go through the stop list and the stemmer;
-    tokens with digits are kept lower-cased as they are."""
-    return term.rlike("^[a-z]+$")
+    """Letters of any script, hyphens between them: such tokens go through the stop list
+    and the stemmer; tokens with digits, hosts and addresses are kept lower-cased as they are."""
+    return term.rlike("^\\p{L}+(-\\p{L}+)*$")
 
 
 def _normalise(rows: DataFrame, stemmed: bool) -> DataFrame:
-    """Drop stop words among letter-only tokens and stem them in Arrow batches;
-    digit-bearing tokens pass unchanged."""
+    """Drop stop words among words and stem the rest in Arrow batches; other tokens pass unchanged."""
     rows = rows.where(~(_is_word(F.col("term")) & T.is_stopword(F.col("term"), T.FULLTEXT_STOPWORDS)))
     if not stemmed:
         return rows
@@ -105,25 +108,36 @@ def stored_lexemes(df: DataFrame, id_col: str = "id", column: str = "search_txt"
 
 @dataclass
 class WeightedIndex:
-    """One row per (term, doc_id) with the summed ``weight``, in ``buckets`` folders by term; ``sizes``: term, n."""
+    """One row per (term, doc_id) with the summed ``weight``, sorted by them; ``sizes``: term, n."""
 
-    lexemes: DataFrame
+    table: RangeTable
     sizes: DataFrame
-    buckets: int
+    # largest weight by term and block of documents, and the number of blocks (0: not written)
+    maxima: RangeTable | None = None
+    blocks: int = 0
 
+    @property
+    def lexemes(self) -> DataFrame:
+        return self.table.rows()
 
-def write_fulltext(lexemes: DataFrame, path: str) -> WeightedIndex:
-    """Write lexemes as a new version at ``path``; the version before it stays until the new one is published."""
+
+def write_fulltext(lexemes: DataFrame, path: str, block_docs: int = 0) -> WeightedIndex:
+    """Write lexemes as a new version at ``path``; the version before it stays until the new one is published.
+
+    ``block_docs``: documents of a block for ``fulltext_search_pruned``; 0 writes no blocks."""
     spark, base = lexemes.sparkSession, path.rstrip("/")
     version = max(published_versions(spark, base), default=0) + 1
     data = f"{base}/data/version={version}"
-    lexemes.groupBy("term", "doc_id").agg(F.sum("weight").alias("weight")).write.parquet(data + "/sums")
-    sums = spark.read.parquet(data + "/sums")
-    sums.groupBy("term").agg(F.count("*").alias("n")).orderBy("term").write.parquet(data + "/sizes")
-    laid, buckets = by_bucket(sums, spark.read.parquet(data + "/sizes"), "n")
-    laid.write.partitionBy("bucket").parquet(data + "/lexemes")
-    spark.range(1).select(F.lit(0).cast("long").alias("n_docs"), F.lit("{}").alias("options"), F.lit(buckets).alias("buckets"),
-                          F.lit(False).alias("has_docs")).coalesce(1).write.parquet(f"{base}/published/version={version}")
+    sums, scratch = written(lexemes.groupBy("term", "doc_id").agg(F.sum("weight").alias("weight")), "docrank-sums")
+    table = write_ranges(sums, data + "/lexemes", "term", ("doc_id",))
+    remove_folder(spark, scratch)
+    table.rows().groupBy("term").agg(F.count("*").alias("n")).write.parquet(data + "/sizes")
+    blocks = 0
+    if block_docs:
+        blocks = max(1, -(-table.rows().select("doc_id").distinct().count() // block_docs))
+        write_blocks(table.rows(), "weight", blocks, data + "/blocks")
+    spark.range(1).select(F.lit(0).cast("long").alias("n_docs"), F.lit(sums.schema["doc_id"].dataType.simpleString()).alias("options"), F.lit(False).alias("has_docs"),
+                          F.lit(blocks).alias("blocks")).coalesce(1).write.parquet(f"{base}/published/version={version}")
     return read_fulltext(spark, path)
 
 
@@ -135,10 +149,9 @@ def read_fulltext(spark: SparkSession, path: str) -> WeightedIndex:
         raise FileNotFoundError(f"no weighted index at {path}")
     data = f"{base}/data/version={known[-1]}"
     row = spark.read.parquet(f"{base}/published/version={known[-1]}").first()
-    id_type = spark.read.parquet(data + "/sums").schema["doc_id"].dataType.simpleString()
-    return WeightedIndex(
-        spark.read.schema(f"term string, doc_id {id_type}, weight double, bucket int").parquet(data + "/lexemes"),
-        spark.read.schema("term string, n long").parquet(data + "/sizes"), row["buckets"])
+    schema = StructType.fromDDL(f"term string, doc_id {row['options']}, weight double")
+    return WeightedIndex(RangeTable(spark, data + "/lexemes", schema, "term"), spark.read.schema("term string, n long").parquet(data + "/sizes"),
+                         RangeTable(spark, data + "/blocks", BLOCK_SCHEMA, "term") if row["blocks"] else None, row["blocks"])
 
 
 def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
@@ -151,14 +164,16 @@ def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col:
 
 def fulltext_scores(lexemes: DataFrame | WeightedIndex, qterms: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, doc_id, similarity) for documents matching any query lexeme."""
-    if small is None:
-        small = fits(qterms)
     sizes = None
     if isinstance(lexemes, WeightedIndex):
-        hit = qterms.select(term_bucket(F.col("term"), lexemes.buckets).alias("b")).distinct()
-        wanted = sorted(r["b"] for r in hit.collect())  # at most ``buckets`` numbers
-        sizes = lexemes.sizes
-        lexemes = lexemes.lexemes.where(F.col("bucket").isin(wanted) if wanted else F.lit(False))
+        sizes, found = lexemes.sizes, few(qterms)
+        if found is not None:  # few query rows: their terms are looked up
+            qterms, small = lexemes.sizes.sparkSession.createDataFrame(found), True
+            lexemes = lexemes.table.lookup(sorted(set(found["term"].to_pylist())))
+        else:
+            lexemes = lexemes.lexemes
+    if small is None:
+        small = fits(qterms)
     rows = lexemes.select("doc_id", "term", "weight")
     if small:
         m = F.broadcast(qterms).join(rows, "term")
@@ -184,3 +199,17 @@ def fulltext_search(lexemes: DataFrame | WeightedIndex, query: str, k: int = 5,
     """(rank, doc_id, similarity) for one query: a batch of one."""
     spark = (lexemes.lexemes if isinstance(lexemes, WeightedIndex) else lexemes).sparkSession
     return fulltext_search_batch(lexemes, one_query(spark, query), k, stem=stem, digits=digits).select("rank", "doc_id", "similarity")
+
+
+def fulltext_search_pruned(index: WeightedIndex, queries: DataFrame, k: int = 5, id_col: str = "query_id", text_col: str = "text",
+                           stem: bool = True, digits: int = 12) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``fulltext_search_batch`` with blocks of documents skipped by their bounds, and what was read.
+
+    For few query rows on an index written with blocks; other calls raise ``ValueError``."""
+    require_positive_k(k)
+    found = few(fulltext_query_terms(queries, id_col, text_col, stem))
+    if found is None or not index.blocks:
+        raise ValueError("pruned search takes few query terms and an index written with blocks")
+    keys = sorted(set(found["term"].to_pylist()))
+    asked = index.sizes.sparkSession.createDataFrame(found).withColumn("w", F.lit(1.0))
+    return pruned_top_k(index.table.lookup(keys), index.maxima.lookup(keys), index.blocks, asked, "weight", k, digits)

@@ -17,10 +17,12 @@ Plan shape of a build (see README "Plans"):
      bytes are summed; beyond the bound a sort-merge join in which terms with
      many postings are split by a hash of the document)
   -> norms: narrow (doc_id, w^2) rows, partial sums, one small shuffle
-  Writing joins postings with norms to store nweight = weight/|d| and lays the
-  postings out in folders by a hash of the term, so a search reads only the
-  folders of its query's terms; within a folder the files are split by a hash
-  of the document for frequent terms and sorted by (term, doc_id).
+  Writing joins postings with norms to store nweight = weight/|d| and sorts the
+  postings by (term, doc_id) over range-partitioned files with a sparse
+  directory (``sources/rangetable.py``), so a search opens only the files and row
+  groups of its query's terms, and a frequent term is spread over files. The
+  dictionary, the norms and the stored documents are written the same way, by
+  term and by id.
 
 N (corpus size) is a scalar subquery (``DataFrame.scalar()``); a
 materialised build evaluates it once and carries the count as a literal.
@@ -34,16 +36,14 @@ from dataclasses import dataclass, field
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from docrank.functions import scoring
 from docrank.functions import text as T
 from docrank.functions.stem import stem_terms
+from docrank.operators.blockmax import BLOCK_SCHEMA, write_blocks
 from docrank.operators.util import fits, maybe_broadcast, remove_folder, split_join, written
-
-# Postings of one folder of a written index, and of one file in it.
-BUCKET_ROWS = 20_000_000
-FILE_ROWS = 2_000_000
-MAX_BUCKETS = 4096
+from docrank.sources.rangetable import RangeTable, write_ranges
 
 
 @dataclass(frozen=True)
@@ -70,8 +70,10 @@ class Index:
     docs: DataFrame | None = None
     # True when the norms table was proven small enough to broadcast
     small_norms: bool | None = None
-    # folders of the postings' layout (column ``bucket``); 0: none
-    buckets: int = 0
+    # the sorted tables of a written index: postings, terms, norms and, if stored, docs
+    tables: dict[str, RangeTable] = field(default_factory=dict)
+    # document blocks of a written index with the table ``blocks``; 0: none
+    blocks: int = 0
     # scratch folders this index reads; ``release`` removes them
     scratch: tuple[str, ...] = ()
 
@@ -257,29 +259,8 @@ def normalized_postings(index: Index) -> DataFrame:
         "term", "doc_id", "tf", "idf", "weight", scoring.safe_ratio("weight", "norm").alias("nweight"))
 
 
-def term_bucket(term: Column, buckets: int) -> Column:
-    """The folder of a term's postings."""
-    return F.pmod(F.xxhash64(term), F.lit(buckets)).cast("int")
-
-
-def by_bucket(postings: DataFrame, sizes: DataFrame, count: str, id_col: str = "doc_id") -> tuple[DataFrame, int]:
-    """``postings`` dealt and sorted for a write partitioned by ``bucket``, and the number of buckets.
-
-    ``sizes``: rows of each term as ``count``. A term of many rows is spread over
-    several files of its folder by a hash of the document."""
-    total = sizes.agg(F.sum(count).alias("n")).first()["n"] or 0
-    buckets = min(MAX_BUCKETS, max(16, -(-total // BUCKET_ROWS)))
-    # At most total / FILE_ROWS terms are this frequent; their list is broadcast while it fits.
-    heavy = sizes.where(F.col(count) > FILE_ROWS).select("term", F.ceil(F.col(count) / FILE_ROWS).cast("int").alias("_files"))
-    dealt = postings.join(maybe_broadcast(heavy, fits(heavy)), "term", "left").withColumn("bucket", term_bucket(F.col("term"), buckets))
-    files = F.greatest(F.coalesce("_files", F.lit(1)), F.lit(max(1, -(-total // (buckets * FILE_ROWS)))))
-    spread_by = F.when(F.col("_files").isNull(), F.pmod(F.xxhash64("term", F.lit(1)), files)).otherwise(F.pmod(F.xxhash64(id_col), files))
-    return dealt.withColumn("_file", spread_by).repartition("bucket", "_file").drop("_files", "_file").sortWithinPartitions(
-        "bucket", "term", id_col), buckets
-
-
 # A written index: ``published/version=n`` names the complete ones, ``data/version=n`` holds them.
-PUBLISHED = "n_docs long, options string, buckets int, has_docs boolean, version int"
+PUBLISHED = "n_docs long, options string, has_docs boolean, blocks int, version int"
 
 
 def published_versions(spark: SparkSession, path: str) -> list[int]:
@@ -295,7 +276,7 @@ def published_versions(spark: SparkSession, path: str) -> list[int]:
     return sorted(r["version"] for r in rows)
 
 
-def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
+def write_index(index: Index, path: str, mode: str = "overwrite", block_docs: int = 0) -> Index:
     """Write a new version of the index at ``path`` and return it, read back.
 
     The tables of a version are written first, the row that publishes it last,
@@ -303,7 +284,8 @@ def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
     version before it in place, and an index may be written to the path it was
     read from. Two writers of one version fail on its folder. ``mode``:
     ``overwrite`` makes the new version the current one, ``error`` raises if
-    there is any. ``drop_old_versions`` frees the space of earlier ones."""
+    there is any. ``block_docs``: documents of a block for ``search_pruned``; 0 writes
+    no blocks. ``drop_old_versions`` frees the space of earlier ones."""
     spark, base = index.spark, path.rstrip("/")
     known = published_versions(spark, base)
     if mode not in ("overwrite", "error"):
@@ -312,15 +294,19 @@ def write_index(index: Index, path: str, mode: str = "overwrite") -> Index:
         raise FileExistsError(path)
     version = (known[-1] if known else 0) + 1
     data = f"{base}/data/version={version}"
-    index.terms.select("term", "df", "idf").orderBy("term").write.parquet(data + "/terms")
-    index.norms.sortWithinPartitions("doc_id").write.parquet(data + "/norms")
-    laid, buckets = by_bucket(normalized_postings(index), index.terms, "df")
-    laid.write.partitionBy("bucket").parquet(data + "/postings")
+    write_ranges(index.terms.select("term", "df", "idf"), data + "/terms", "term")
+    write_ranges(index.norms.select("doc_id", "norm"), data + "/norms", "doc_id")
+    total = index.terms.agg(F.sum("df").alias("n")).first()["n"] or 0
+    postings = write_ranges(normalized_postings(index), data + "/postings", "term", ("doc_id",), rows=total)
+    blocks = 0
+    if block_docs:
+        blocks = max(1, -(-spark.read.parquet(data + "/norms/rows").count() // block_docs))
+        write_blocks(postings.rows(), "nweight", blocks, data + "/blocks")
     if index.docs is not None:
-        index.docs.sortWithinPartitions("doc_id").write.parquet(data + "/docs")
+        write_ranges(index.docs, data + "/docs", "doc_id")
     spark.range(1).select(
         index.n_docs.cast("long").alias("n_docs"), F.lit(index.options.to_json()).alias("options"),
-        F.lit(buckets).alias("buckets"), F.lit(index.docs is not None).alias("has_docs"),
+        F.lit(index.docs is not None).alias("has_docs"), F.lit(blocks).alias("blocks"),
     ).coalesce(1).write.parquet(f"{base}/published/version={version}")
     return read_index(spark, path, version)
 
@@ -332,21 +318,22 @@ def read_index(spark: SparkSession, path: str, version: int | None = None) -> In
     if not known or (version is not None and version not in known):
         raise FileNotFoundError(f"no index version {version or ''} at {path}")
     version = known[-1] if version is None else version
-    stats = spark.read.schema(PUBLISHED).parquet(base + "/published").where(F.col("version") == version)
-    row = stats.first()
+    row = spark.read.schema(PUBLISHED).parquet(base + "/published").where(F.col("version") == version).first()
     data = f"{base}/data/version={version}"
-    # An index without terms has empty folders, so the schemas don't come from files.
-    id_type = spark.read.parquet(data + "/norms").schema["doc_id"].dataType.simpleString()
+    # The directories have rows of the id's type even where an index without terms has no postings.
+    id_type = spark.read.parquet(data + "/norms/directory").schema["first"].dataType.simpleString()
+    schemas = {"postings": f"term string, doc_id {id_type}, tf long, idf double, weight double, nweight double",
+               "terms": "term string, df long, idf double", "norms": f"doc_id {id_type}, norm double"}
+    keys = {"postings": "term", "terms": "term", "norms": "doc_id"}
+    tables = {k: RangeTable(spark, f"{data}/{k}", StructType.fromDDL(ddl), keys[k]) for k, ddl in schemas.items()}
+    if row["blocks"]:
+        tables["blocks"] = RangeTable(spark, data + "/blocks", BLOCK_SCHEMA, "term")
+    if row["has_docs"]:
+        tables["docs"] = RangeTable(spark, data + "/docs", spark.read.parquet(data + "/docs/rows").schema, "doc_id")
     return Index(
-        postings=spark.read.schema(f"term string, doc_id {id_type}, tf long, idf double, weight double, nweight double, bucket int")
-        .parquet(data + "/postings"),
-        terms=spark.read.schema("term string, df long, idf double").parquet(data + "/terms"),
-        norms=spark.read.parquet(data + "/norms"),
-        n_docs=F.lit(row["n_docs"]).cast("long"),
-        options=IndexOptions.from_json(row["options"]),
-        docs=spark.read.parquet(data + "/docs") if row["has_docs"] else None,
-        buckets=row["buckets"],
-    )
+        postings=tables["postings"].rows(), terms=tables["terms"].rows(), norms=tables["norms"].rows(),
+        n_docs=F.lit(row["n_docs"]).cast("long"), options=IndexOptions.from_json(row["options"]),
+        docs=tables["docs"].rows() if row["has_docs"] else None, tables=tables, blocks=row["blocks"])
 
 
 def drop_old_versions(spark: SparkSession, path: str) -> None:

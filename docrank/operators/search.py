@@ -11,11 +11,13 @@ Batch plan (``search_batch``):
   WindowGroupLimit below the exchange, so only k rows per query and map task
   are shuffled for the final ranking.
 
-The query side is broadcast only after its bytes were summed; beyond the
+A query side of few rows is tokenised once and held as literal rows; a larger one
+is written once and broadcast only after its bytes were summed, and beyond the
 bound the joins are sort-merge joins, with frequent terms split. A written
 index carries ``nweight`` = weight/|d| in its postings, so no norms join is
-needed at query time, and a search reads only the folders (``bucket``) of its
-terms; an unwritten one divides by |d| after the aggregation. One query is a
+needed at query time, and the terms of few query rows are looked up: only the
+files and row groups that can hold them are read, of the dictionary and of the
+postings. An unwritten index divides by |d| after the aggregation. One query is a
 batch of one.
 """
 
@@ -27,8 +29,10 @@ from pyspark.sql import functions as F
 from docrank.functions import scoring
 from docrank.functions import text as T
 from docrank.functions.stem import stem_terms
-from docrank.operators.index import Index, term_bucket
+from docrank.operators.blockmax import pruned_top_k
+from docrank.operators.index import Index
 from docrank.operators.util import fits, maybe_broadcast, require_positive_k, split_join, written
+from docrank.sources.rangetable import RangeTable, few
 
 # Default rounding of scores before ranking: scores equal to 12 decimals are
 # ties, ordered by doc_id, whatever the summation order of the partitions.
@@ -48,30 +52,22 @@ def query_terms(queries: DataFrame, id_col: str = "query_id", text_col: str = "t
     return qtf
 
 
-def query_weights(index: Index, qtf: DataFrame, small: bool | None = None) -> DataFrame:
+def query_weights(index: Index, qtf: DataFrame, small: bool | None = None, keys: list[str] | None = None) -> DataFrame:
     """(query_id, term, qtf, idf, qweight, qnorm, qnweight) for query terms
     present in the index; |q| covers only those terms. ``small``: the caller
-    proved the query side small; None proves it here."""
+    proved the query side small; None proves it here. ``keys``: its terms, looked
+    up in the dictionary of a written index."""
     if small is None:
         small = fits(qtf)
-    j = maybe_broadcast(qtf, small).join(index.terms.select("term", "idf"), "term")
+    terms = index.tables["terms"].lookup(keys) if keys is not None and index.tables else index.terms
+    j = maybe_broadcast(qtf, small).join(terms.select("term", "idf"), "term")
     j = j.withColumn("qweight", scoring.tfidf("qtf", "idf"))
     by_query = Window.partitionBy("query_id")
     j = j.withColumn("qnorm", F.sqrt(F.sum(F.col("qweight") * F.col("qweight")).over(by_query)))
     return j.withColumn("qnweight", scoring.safe_ratio("qweight", "qnorm"))
 
 
-def pruned_postings(index: Index, qterms: DataFrame) -> DataFrame:
-    """The postings in the folders of the query terms (all of them on an unwritten index)."""
-    if not index.buckets:
-        return index.postings
-    hit = qterms.select(term_bucket(F.col("term"), index.buckets).alias("b")).distinct()
-    # At most ``buckets`` numbers.
-    wanted = sorted(r["b"] for r in hit.collect())
-    return index.postings.where(F.col("bucket").isin(wanted) if wanted else F.lit(False))
-
-
-def dot_products(index: Index, qweights: DataFrame, small: bool | None = None) -> DataFrame:
+def dot_products(index: Index, qweights: DataFrame, small: bool | None = None, keys: list[str] | None = None) -> DataFrame:
     """(query_id, doc_id, dot, similarity): every document sharing at least one
     indexed term with the query is a candidate (idf 0 terms included).
 
@@ -79,10 +75,11 @@ def dot_products(index: Index, qweights: DataFrame, small: bool | None = None) -
     is one sum. On an unwritten one the sum of qweight/|q| * weight is divided
     by |d| after aggregation (norms broadcast when proven small). A query side
     too large to broadcast is joined by merging, with each frequent term's
-    postings and query rows split by a hash of the document."""
+    postings and query rows split by a hash of the document. ``keys``: the query
+    side's terms, looked up in the postings of a written index."""
     if small is None:
         small = fits(qweights)
-    p = pruned_postings(index, qweights)
+    p = index.tables["postings"].lookup(keys) if keys is not None and index.tables else index.postings
     normalized = "nweight" in p.columns
     p = p.select("term", "doc_id", "weight", *(["nweight"] if normalized else []))
     q = qweights.select("query_id", "term", "qweight", "qnweight")
@@ -117,7 +114,13 @@ def top_k(scores: DataFrame, k: int, score_col: str = "similarity", group_col: s
 def cosine_scores(index: Index, queries: DataFrame, id_col: str = "query_id", text_col: str = "text",
                   small: bool | None = None) -> DataFrame:
     qtf = query_terms(queries, id_col, text_col, stem=index.options.stem)
+    if index.tables and (found := few(qtf)) is not None:
+        keys = sorted(set(found["term"].to_pylist()))
+        weights = few(query_weights(index, index.spark.createDataFrame(found), True, keys))
+        keys = sorted(set(weights["term"].to_pylist()))
+        return dot_products(index, index.spark.createDataFrame(weights), True, keys)
     if small is None:
+        qtf, _ = written(qtf, "docrank-query")
         small = fits(qtf)
     return dot_products(index, query_weights(index, qtf, small), small)
 
@@ -130,6 +133,21 @@ def search_batch(index: Index, queries: DataFrame, k: int = 5, id_col: str = "qu
     return top_k(scores, k, digits=digits).select("query_id", "rank", "doc_id", "similarity")
 
 
+def search_pruned(index: Index, queries: DataFrame, k: int = 5, id_col: str = "query_id", text_col: str = "text",
+                  digits: int = DEFAULT_DIGITS) -> tuple[DataFrame, DataFrame]:
+    """The rows of ``search_batch`` with blocks of documents skipped by their bounds, and what was read.
+
+    For few query rows on an index written with blocks; other calls raise ``ValueError``."""
+    require_positive_k(k)
+    found = few(query_terms(queries, id_col, text_col, stem=index.options.stem)) if index.blocks else None
+    if found is None:
+        raise ValueError("pruned search takes few query terms and an index written with blocks")
+    weights = few(query_weights(index, index.spark.createDataFrame(found), True, sorted(set(found["term"].to_pylist()))))
+    keys = sorted(set(weights["term"].to_pylist()))
+    asked = index.spark.createDataFrame(weights).select("query_id", "term", F.col("qnweight").alias("w"))
+    return pruned_top_k(index.tables["postings"].lookup(keys), index.tables["blocks"].lookup(keys), index.blocks, asked, "nweight", k, digits)
+
+
 def one_query(spark, query: str) -> DataFrame:
     """A query table of one row."""
     return spark.createDataFrame([(0, query)], "query_id long, text string")
@@ -143,19 +161,27 @@ def search(index: Index, query: str, k: int = 5, digits: int | None = DEFAULT_DI
     return search_batch(index, one_query(index.spark, query), k, digits=digits).select("rank", "doc_id", "similarity")
 
 
-def hydrate(results: DataFrame, docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
+def hydrate(results: DataFrame, docs: DataFrame | RangeTable, id_col: str = "doc_id") -> DataFrame:
     """Attach stored document columns to ranked rows, after ranking (late
     materialisation: documents are read for the top k only).
 
-    The ranked rows (k a query) are written to the scratch folder once. Their ids,
-    never document text, are broadcast to a semi join if they fit, so the
-    store is filtered map-side; the few documents found then meet the ranked
-    rows in a shuffle join. An id stored several times yields one row: the
-    matching copies collapse to the smallest record by a partial
-    ``min(struct)`` aggregation, so a result row is never multiplied."""
+    The ranked rows (k a query) are written to the scratch folder once. From a
+    stored table sorted by id, the documents of few rows are looked up: only files
+    and row groups that can hold them are read. Else the ids, never document text,
+    are broadcast to a semi join if they fit, so the store is filtered map-side;
+    the few documents found then meet the ranked rows in a shuffle join. An id
+    stored several times yields one row: the matching copies collapse to the
+    smallest record by a partial ``min(struct)`` aggregation, so a result row is
+    never multiplied."""
     results, _ = written(results, "docrank-results")
     ids = results.select(id_col).distinct()
-    matched = docs.join(maybe_broadcast(ids, fits(ids)), id_col, "left_semi")
+    matched = None
+    if isinstance(docs, RangeTable):
+        if docs.key == id_col and (found := few(ids)) is not None:
+            matched = docs.lookup(found[id_col].to_pylist())
+        docs = docs.rows()
+    if matched is None:
+        matched = docs.join(maybe_broadcast(ids, fits(ids)), id_col, "left_semi")
     cols = [c for c in docs.columns if c != id_col]
     if cols:
         one = matched.groupBy(id_col).agg(F.min(F.struct(*cols)).alias("_doc")).select(id_col, "_doc.*")

@@ -22,10 +22,12 @@ from docrank.functions.stem import stem_vocabulary
 from docrank.operators import fulltext as FT
 from docrank.operators import index as IX
 from docrank.operators import search as SR
+from docrank.operators import segments as SG
 from docrank.operators.compare import compare, compare_batch, compare_results
 from docrank.operators.merge import merge_counts, merge_index
 from docrank.session import scratch_path
 from docrank.sources import papers as P
+from docrank.sources.rangetable import write_ranges
 
 K = 5
 DIGITS = 6
@@ -128,6 +130,21 @@ def q_truncate_display(spark, sf):
     return documents(spark, sf).select("doc_id", T.truncate_display("text").alias("short_text"))
 
 
+def q_scan_lexemes(spark, sf):
+    """Typed tokens of every document."""
+    return _scanned(documents(spark, sf).select(F.col("doc_id").alias("id"), "text"))
+
+
+def q_scan_lexemes_pages(spark, sf):
+    """Typed tokens of every page's address and raw text: hosts, e-mail addresses, compounds."""
+    pages = table(spark, sf, "pages")
+    return _scanned(pages.select(F.col("page_id").alias("id"), F.concat_ws(" ", "url", "html").alias("text")))
+
+
+def _scanned(rows: DataFrame) -> DataFrame:
+    return rows.select("id", F.posexplode(T.scan_tokens("text")).alias("pos", "x")).select("id", "pos", "x.kind", "x.token")
+
+
 # --------------------------------------------------------------- sources --
 
 def q_project_paper(spark, sf):
@@ -152,6 +169,35 @@ def q_get_paper(spark, sf):
     return P.get_paper(part_papers(spark, sf), "7")
 
 
+def paper_lines(spark, sf) -> DataFrame:
+    """The part papers as JSON lines, some of them spoilt: cut off, blank, or no object."""
+    json = P.to_json_rows(part_papers(spark, sf).select("id", "title", "categories", "doc_id"), ["id", "title", "categories"]).select("json")
+    key = F.get_json_object("json", "$.id").cast("long")
+    return json.select(F.when(key % 7 == 0, F.expr("left(json, length(json) - 5)")).when(key % 11 == 0, F.lit("[1, 2]")).when(
+        key % 13 == 0, F.lit("  ")).otherwise(F.col("json")).alias("value"))
+
+
+def q_paper_rejects(spark, sf):
+    """Records and rejects of a corpus with bad lines, from one scan."""
+    path, out = (scratch_path(spark, f"docrank-{x}-{uuid.uuid4().hex}") for x in ("lines", "scan"))
+    paper_lines(spark, sf).write.text(path)
+    scan = P.scan_papers(spark, path, out)
+    none = F.lit(None).cast("string")
+    return scan.records.select(F.lit("record").alias("kind"), "id", "title", "doi", none.alias("reason"), none.alias("line")).unionByName(
+        scan.rejects.select(F.lit("reject").alias("kind"), none.alias("id"), none.alias("title"), none.alias("doi"), "reason", "line"))
+
+
+RANGES = 7
+
+
+def q_table_ranges(spark, sf):
+    """Orders by the ranges of their keys that a parallel read would take, some keys made null."""
+    orders = table(spark, sf, "orders").select(F.when(F.col("o_orderkey") % 10 != 0, F.col("o_orderkey")).alias("key"), "o_custkey")
+    low, high = orders.agg(F.min("key"), F.max("key")).first()
+    return orders.groupBy(P.range_of(P.plan_ranges("key", low, high, RANGES)).alias("part")).agg(
+        F.count("*").alias("n"), F.min("key").alias("first"), F.max("key").alias("last"), F.sum("o_custkey").alias("customers"))
+
+
 # ----------------------------------------------------------------- index --
 
 def q_corpus_size(spark, sf):
@@ -211,6 +257,18 @@ def q_index_write_read(spark, sf):
             .unionByName(rows(spark.range(1), "size", no("string"), no("long"), idx.n_docs, no("double"))))
 
 
+def q_index_order(spark, sf):
+    """Place of every row of the four sorted tables over all their files."""
+    idx = written_doc_index(spark, sf, scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}"))
+    no = lambda kind: F.lit(None).cast(kind)
+
+    def rows(kind, name, doc):
+        return idx.tables[kind].numbered().select(F.lit(kind).alias("kind"), "place", name.alias("name"), doc.cast("long").alias("doc_id"))
+
+    return rows("postings", F.col("term"), F.col("doc_id")).unionByName(rows("terms", F.col("term"), no("long"))).unionByName(
+        rows("norms", no("string"), F.col("doc_id"))).unionByName(rows("docs", no("string"), F.col("doc_id")))
+
+
 def q_index_overwrite(spark, sf):
     """An index of some documents, read, merged with the rest and written to the path it was read from."""
     path = scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}")
@@ -274,6 +332,57 @@ def q_cosine_topk_hydrated(spark, sf):
     return SR.hydrate(res, store)
 
 
+def q_cosine_topk_hydrated_store(spark, sf):
+    """Batch results with columns from a stored document table, looked up by id."""
+    idx = doc_index(spark, sf)
+    res = SR.search_batch(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
+    store = write_ranges(documents(spark, sf).select("doc_id", "lang", "source", "n_chars", "text"),
+                         scratch_path(spark, f"docrank-store-{uuid.uuid4().hex}"), "doc_id")
+    return SR.hydrate(res, store).drop("text")
+
+
+def q_cosine_topk_written(spark, sf):
+    """One query on a written index, by term lookup."""
+    idx = written_doc_index(spark, sf, scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}"))
+    return SR.search(idx, first_benchmark_text(spark, sf), K, digits=DIGITS)
+
+
+def q_cosine_topk_pruned(spark, sf):
+    """The batch on a written index with document blocks skipped by their bounds."""
+    built = doc_index(spark, sf)
+    idx = IX.write_index(built, scratch_path(spark, f"docrank-index-{uuid.uuid4().hex}"), block_docs=BLOCK_DOCS)
+    built.release()
+    return SR.search_pruned(idx, benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)[0]
+
+
+BLOCK_DOCS = 8
+
+
+def grown_segments(spark, sf) -> SG.Segments:
+    """Segments of the documents, added language by language; one language comes in two parts."""
+    d = documents(spark, sf)
+    s = SG.create_segments(spark, scratch_path(spark, f"docrank-segments-{uuid.uuid4().hex}"), IX.IndexOptions(stem=False))
+    for part in ("lang = 'en' AND n_chars < 1000", "lang = 'en' AND n_chars >= 1000", "lang = 'de'", "lang = 'fr'",
+                 "lang IS NULL OR lang NOT IN ('en', 'de', 'fr')"):
+        s = SG.add_records(s, d.where(part))
+    return s
+
+
+def q_segments_topk(spark, sf):
+    """The batch on an index grown by five segments, merged once."""
+    return SR.search_batch(grown_segments(spark, sf).index(), benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
+
+
+def q_segments_norms(spark, sf):
+    """Norms from the sums that five segments keep of each document."""
+    return grown_segments(spark, sf).norms().select("doc_id", r6("norm"))
+
+
+def q_segments_terms(spark, sf):
+    """The dictionary of an index grown by five segments."""
+    return grown_segments(spark, sf).terms().select("term", "df", r6("idf"))
+
+
 def q_stem_vocabulary(spark, sf):
     p = table(spark, sf, "part")
     words = p.select(F.explode(F.split(F.lower(F.concat_ws(" ", "p_name", "p_type")), " ")).alias("term"))
@@ -352,6 +461,13 @@ def q_fulltext_write_read(spark, sf):
     return FT.fulltext_search_batch(FT.write_fulltext(part_lexemes(spark, sf), path), part_name_queries(spark, sf), K, digits=DIGITS)
 
 
+def q_fulltext_topk_pruned(spark, sf):
+    """The name batch on a written weighted index with document blocks skipped by their bounds."""
+    path = scratch_path(spark, f"docrank-weighted-{uuid.uuid4().hex}")
+    idx = FT.write_fulltext(part_lexemes(spark, sf), path, block_docs=BLOCK_DOCS)
+    return FT.fulltext_search_pruned(idx, part_name_queries(spark, sf), K, digits=DIGITS)[0]
+
+
 def q_build_fulltext_search(spark, sf):
     """The name batch on the stored lexeme column."""
     built = FT.build_fulltext(part_papers(spark, sf), "doc_id")
@@ -413,11 +529,15 @@ QUERIES = {
     "search_text": q_search_text,
     "sanitize_query": q_sanitize_query,
     "truncate_display": q_truncate_display,
+    "scan_lexemes": q_scan_lexemes,
+    "scan_lexemes_pages": q_scan_lexemes_pages,
     "project_paper": q_project_paper,
     "json_round_trip": q_json_round_trip,
     "limit_corpus": q_limit_corpus,
     "list_papers": q_list_papers,
     "get_paper": q_get_paper,
+    "paper_rejects": q_paper_rejects,
+    "table_ranges": q_table_ranges,
     "corpus_size": q_corpus_size,
     "term_frequency": q_term_frequency,
     "document_frequency": q_document_frequency,
@@ -427,12 +547,19 @@ QUERIES = {
     "posting_lists": q_posting_lists,
     "index_write_read": q_index_write_read,
     "index_overwrite": q_index_overwrite,
+    "index_order": q_index_order,
     "query_weights": q_query_weights,
     "dot_products": q_dot_products,
     "cosine_topk": q_cosine_topk,
     "cosine_topk_batch": q_cosine_topk_batch,
     "cosine_topk_batch_written": q_cosine_topk_batch_written,
     "cosine_topk_hydrated": q_cosine_topk_hydrated,
+    "cosine_topk_hydrated_store": q_cosine_topk_hydrated_store,
+    "cosine_topk_written": q_cosine_topk_written,
+    "cosine_topk_pruned": q_cosine_topk_pruned,
+    "segments_topk": q_segments_topk,
+    "segments_norms": q_segments_norms,
+    "segments_terms": q_segments_terms,
     "cosine_topk_batch_conversations": q_cosine_topk_batch_conversations,
     "cosine_topk_batch_pages": q_cosine_topk_batch_pages,
     "stem_vocabulary": q_stem_vocabulary,
@@ -447,6 +574,7 @@ QUERIES = {
     "compare_rankers_string_ids": q_compare_rankers_string_ids,
     "compare_results": q_compare_results,
     "fulltext_write_read": q_fulltext_write_read,
+    "fulltext_topk_pruned": q_fulltext_topk_pruned,
     "build_fulltext_search": q_build_fulltext_search,
     "paper_corpus": q_paper_corpus,
     "result_rows": q_result_rows,

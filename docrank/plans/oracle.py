@@ -7,6 +7,8 @@ stems are literal VALUES derived by hand.
 
 from __future__ import annotations
 
+import re
+
 from docrank.functions import text as T
 from docrank.plans import catalog as C
 from docrank.plans.sqltext import (clean_tokens_sql, lower_list_sql, porter2_ctes, punct_sql, special_sql, sql_list,
@@ -187,6 +189,30 @@ def _sql() -> dict[str, str]:
     cols = "id, submitter, authors, title, comments, journal_ref, doi, abstract, categories, versions"
     q["list_papers"] = f"WITH {PART_PAPERS} SELECT {cols} FROM part_papers ORDER BY title, id"
     q["get_paper"] = f"WITH {PART_PAPERS} SELECT {cols} FROM part_papers WHERE id = '7'"
+    token = "|".join(T.TOKEN_SHAPES)
+    sign = "[\\p{N}]"
+    kind = (f"CASE WHEN contains(token, '@') THEN 'email' WHEN contains(token, '.') THEN 'host' WHEN contains(token, '-') THEN 'compound' "
+            f"WHEN regexp_full_match(token, '{sign}+') THEN 'number' WHEN regexp_matches(token, '{sign}') THEN 'numword' ELSE 'word' END")
+    scan = (f"SELECT id, CAST(pos AS INTEGER) AS pos, {kind} AS kind, token FROM (SELECT id, unnest(generate_series(0, len(tk) - 1)) AS pos, unnest(tk) AS token "
+            f"FROM (SELECT id, flatten([CASE WHEN contains(t, '@') OR contains(t, '.') OR NOT contains(t, '-') THEN [t] "
+            f"ELSE list_concat([t], string_split(t, '-')) END for t in regexp_extract_all(lower(text), '{token}')]) AS tk FROM ({{0}})))")
+    q["scan_lexemes"] = scan.format("SELECT doc_id AS id, text FROM documents")
+    q["scan_lexemes_pages"] = scan.format("SELECT page_id AS id, concat_ws(' ', url, html) AS text FROM pages")
+    bad = "p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0"
+    line = "CAST(to_json(struct_pack(id := CAST(p_partkey AS VARCHAR), title := p_name, categories := p_type)) AS VARCHAR)"
+    q["paper_rejects"] = (
+        f"SELECT 'record' AS kind, CAST(p_partkey AS VARCHAR) AS id, p_name AS title, ' ' AS doi, CAST(NULL AS VARCHAR) AS reason, "
+        f"CAST(NULL AS VARCHAR) AS line FROM part WHERE NOT ({bad}) UNION ALL SELECT 'reject', NULL, NULL, NULL, "
+        f"CASE WHEN p_partkey % 7 = 0 THEN 'not JSON' WHEN p_partkey % 11 = 0 THEN 'not an object' ELSE 'empty line' END, "
+        f"CASE WHEN p_partkey % 7 = 0 THEN substr({line}, 1, length({line}) - 5) WHEN p_partkey % 11 = 0 THEN '[1, 2]' ELSE '  ' END "
+        f"FROM part WHERE {bad}")
+    q["table_ranges"] = (
+        f"WITH o AS (SELECT CASE WHEN o_orderkey % 10 <> 0 THEN o_orderkey END AS key, o_custkey FROM orders), "
+        f"b AS (SELECT min(key) AS low, max(key) AS high FROM o), "
+        f"dealt AS (SELECT o.*, CASE WHEN key IS NULL THEN {C.RANGES} ELSE (SELECT max(i) FROM range({C.RANGES}) r(i) "
+        f"WHERE key >= low + (high - low + 1) * i // {C.RANGES}) END AS part FROM o, b) "
+        f"SELECT CAST(part AS INTEGER) AS part, count(*) AS n, min(key) AS first, max(key) AS last, CAST(sum(o_custkey) AS BIGINT) AS customers "
+        f"FROM dealt GROUP BY part")
     q["corpus_size"] = "SELECT count(*) AS n_docs FROM documents"
     q["term_frequency"] = f"WITH {DOC_INDEX} SELECT doc_id, term, tf FROM tf"
     q["document_frequency"] = f"WITH {DOC_INDEX} SELECT term, df FROM df"
@@ -197,8 +223,10 @@ def _sql() -> dict[str, str]:
     q["posting_lists"] = f"WITH {DOC_INDEX} SELECT term, round(idf, 6) AS idf, doc_id, round(weight, 6) AS weight FROM w"
     normal = "round(CASE WHEN norm = 0 THEN 0.0 ELSE weight / norm END, 6)"
     none = "CAST(NULL AS {0})"
+    # Read once for each written table: every step is computed once.
+    stored = re.sub(r"\b(tf|nd|df|w|norms) AS \(", r"\1 AS MATERIALIZED (", DOC_INDEX)
     q["index_write_read"] = (
-        f"WITH {DOC_INDEX} SELECT 'posting' AS kind, term AS name, doc_id, CAST(tf AS DOUBLE) AS a, round(weight, 6) AS b FROM w "
+        f"WITH {stored} SELECT 'posting' AS kind, term AS name, doc_id, CAST(tf AS DOUBLE) AS a, round(weight, 6) AS b FROM w "
         f"UNION ALL SELECT 'normalised', term, doc_id, round(idf, 6), {normal} FROM w JOIN norms USING (doc_id) "
         f"UNION ALL SELECT 'term', term, {none.format('BIGINT')}, CAST(df AS DOUBLE), round(idf, 6) FROM df "
         f"UNION ALL SELECT 'norm', {none.format('VARCHAR')}, doc_id, round(norm, 6), {none.format('DOUBLE')} FROM norms "
@@ -206,6 +234,12 @@ def _sql() -> dict[str, str]:
         f"UNION ALL SELECT 'size', {none.format('VARCHAR')}, {none.format('BIGINT')}, n, {none.format('DOUBLE')} FROM nd")
     q["index_overwrite"] = (f"WITH {DOC_INDEX} SELECT term, doc_id, tf, round(idf, 6) AS idf, round(weight, 6) AS weight, "
                             f"{normal} AS nweight FROM w JOIN norms USING (doc_id)")
+    place = "row_number() OVER (ORDER BY {0}) - 1 AS place"
+    q["index_order"] = (
+        f"WITH {stored} SELECT 'postings' AS kind, {place.format('term, doc_id')}, term AS name, doc_id FROM w "
+        f"UNION ALL SELECT 'terms', {place.format('term')}, term, {none.format('BIGINT')} FROM df "
+        f"UNION ALL SELECT 'norms', {place.format('doc_id')}, {none.format('VARCHAR')}, doc_id FROM norms "
+        f"UNION ALL SELECT 'docs', {place.format('doc_id')}, {none.format('VARCHAR')}, doc_id FROM documents")
     bench_q = _query_ctes(BENCH_QUERIES)
     q["query_weights"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT query_id, term, qtf, round(qweight, 6) AS qweight, "
                           f"round(qnorm, 6) AS qnorm FROM qw JOIN qn USING (query_id)")
@@ -213,7 +247,9 @@ def _sql() -> dict[str, str]:
     q["cosine_topk"] = (f"WITH {DOC_INDEX}, {_query_ctes(FIRST_BENCH)} "
                         f"SELECT rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
     q["cosine_topk_batch"] = f"WITH {DOC_INDEX}, {bench_q} SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}"
-    q["cosine_topk_batch_written"] = q["cosine_topk_batch"]
+    for same in ("cosine_topk_batch_written", "cosine_topk_pruned", "segments_topk"):
+        q[same] = q["cosine_topk_batch"]
+    q["cosine_topk_written"], q["segments_norms"], q["segments_terms"] = q["cosine_topk"], q["document_norms"], q["idf"]
     q["cosine_topk_batch_stemmed"] = (f"WITH {_stemmed_ranking(BENCH_QUERIES)} "
                                       f"SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
     vocabulary = (f"SELECT DISTINCT lower(tok) AS word FROM (SELECT unnest({clean_tokens_sql('text')}) AS tok FROM documents) "
@@ -222,6 +258,7 @@ def _sql() -> dict[str, str]:
     q["cosine_topk_hydrated"] = (f"WITH {DOC_INDEX}, {bench_q} SELECT r.doc_id, r.query_id, r.rank, r.similarity, "
                                  f"d.lang, d.source, d.n_chars FROM ranked r LEFT JOIN documents d USING (doc_id) "
                                  f"WHERE r.rank <= {C.K}")
+    q["cosine_topk_hydrated_store"] = q["cosine_topk_hydrated"]
     q["cosine_topk_batch_conversations"] = (
         f"WITH {_tf_ctes('conversations', 'conv_id', 'text')}, {bench_q} "
         f"SELECT query_id, rank, doc_id, similarity FROM ranked WHERE rank <= {C.K}")
@@ -266,7 +303,7 @@ def _sql() -> dict[str, str]:
     q["compare_results"] = (f"{strings} SELECT ranker, rank, similarity AS val, CASE ranker WHEN 'cosine' "
                             f"THEN CAST(to_json(struct_pack({own})) AS VARCHAR) ELSE CAST(to_json(struct_pack({info})) AS VARCHAR) END AS info "
                             f"FROM both_ JOIN part_papers p USING (doc_id)")
-    q["fulltext_write_read"] = q["build_fulltext_search"] = q["fulltext_topk_batch"]
+    q["fulltext_write_read"] = q["build_fulltext_search"] = q["fulltext_topk_pruned"] = q["fulltext_topk_batch"]
     scanned = PART_PAPERS.replace("p_partkey AS doc_id", "CAST(p_partkey AS VARCHAR) AS doc_id")
     blank = ", ".join(f'"{f}" := ' + (f"p.{f}" if f in ("id", "authors", "title", "categories", "abstract") else "' '") for f in C.RESULT_FIELDS)
     q["paper_corpus"] = (f"WITH {STEMS_CTE}, {scanned}, {_cos_part_ctes(_one_query(C.PART_STEM_QUERY))} "

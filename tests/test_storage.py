@@ -11,8 +11,8 @@ from docrank import (build_fulltext, build_index, compare, drop_old_versions, fu
                      merge_index, read_fulltext, read_index, search, search_batch, stored_lexemes, write_fulltext, write_index)
 from docrank.operators import index as IX
 from docrank.operators import util
-from docrank.operators.search import cosine_scores
 from docrank.session import checkpoint_dir
+from docrank.sources import rangetable
 
 
 def corpus(spark, n=120, seed=1):
@@ -68,18 +68,70 @@ def test_frequent_keys_are_split(spark, monkeypatch):
     assert parts > 8
 
 
-def test_search_reads_only_the_terms_folders(spark, tmp_path):
-    idx = write_index(build_index(corpus(spark)), str(tmp_path / "i"))
-    assert idx.buckets == 16
-    words = " ".join(f"word{i}" for i in range(4))
-    for plan in (cosine_scores(idx, spark.createDataFrame([(0, words)], "query_id long, text string")), search(idx, words)):
-        text = plan._jdf.queryExecution().executedPlan().toString()
-        postings = [x for x in text.splitlines() if "FileScan" in x and "nweight" in x]
-        assert postings and all("PartitionFilters: [" in x and "bucket" in x.split("PartitionFilters: [")[1].split("]")[0] for x in postings)
-        assert "word1," not in text
+def scans(plan, column):
+    """(files, rows) read by the scans of an executed plan that read ``column``."""
+    out, todo = [], [plan._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "AdaptiveSparkPlanExec":
+            todo.append(node.executedPlan())
+        elif kind.endswith("QueryStageExec"):
+            todo.append(node.plan())
+        if kind == "FileSourceScanExec" and column in node.toString():
+            value = lambda name: node.metrics().apply(name).value()
+            out.append((value("numFiles"), value("numOutputRows")))
+        todo += [node.children().apply(i) for i in range(node.children().size())]
+    return out
+
+
+def many_terms(spark, n=30_000):
+    """Documents of 20 words each from a vocabulary of 5,000, written with small row groups and files."""
+    word = lambda i: F.concat(F.lit("t"), F.lpad(F.pmod(F.xxhash64("id", F.lit(i)), F.lit(5000)).cast("string"), 4, "0"))
+    return spark.range(n).select(F.col("id").alias("doc_id"), F.concat_ws(" ", *(word(i) for i in range(20))).alias("text"))
+
+
+def test_search_reads_only_the_row_groups_of_its_terms(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rangetable, "LEAST_FILE_ROWS", 1000)
+    monkeypatch.setattr(rangetable, "ROW_GROUP_BYTES", 1 << 16)
+    docs = many_terms(spark)
+    built = build_index(docs, stem=False)
+    total = built.postings.count()
+    idx = write_index(built, str(tmp_path / "i"))
+    files = idx.tables["postings"].directory().collect()
+    assert len(files) == spark.sparkContext.defaultParallelism and sum(f.n for f in files) == total
+    asked = [f"t{i:04d}" for i in (7, 1500, 4999)]
+    found = search(idx, " ".join(asked) + " nosuchterm", 10)
+    got = rows(found)
+    assert got == rows(search(built, " ".join(asked) + " nosuchterm", 10)) and got
+    matching = built.postings.where(F.col("term").isin(asked)).count()
+    (opened, read), = scans(found, "nweight")
+    assert opened <= 3 < len(files) and matching <= read < total / 20
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert all(t in text.split("PushedFilters: [")[1].split("]")[0] for t in asked)
+    # All terms of a large batch at once: the same rows by the whole tables.
+    queries = docs.where("doc_id % 1000 = 0").select(F.col("doc_id").alias("query_id"), "text")
+    few_rows = rows(search_batch(idx, queries, 3, digits=9))
+    monkeypatch.setattr(rangetable, "FEW", 5)
+    assert rows(search_batch(idx, queries, 3, digits=9)) == few_rows == rows(search_batch(built, queries, 3, digits=9))
     assert rows(search(idx, "nosuchword")) == []
 
 
+def test_range_table_lookup(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rangetable, "LEAST_FILE_ROWS", 50)
+    keys = ["", "a", "a\u0000", "b", "é", "z", "\U0001F600", "\uFFFD"]
+    df = spark.range(2000).select(F.element_at(F.array(*map(F.lit, keys), F.lit(None)), (F.col("id") % 9 + 1).cast("int")).alias("k"), "id")
+    table = rangetable.write_ranges(df, str(tmp_path / "t"), "k", ("id",))
+    assert rows(table.rows().groupBy().count()) == [(2000,)] and sum(r.nulls for r in table.directory().collect()) == 222
+    for asked in (["b"], keys, ["nope"], [], [None], [None, "z", "zz"], [f"x{i}" for i in range(1000)] + ["é"]):
+        want = rows(df.where(F.col("k").isin([k for k in asked if k is not None] or ["nope"])))
+        assert rows(table.lookup(asked)) == want
+    order = [(r.file_, r.place, r.k, r.id) for r in table.placed().collect()]
+    assert [x[2:] for x in sorted(order)] == sorted((x[2:] for x in order), key=lambda x: (x[0] is not None, (x[0] or "").encode(), x[1]))
+    empty = rangetable.write_ranges(df.where("false"), str(tmp_path / "e"), "k")
+    assert empty.lookup(["a"]).collect() == [] and empty.rows().count() == 0
+
+
 def test_versions_are_published_last(spark, tmp_path):
     path = str(tmp_path / "i")
     with pytest.raises(FileNotFoundError):
@@ -87,7 +139,7 @@ def test_versions_are_published_last(spark, tmp_path):
     first = write_index(build_index(corpus(spark, 30)), path)
     before = rows(first.postings)
     # A write that stops before its row is published leaves the version before it.
-    first.terms.write.parquet(f"{path}/data/version=2/terms")
+    first.terms.write.parquet(f"{path}/data/version=2/terms/rows")
     assert rows(read_index(spark, path).postings) == before
     with pytest.raises(Exception, match="already exists|PATH_ALREADY_EXISTS"):
         write_index(build_index(corpus(spark, 5)), path)
@@ -125,16 +177,28 @@ def test_unreadable_pointer_raises(spark, tmp_path):
         assert not isinstance(e.value, FileNotFoundError)
 
 
-def test_written_order(spark, tmp_path):
+def test_written_order(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rangetable, "LEAST_FILE_ROWS", 20)
     idx = write_index(build_index(corpus(spark)), str(tmp_path / "i"))
-    per_file = {}
-    for r in idx.postings.select("bucket", "term", "doc_id", "_metadata.file_path", "_metadata.row_index").collect():
-        per_file.setdefault(r.file_path, []).append((r.row_index, r.term, r.doc_id, r.bucket))
-    for own in per_file.values():
-        own.sort()
-        assert [x[1:3] for x in own] == sorted(x[1:3] for x in own) and len({x[3] for x in own}) == 1
-    terms = [(r.file_path, r.row_index, r.term) for r in idx.terms.select("term", "_metadata.file_path", "_metadata.row_index").collect()]
-    assert [t for *_, t in sorted(terms)] == sorted(t for *_, t in terms)
+    for name, key in (("postings", ("term", "doc_id")), ("terms", ("term",)), ("norms", ("doc_id",)), ("docs", ("doc_id",))):
+        placed = [(r.file_, r.place, *(r[c] for c in key)) for r in idx.tables[name].placed().collect()]
+        assert len({x[0] for x in placed}) > 1
+        assert [x[2:] for x in sorted(placed)] == sorted(x[2:] for x in placed)
+
+
+def test_hydration_reads_only_files_of_its_ids(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(rangetable, "LEAST_FILE_ROWS", 1000)
+    monkeypatch.setattr(rangetable, "ROW_GROUP_BYTES", 1 << 16)
+    docs = many_terms(spark, 20_000)
+    idx = write_index(build_index(docs, stem=False), str(tmp_path / "i"))
+    ranked = spark.createDataFrame([(1, 17, 0.5), (2, 40_000, 0.4)], "rank long, doc_id long, similarity double")
+    full = hydrate(ranked, idx.tables["docs"]).select("rank", "doc_id", "text")
+    got = rows(full)
+    assert got == rows(hydrate(ranked, docs).select("rank", "doc_id", "text")) and got[1][2] is None
+    (opened, read), = scans(full, "text")
+    assert opened == 1 and read < 5000
+    monkeypatch.setattr(rangetable, "FEW", 1)
+    assert rows(hydrate(ranked, idx.tables["docs"]).select("rank", "doc_id", "text")) == got
 
 
 def test_merge_carries_stored_columns(spark):

@@ -48,7 +48,7 @@ def main() -> None:
         ("Term counts (tokenise, stop test, partial + final count)",
          IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=False))),
         ("Postings written: tf ⋈ dictionary (broadcast, bytes summed) ⋈ norms (broadcast, bytes summed), dealt to term folders",
-         IX.by_bucket(IX.normalized_postings(built), built.terms, "df")[0]),
+         IX.normalized_postings(built).repartitionByRange(8, "term", "doc_id").sortWithinPartitions("term", "doc_id")),
         ("Norms: narrow partial sums, one zero row per record",
          IX.document_norms(built.postings, C.documents(spark, sf).select("doc_id"))),
     ]
