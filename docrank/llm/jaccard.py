@@ -5,16 +5,18 @@ shingles is at least ``percent`` / 100. The result is each document's component
 and the number of documents it links with; links are found exactly.
 
 1. Documents with equal sets are one row of the incidence matrix, with a weight.
-2. Candidates. Two sets of at most s shingles that link differ in at most
-   d = 2 s (1 - t) / (1 + t) shingles, t being the threshold. So if shingles are dealt to d + 1
-   parts by a hash, some part is the same in both. Each map task makes a print of every
-   part of its sets (for the set's size class and the next, so that neighbours meet) and
-   sends one document for each print to the print's shard, and the other
-   documents with that print as candidate links to that one. The shards link what remains.
-   Shingles that are frequent in some task are left out of the parts, which keeps
-   d a bound; a few parts more than d + 1 make up for empty ones, and a set with more empty
-   parts than that sends those too, so no pair is lost. Components of the candidate links are
-   the blocks in which all similar documents are together.
+2. Candidates. Two sets that link share at least t times the larger one's shingles, t
+   being the threshold. So a set of which fewer than that are in any other set links with
+   nothing, and if shingles are ordered by the number of sets that hold them, the first
+   (1 - t) s + 1 of each of the two sets have one in common. The columns of the incidence
+   matrix are dealt to shards by a hash; a shard counts each column and returns
+   the shared ones to the slices they came from, where the first shingles of each remaining set
+   are chosen. They are the rarest ones, so documents that share a passage, but
+   not most of their text, don't meet. Sets with a first shingle in common are linked as a star;
+   components of these candidate links are the blocks in which all similar documents are together.
+   Equal sets of a slice go on once. Shingles that are frequent in some slice are
+   not dealt (their columns would make hot shards): they count as shared by the most sets,
+   in the order of their hashes, and the slice itself chooses among them.
 3. Product. A block is cut into parts of bounded size; each pair of parts is a
    tile, small blocks share tiles. In a tile the matrix product is summed over
    shingle columns: dense products for columns that many documents share, pair
@@ -76,11 +78,6 @@ def set_prints(h: np.ndarray, at: np.ndarray) -> list[np.ndarray]:
     return out
 
 
-def size_class(size: np.ndarray, percent: int) -> np.ndarray:
-    """Classes such that linking sets are in the same or in neighbouring ones."""
-    return np.floor(np.log(np.maximum(size, 1)) / -np.log(percent / 100 - 1e-9)).astype(np.int64)
-
-
 def _describe(docs: DataFrame, k: int) -> DataFrame:
     """(key, n, a, b): set size and set hashes of every row of (key, text)."""
 
@@ -95,7 +92,7 @@ def _describe(docs: DataFrame, k: int) -> DataFrame:
 
 
 def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
-    """Up to ``most`` shingles that more than one in ``share`` texts of some slice hold, sorted. They only shape the parts."""
+    """Up to ``most`` shingles that more than one in ``share`` texts of some slice hold, sorted. They only shape the order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
@@ -109,45 +106,6 @@ def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
     return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
 
 
-def parts_of(cls: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(parts, spare) of a size class: the bound on differences, one more, and spare parts for empty ones."""
-    t = percent / 100
-    base = -np.log(t - 1e-9)
-    largest, smallest = np.ceil(np.exp(base * (cls + 1))), np.exp(base * (cls - 1))
-    differ = np.floor(2 * (1 - t) / (1 + t) * largest + 1e-9)
-    parts = differ + 1
-    for _ in range(3):
-        empty = parts * np.exp(-smallest / parts)
-        parts = differ + 1 + np.ceil(empty + 3 * np.sqrt(empty))
-    return parts.astype(np.int64), (parts - differ - 1).astype(np.int64)
-
-
-def part_prints(h: np.ndarray, at: np.ndarray, frequent: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """(print, row) of the parts of each set, in its own size class and the next."""
-    size = np.diff(at)
-    row = np.repeat(np.arange(len(size)), size)
-    if len(frequent):
-        rare = frequent[np.minimum(np.searchsorted(frequent, h), len(frequent) - 1)] != h
-        h, row = h[rare], row[rare]
-    out, owner = [], []
-    for step in (0, 1):
-        cls = size_class(size, percent) + step
-        parts, spare = parts_of(cls, percent)
-        parts[(size == 0) | (parts - spare <= 1)] = 0  # nothing but an equal set links with it
-        begin = np.cumsum(parts) - parts
-        use = parts[row] > 0
-        place = begin[row[use]] + (arrays.mix(h[use] + cls[row[use]].astype(np.uint64)) % np.maximum(parts[row[use]], 1).astype(np.uint64)).astype(np.int64)
-        total, count = np.zeros(int(parts.sum()), np.uint64), np.bincount(place, minlength=int(parts.sum()))
-        np.add.at(total, place, arrays.mix(h[use] ^ arrays.ODD))
-        of = np.repeat(np.arange(len(size)), parts)
-        number = np.arange(len(of)) - begin[of]
-        empty = np.bincount(of, weights=count == 0, minlength=len(size))
-        sent = (count > 0) | (empty > spare)[of]
-        out.append(arrays.mix(total + (number + 1).astype(np.uint64) * arrays.ODD + arrays.mix(cls.astype(np.uint64) + np.uint64(7))[of])[sent])
-        owner.append(of[sent])
-    return np.concatenate(out), np.concatenate(owner)
-
-
 def _stars(print_: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
     """Rows of equal prints: (order, first) and links of all but the first key to the first."""
     order = np.lexsort((key, print_))
@@ -159,75 +117,151 @@ def _stars(print_: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, ...]:
     return order, first, k[other], head[other]
 
 
+def least_shared(size: np.ndarray, percent: int) -> np.ndarray:
+    """How many of its shingles a set shares at least with any that it links with."""
+    return -(-percent * size // 100)
+
+
+def _ranked(row: np.ndarray) -> np.ndarray:
+    """The place of each entry among those of its row, rows being in order."""
+    return np.arange(len(row)) - np.searchsorted(row, row)
+
+
+def _numbers(n: np.ndarray) -> bytes:
+    return n.astype(np.uint16 if not len(n) or n.max() < 1 << 16 else np.uint32).tobytes()
+
+
+def _numbered(packed: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(packed, np.uint16 if len(packed) == 2 * size else np.uint32).astype(np.int64)
+
+
+def _batch(rows: list[list], columns: str) -> pa.RecordBatch:
+    """Rows as a batch; ``columns`` as Spark writes them, of long and binary."""
+    names = [c.split() for c in columns.split(", ")]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], pa.int64() if kind == "long" else pa.binary()) for i, (_, kind) in enumerate(names)],
+                                      [n for n, _ in names])
+
+
+DEALT = "shard long, slice long, print binary, text binary, key binary, need binary, token binary, owner binary, u binary, v binary"
+SHARED = "slice long, shard long, print binary, n binary, text binary, key binary, need binary, token binary, owner binary, u binary, v binary"
+TOKENS = "token long, u long, v long"
+
+
 def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, shards: int) -> DataFrame:
     """(u, v): candidate links whose components hold all similar pairs of (key, text).
 
-    A shard gets four bytes of each print and the text's number in its slice: prints that
+    A shard gets four bytes of each shingle and the text's number in its slice: shingles that
     happen to agree only add candidates."""
     shared = reps.sparkSession.sparkContext.broadcast(frequent)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often_of = shared.value
         for whole in batches:
             for batch in arrays.slices(whole, "text", 2 * arrays.SLICE_BYTES):
                 keys = np.asarray(batch.column("key"), np.int64)
-                p, row = part_prints(*sets(batch, "text", k), shared.value, percent)
-                order, first, u, v = _stars(p, keys[row])
-                own, text = p[order[first]], row[order[first]].astype(np.int32)
-                shard = (own % np.uint64(shards)).astype(np.int64)
+                h, at = sets(batch, "text", k)
+                size = np.diff(at)
+                # The first of equal sets.
+                prints = np.stack([*set_prints(h, at), keys])
+                by = np.lexsort(prints[::-1])
+                new = np.r_[True, (prints[:2, by[1:]] != prints[:2, by[:-1]]).any(axis=0)]
+                own = np.zeros(len(size), bool)
+                own[by[new]] = True
+                row = np.repeat(np.arange(len(size)), size)
+                h, row = h[own[row]], row[own[row]]
+                often = often_of[np.minimum(np.searchsorted(often_of, h), len(often_of) - 1)] == h if len(often_of) else np.zeros(len(h), bool)
+                need = least_shared(size, percent) - np.bincount(row[often], minlength=len(size))
+                tokens, owner = h[often], row[often]
+                first = _ranked(owner) < 1 - need[owner]
+                order, heads, u, v = _stars(tokens[first], keys[owner[first]])
+                u, v = arrays.forest(u, v)
+                tokens, owner = tokens[first][order[heads]], keys[owner[first][order[heads]]]
+                h, row = h[~often], row[~often]
+                shard = (h % np.uint64(shards)).astype(np.int64)
                 by = np.argsort(shard, kind="stable")
                 border = np.searchsorted(shard[by], np.arange(shards + 1))
-                out = []
-                for i in range(shards):
-                    at = by[border[i]: border[i + 1]]
-                    if len(at):
-                        texts, number = np.unique(text[at], return_inverse=True)
-                        small = np.uint16 if len(texts) < 1 << 16 else np.uint32
-                        out.append([i, (own[at] >> np.uint64(32)).astype(np.uint32).tobytes(), number.astype(small).tobytes(),
-                                    keys[texts].tobytes(), b"", b""])
-                if len(u):
-                    u, v = arrays.forest(u, v)
-                    out.append([int(u[0]) % shards, b"", b"", b"", u.tobytes(), v.tobytes()])
-                kinds = [pa.int32()] + [pa.binary()] * 5
-                yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], kinds[i]) for i in range(6)],
-                                                 ["shard", "print", "text", "key", "u", "v"])
+                name, out = int(keys[0]), []
+                for i in np.unique(shard).tolist():
+                    at_shard = by[border[i]: border[i + 1]]
+                    texts, number = np.unique(row[at_shard], return_inverse=True)
+                    out.append([i, name, (h[at_shard] >> np.uint64(32)).astype(np.uint32).tobytes(), _numbers(number), keys[texts].tobytes(),
+                                need[texts].astype(np.int32).tobytes(), b"", b"", b"", b""])
+                if len(tokens) or len(u):
+                    out.append([name % shards, name, b"", b"", b"", b"", tokens.tobytes(), owner.tobytes(), u.tobytes(), v.tobytes()])
+                yield _batch(out, DEALT)
+
+    def count(table: pa.Table) -> pa.Table:
+        """Shingles that several sets hold, and how many, back to their slices."""
+        rows = table.to_pylist()
+        out = [[r["slice"], 0, b"", b"", b"", b"", b"", r["token"], r["owner"], r["u"], r["v"]] for r in rows if r["token"] or r["u"]]
+        rows = [r for r in rows if r["print"]]
+        if rows:
+            prints = [np.frombuffer(r["print"], np.uint32) for r in rows]
+            source = np.repeat(np.arange(len(rows)), [len(p) for p in prints])
+            text = np.concatenate([_numbered(r["text"], len(p)) for r, p in zip(rows, prints)])
+            prints = np.concatenate(prints)
+            by = np.argsort(prints, kind="stable")
+            ends = np.flatnonzero(np.r_[prints[by[1:]] != prints[by[:-1]], True]) + 1
+            n = np.zeros(len(prints), np.int64)
+            n[by] = np.repeat(np.diff(np.r_[0, ends]), np.diff(np.r_[0, ends]))
+            border = np.searchsorted(source, np.arange(len(rows) + 1))
+            for i, r in enumerate(rows):
+                lo, hi = border[i], border[i + 1]
+                some = np.flatnonzero(n[lo:hi] > 1) + lo
+                if len(some):
+                    texts, number = np.unique(text[some], return_inverse=True)
+                    key, need = np.frombuffer(r["key"], np.int64)[texts], np.frombuffer(r["need"], np.int32)[texts]
+                    out.append([r["slice"], r["shard"], prints[some].tobytes(), np.minimum(n[some], 65535).astype(np.uint16).tobytes(),
+                                _numbers(number), key.tobytes(), need.tobytes(), b"", b"", b"", b""])
+        return pa.Table.from_batches([_batch(out, SHARED)])
+
+    def choose(table: pa.Table) -> pa.Table:
+        """The first shingles of each set of a slice that shares enough, as (token, key, null) and links (null, u, v)."""
+        rows = table.to_pylist()
+        flat = lambda name, kind: np.frombuffer(b"".join(r[name] for r in rows), kind)
+        tokens, owners, us, vs = [flat("token", np.uint64)], [flat("owner", np.int64)], flat("u", np.int64), flat("v", np.int64)
+        rows = [r for r in rows if r["print"]]
+        if rows:
+            token, key, need, n = [], [], [], []
+            for r in rows:
+                p = np.frombuffer(r["print"], np.uint32).astype(np.uint64)
+                number = _numbered(r["text"], len(p))
+                token.append(p << np.uint64(24) | np.uint64(r["shard"]))
+                key.append(np.frombuffer(r["key"], np.int64)[number])
+                need.append(np.frombuffer(r["need"], np.int32)[number].astype(np.int64))
+                n.append(np.frombuffer(r["n"], np.uint16))
+            token, key, need, n = (np.concatenate(x) for x in (token, key, need, n))
+            by = np.lexsort((token, n, key))
+            token, key, need = token[by], key[by], need[by]
+            held = np.searchsorted(key, key, side="right") - np.searchsorted(key, key)
+            first = _ranked(key) < held - need + 1
+            order, heads, u, v = _stars(token[first], key[first])
+            tokens.append(token[first][order[heads]])
+            owners.append(key[first][order[heads]])
+            us, vs = np.r_[us, u], np.r_[vs, v]
+        us, vs = arrays.forest(us, vs)
+        token, owner = np.concatenate(tokens).view(np.int64), np.concatenate(owners)
+        none = np.zeros(len(us), np.int64)
+        return pa.table({"token": pa.array(np.r_[token, none], mask=np.r_[np.zeros(len(token), bool), np.ones(len(us), bool)]),
+                         "u": np.r_[owner, us], "v": pa.array(np.r_[np.zeros(len(token), np.int64), vs], mask=np.r_[np.ones(len(token), bool), np.zeros(len(us), bool)])})
 
     def meet(table: pa.Table) -> pa.Table:
-        rows = table.to_pydict()
-        prints, keys = [], []
-        for p, text, key in zip(rows["print"], rows["text"], rows["key"], strict=True):
-            prints.append(np.frombuffer(p, np.uint32))
-            number = np.frombuffer(text, np.uint16 if len(text) == 2 * len(prints[-1]) else np.uint32)
-            keys.append(np.frombuffer(key, np.int64)[number])
-        _, _, a, b = _stars(np.concatenate(prints), np.concatenate(keys))
-        u, v = (np.frombuffer(b"".join(rows[f]), np.int64) for f in ("u", "v"))
-        a, b = arrays.forest(np.r_[u, a], np.r_[v, b])
-        return pa.table({"u": a, "v": b})
-
-    packed = reps.mapInArrow(cut, "shard int, print binary, text binary, key binary, u binary, v binary")
-    return packed.groupBy("shard").applyInArrow(meet, "u long, v long")
-
-
-def _blocks(src: DataFrame, k: int, percent: int, shard_bytes: int, max_frequent: int, large: int) -> DataFrame:
-    """(node, component): blocks of (key, text) that hold all similar pairs.
-
-    Shingles rare in the corpus may still be shared by all texts of a block that grew by chains. The
-    texts of blocks over ``large`` go through the same step by themselves, without the shingles
-    that are frequent among them, as long as that takes such blocks apart."""
-
-    def step(texts: DataFrame) -> DataFrame:
-        total = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        return components(_candidates(texts, k, percent, _frequent(texts, k, max_frequent, 200), max(1, math.ceil(total / shard_bytes))))
-
-    block, before = step(src), None
-    while True:
-        big = block.groupBy("component").agg(F.count("*").alias("rows")).where(F.col("rows") > large).select("component")
-        inside = saved(block.join(big, "component").select(F.col("node").alias("key")), "large")
-        now = inside.count()
-        if not now or (before is not None and now > 0.9 * before):
-            return block
-        before = now
-        block = block.join(inside, F.col("node") == F.col("key"), "left_anti").union(
-            step(saved(src.join(inside, "key", "left_semi"), "large")))
+        _, _, u, v = _stars(np.asarray(table["token"], np.int64), np.asarray(table["u"], np.int64))
+        u, v = arrays.forest(u, v)
+        return pa.table({"u": u, "v": v})
+
+    dealt = reps.mapInArrow(deal, DEALT)
+    back = dealt.groupBy("shard").applyInArrow(count, SHARED)
+    chosen = saved(back.groupBy("slice").applyInArrow(choose, TOKENS), "tokens")
+    bins = max(1, math.ceil(chosen.count() / (1 << 18)))
+    met = chosen.where("token IS NOT NULL").withColumn("bin", F.pmod(F.xxhash64("token"), F.lit(bins))).groupBy("bin").applyInArrow(meet, "u long, v long")
+    return met.union(chosen.where("token IS NULL").select("u", "v"))
+
+
+def _blocks(src: DataFrame, k: int, percent: int, shard_bytes: int, max_frequent: int) -> DataFrame:
+    """(node, component): blocks of (key, text) that hold all similar pairs."""
+    total = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return components(_candidates(src, k, percent, _frequent(src, k, max_frequent, 200), max(1, math.ceil(total / shard_bytes))))
 
 
 def overlaps(h: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -316,7 +350,7 @@ def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     known = saved(_describe(src, k), "sets")
     groups = saved(known.where("n > 0").groupBy("a", "b", "n").agg(F.min("key").alias("rep"), F.count("*").alias("weight")), "groups")
 
-    block = _blocks(src, k, percent, shard_bytes, max_frequent, 4 * part_rows)
+    block = _blocks(src, k, percent, shard_bytes, max_frequent)
     # Documents with equal sets are candidates of each other; from here on only the first of them goes on.
     block = block.join(groups.select(F.col("rep").alias("node"), "weight", "n"), "node")
     sizes = block.groupBy("component").agg(F.count("*").alias("rows"), F.sum("n").alias("shingles")).where("rows > 1")

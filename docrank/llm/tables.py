@@ -53,7 +53,8 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> tuple[Dat
 
     Usually the id itself. Only where ids repeat or are null, the distinct
     (id, hash of text) pairs are numbered in that order, nulls first, so rows
-    with the same id and the same text share a key and all others differ.
+    with the same id and the same text share a key and all others differ. Ids
+    are whole numbers (or text that casts to them).
     """
     ids = docs.select(F.col(id_col).cast("long").alias("id"))
     clash = ids.groupBy("id").agg(F.count("*").alias("n")).where("n > 1 OR id IS NULL")
@@ -64,7 +65,8 @@ def row_keys(docs: DataFrame, id_col: str, text_col: str, key: str) -> tuple[Dat
     parts = saved(pairs.repartitionByRange(F.col("id").asc_nulls_first(), F.col("print"))
                   .sortWithinPartitions(F.col("id").asc_nulls_first(), F.col("print"))
                   .select("id", "print", F.monotonically_increasing_id().alias(key)), "keys")
-    joined = docs.withColumn("__print", F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("d").join(
+    own = fresh(docs.withColumn(key, F.lit(0)), "print")
+    joined = docs.withColumn(own, F.sha2(F.coalesce(F.col(text_col), F.lit("")), 256)).alias("d").join(
         parts.alias("k"), F.col("d." + id_col).cast("long").eqNullSafe(F.col("k.id"))
-        & (F.col("d.__print") == F.col("k.print")))
-    return joined.select("d.*", f"k.{key}").drop("__print"), False
+        & (F.col("d." + own) == F.col("k.print")))
+    return joined.select("d.*", f"k.{key}").drop(own), False

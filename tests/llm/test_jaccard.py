@@ -14,7 +14,7 @@ def check(spark, rows, **options):
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     out, names = jaccard.near_copies(df, **options)
     got = sorted((r.doc_id, r[names["n_shingles"]], r[names["component"]], r[names["n_links"]]) for r in out.collect())
-    assert got == sorted(brute.components(rows, options.get("percent", 90)))
+    assert got == sorted(brute.components(rows, options.get("percent", 90), options.get("k", 3)))
 
 
 def copies(rng, n, words, changes):
@@ -98,24 +98,45 @@ def test_components_of_a_long_path(spark):
 
 
 @pytest.mark.parametrize("percent", [60, 80, 90])
-def test_parts_lose_no_pair(percent):
-    """Every two sets that link have a print in common, whatever shingles count as frequent."""
-    rng = np.random.default_rng(percent)
-    base = [rng.integers(1, 2**63, n).astype(np.uint64) for n in (3, 8, 12, 30, 90, 300)]
-    rows = []
-    for b in base:
-        for _ in range(30):
-            keep = b[rng.random(len(b)) > rng.uniform(0, 0.2)]
-            rows.append(np.unique(np.r_[keep, rng.integers(1, 2**63, rng.integers(0, 1 + len(b) // 8)).astype(np.uint64)]))
-    at = np.r_[0, np.cumsum([len(r) for r in rows])]
-    pairs = [(i, j) for i in range(len(rows)) for j in range(i) if len(rows[i]) and len(rows[j])
-             and 100 * len(np.intersect1d(rows[i], rows[j])) >= percent * len(np.union1d(rows[i], rows[j]))
-             and not np.array_equal(rows[i], rows[j])]
-    assert len(pairs) > 30
-    for frequent in (np.zeros(0, np.uint64), np.sort(np.concatenate([b[: len(b) // 2] for b in base])), np.sort(np.concatenate(base))):
-        p, row = jaccard.part_prints(np.concatenate(rows), at, frequent, percent)
-        own = [set(p[row == i].tolist()) for i in range(len(rows))]
-        assert all(own[i] & own[j] for i, j in pairs)
+@pytest.mark.parametrize("max_frequent", [0, 40, 5000])
+def test_candidates_lose_no_pair(spark, percent, max_frequent):
+    """Links equal brute force, whatever shingles count as frequent and however many shards there are."""
+    rng = random.Random(percent)
+    texts = []
+    for words in (3, 8, 12, 30, 90, 300):
+        texts += copies(rng, 12, words, max(1, words // 12))
+    rng.shuffle(texts)
+    check(spark, list(enumerate(texts)), percent=percent, k=1, shard_bytes=700, max_frequent=max_frequent)
+
+
+def chained(rng, n):
+    """Texts that share passages with their neighbours, each with a near copy: chains of candidates by single shingles."""
+    word = lambda: f"w{rng.randint(0, 10 ** 6)}"
+    passages = [[word() for _ in range(60)] for _ in range(n // 8 + 2)]
+    texts = []
+    for i in range(n):
+        own = [word() for _ in range(150)]
+        t = own[:50] + passages[i // 8] + own[50:100] + passages[i // 8 + 1] + own[100:]
+        texts.append(" ".join(t))
+        if i % 3 == 0:
+            for _ in range(2):
+                t = list(t)
+                t[rng.randrange(len(t))] = word()
+                texts.append(" ".join(t))
+    return texts
+
+
+def test_shared_passages_do_not_chain(spark):
+    """At 80 %, blocks hold near copies, not the texts that only share a passage; links equal brute force."""
+    rng = random.Random(9)
+    texts = chained(rng, 90)
+    rows = list(enumerate(texts))
+    rng.shuffle(rows)
+    check(spark, rows, percent=80, k=5)
+    check(spark, rows, percent=80, k=5, part_rows=2, shard_bytes=2000, max_frequent=300)
+    src = spark.createDataFrame(rows, "key long, text string").repartition(4)
+    blocks = jaccard._blocks(src, 5, 80, 1 << 20, 1 << 16).groupBy("component").count().collect()
+    assert {r["count"] for r in blocks} == {3} and len(blocks) == 30
 
 
 def test_forest_keeps_reach():
