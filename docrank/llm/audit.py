@@ -50,9 +50,11 @@ FILTERS = "ABCDE"
 COPY = 16  # the mask of filter E
 # How the stream keeps its state; read when it starts.
 STATE = {"spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true"}
+         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+         "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false"}  # else every small store takes megabytes
 PARTITIONS = "spark.sql.shuffle.partitions"
 STATE_ROWS = 1 << 17  # rows of the table for a partition of the state
+LEAST_BATCH = 256 << 20  # bytes of files that a micro-batch takes at least
 SALTS = 8
 COUNTER = ["part", "mask", "good", "toxic"]
 REDUCED = "bucket long, key binary, id long, part string, mask int, good boolean, toxic boolean, n long"
@@ -125,18 +127,18 @@ def update(key: tuple, parts: Iterator[pd.DataFrame], state: GroupState) -> Iter
 
 
 def mask_counts(spark: SparkSession, path: str, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                part_col: str = "source", batches: int = 4, texts_a_key: int = 16, batch_files: int | None = None) -> DataFrame:
+                part_col: str = "source", batches: int = 4, texts_a_key: int = 256, batch_files: int | None = None) -> DataFrame:
     """(part, mask, good, toxic, n) of the Parquet table at ``path``: rows by the filters that they fail.
 
     ``labels``: doc_id, quality, toxic. A micro-batch takes about one of ``batches`` equal shares of the files'
-    bytes, so there are as many at every size, or ``batch_files`` files."""
+    bytes, so there are as many at every size but for small tables, or ``batch_files`` files."""
     table = spark.read.parquet(path)
     rows = table.count()  # from the files' footers
     marks = labels.where("doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("id")).agg(
         F.coalesce(F.max(F.col("quality") == 1), F.lit(False)).alias("good"), F.coalesce(F.max(F.col("toxic") == 1), F.lit(False)).alias("toxic"))
     marks = saved(marks.where("good OR toxic"), "marks")
     size = int(str(table._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    limit = {"maxFilesPerTrigger": str(batch_files)} if batch_files else {"maxBytesPerTrigger": str(max(1, math.ceil(size / batches)))}
+    limit = {"maxFilesPerTrigger": str(batch_files)} if batch_files else {"maxBytesPerTrigger": str(max(LEAST_BATCH, math.ceil(size / batches)))}
     # As a pattern, a path may name a folder or one file.
     docs = spark.readStream.schema(table.schema).options(**limit).parquet(f"{path.rstrip('/')[:-1]}[{path.rstrip('/')[-1]}]")
     reduced = described(docs, marks, id_col, text_col, part_col, max(1, rows // texts_a_key)).mapInPandas(reduce_batches, REDUCED)
