@@ -11,7 +11,7 @@ the tightest bin) or by the norm of what would be left; a new bin opens only
 if none has room.
 
 Spark tokenises in one narrow pass and deals pieces to bin groups by a hash of
-piece and content, so a group holds a bounded number of pieces whatever a
+piece, content and partition, so a group holds a bounded number of pieces whatever a
 source or id does. Groups pack independently; each leaves a few bins partly
 full out of thousands. Counts come from the rows themselves, so there is no
 cap on rows.
@@ -177,17 +177,22 @@ def best_fit_packing(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", t
 
     ``max_docs`` and ``max_attention`` bound the pieces and the summed squared
     lengths of a sequence (default: what ``length`` implies, so they never bind).
-    ``rule``: ``dot`` or ``norm``. ``group_rows``: documents per bin group.
+    Pieces are cut to the longest that either capacity takes: ``length`` tokens, or the root of ``max_attention``.
+    ``rule``: ``dot`` or ``norm``. ``group_rows``: documents, and full pieces, per bin group.
     """
     if rule not in ("dot", "norm"):
         raise ValueError("rule is dot or norm")
+    if (max_attention is not None and max_attention < 1) or (max_docs is not None and max_docs < 1):
+        raise ValueError("a sequence must have room for one token")
     capacity = np.array([length, max_docs or length, max_attention or float(length) ** 2], float)
-    if max_attention is not None and max_attention < float(length) ** 2:
-        raise ValueError("a full sequence must fit max_attention")
     weigh = np.array(weights, float)
-    pieces = token_pieces(docs, vocabulary, id_col, text_col, length, keep_ids)
-    groups = max(1, math.ceil(docs.count() / group_rows))
-    deal = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32"), F.lit(groups)).cast("long")
+    longest = length if max_attention is None else min(length, math.isqrt(int(max_attention)))
+    pieces = token_pieces(docs, vocabulary, id_col, text_col, longest, keep_ids)
+    size = docs.agg(F.count("*").alias("rows"), F.sum(F.octet_length(text_col)).alias("bytes")).first()
+    # A token has a byte at least, so a group has a bounded number of pieces, however long the documents are.
+    groups = max(1, math.ceil(max(size["rows"], (size["bytes"] or 0) / longest) / group_rows))
+    # Equal rows of different partitions are dealt apart.
+    deal = F.pmod(F.xxhash64("doc_id", "piece", "start", "length", "ids_crc32", F.spark_partition_id()), F.lit(groups)).cast("long")
 
     def pack(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values(["doc_id", "piece", "length", "ids_crc32"], kind="stable").reset_index(drop=True)

@@ -89,5 +89,28 @@ def test_bad_arguments(spark):
     df = spark.createDataFrame([(1, "a")], "doc_id long, text string")
     with pytest.raises(ValueError):
         packing.best_fit_packing(df, vocabulary(), rule="first")
-    with pytest.raises(ValueError):
-        packing.best_fit_packing(df, vocabulary(), max_attention=5.0)
+    for bad in ({"max_attention": 0.5}, {"max_docs": 0}):
+        with pytest.raises(ValueError):
+            packing.best_fit_packing(df, vocabulary(), **bad)
+
+
+def test_attention_and_documents_bind(spark):
+    """A limit on attention cost cuts pieces to its root and keeps sequences under it; so does one on documents."""
+    docs = spark.read.parquet(f"{SF001}/documents.parquet").select("doc_id", "text")
+    rows = [tuple(r) for r in docs.collect()]
+    plain = len({r.sequence_id for r in packing.best_fit_packing(docs, vocabulary(), length=512).collect()})
+    for options, longest in (({"max_attention": 60_000.0}, 244), ({"max_docs": 2}, 512)):
+        got = packing.best_fit_packing(docs, vocabulary(), length=512, **options).collect()
+        cost, pieces = {}, {}
+        for r in got:
+            cost[r.sequence_id] = cost.get(r.sequence_id, 0) + r.length ** 2
+            pieces[r.sequence_id] = pieces.get(r.sequence_id, 0) + 1
+        assert max(cost.values()) <= options.get("max_attention", 512 ** 2) and max(pieces.values()) <= options.get("max_docs", 512)
+        assert len(cost) > plain and max(r.length for r in got) == longest
+        assert sum(r.length for r in got) == sum(map(len, ids_of(rows)))
+
+
+def test_equal_rows_are_spread(spark):
+    df = spark.createDataFrame([(1, "the same text of a document")] * 400, "doc_id long, text string").repartition(4)
+    got = packing.best_fit_packing(df, vocabulary(), length=64, group_rows=100).collect()
+    assert len(got) == 400 and len({r.sequence_id >> 40 for r in got}) > 1
