@@ -219,7 +219,7 @@ marks AS (
   SELECT doc_id AS page_id, max(CAST(coalesce(quality = 0, false) OR coalesce(toxic = 1, false) AS INTEGER)) AS bad FROM labels
   WHERE doc_id IS NOT NULL AND (quality IS NOT NULL OR toxic IS NOT NULL) GROUP BY doc_id),
 h0 AS (
-  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(host, '.') AS p FROM base LEFT JOIN marks USING (page_id) GROUP BY host),
+  SELECT host, count(bad) AS n, coalesce(sum(bad), 0) AS bad, string_split(regexp_replace(host, ':[0-9]*$', ''), '.') AS p FROM base LEFT JOIN marks USING (page_id) GROUP BY host),
 h1 AS (
   SELECT *, CASE WHEN len(p) >= 2 AND array_to_string(p[greatest(len(p) - 1, 1):], '.') IN ({", ".join(f"'{s}'" for s in
       ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "com.ar", "com.au", "com.br", "com.cn",

@@ -1,7 +1,9 @@
 """URL filter: listed rules first, then the reputation of the host.
 
 Reputation is an empirical-Bayes estimate of the share of bad pages. Labelled
-outcomes are counted by host, registered domain and public suffix; each level
+outcomes are counted by host once and written; hosts add up to registered domains and
+public suffixes (the longest one of a list or table that ends the host, else its last label; a port
+counts for no level); each level
 is a beta-binomial whose prior mean is its parent's posterior mean (the suffix's
 parent is the whole table) and whose prior strength comes from the spread of
 the level's rates around their parents' (method of moments). A host without
@@ -14,7 +16,8 @@ with a salt, so a host with a third of all pages spreads over ``salts`` tasks.
 Defined cases: a null url or one without ``://`` has empty host and path, no
 rule can fit it, and it shares the estimate of the empty host; labels without a
 page are ignored; several labels of one page count once, as bad if any is; a
-page without a label counts for no outcome; equal rows are judged equally.
+page without a label counts for no outcome; equal rows are judged equally; a host that is
+a public suffix is its own domain; only the columns named below are read.
 """
 
 from __future__ import annotations
@@ -22,6 +25,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from docrank.llm.tables import saved
+from docrank.operators.util import fits, maybe_broadcast
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # Public suffixes of two labels that the tables may hold.
 TWO_LABEL_SUFFIXES = ["ac.uk", "co.in", "co.jp", "co.kr", "co.nz", "co.uk", "com.ar", "com.au", "com.br", "com.cn",
@@ -48,14 +54,22 @@ def matching_rule(host: Column, path: Column, rules: list[tuple[str, str, str]])
     return out
 
 
-def _levels(hosts: DataFrame) -> DataFrame:
-    """Adds ``suffix`` and ``domain`` (one label more) to a table of hosts."""
-    parts = F.split("host", r"\.")
-    two = F.array_join(F.slice(parts, F.greatest(F.size(parts) - 1, F.lit(1)), 2), ".")
-    wide = two.isin(TWO_LABEL_SUFFIXES) & (F.size(parts) >= 2)
-    labels = F.when(wide, 2).otherwise(1)
-    last = lambda n: F.array_join(F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n), ".")
-    return hosts.withColumn("suffix", last(labels)).withColumn("domain", last(labels + 1))
+def _levels(hosts: DataFrame, suffixes: list[str] | DataFrame) -> DataFrame:
+    """Adds ``suffix`` and ``domain`` (one label more) to a table of hosts, one row each."""
+    parts = F.split(F.regexp_replace("host", ":[0-9]*$", ""), r"\.")
+    # A host's ends from the longest (itself) to its last label.
+    ends = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
+    hosts = hosts.withColumn("ends", ends)
+    if isinstance(suffixes, DataFrame):
+        known = suffixes.select(F.lower("suffix").alias("end")).where("end IS NOT NULL").distinct()
+        found = hosts.select("host", F.posexplode("ends").alias("place", "end")).join(
+            maybe_broadcast(known, fits(known)), "end").groupBy("host").agg(F.min("place").alias("place"))
+        hosts = hosts.join(found, "host", "left").withColumn("place", F.coalesce("place", F.size("ends") - 1))
+    else:
+        listed = F.transform("ends", lambda e: e.isin(list(suffixes)))
+        hosts = hosts.withColumn("place", F.when(F.array_contains(listed, True), F.array_position(listed, True).cast("int") - 1).otherwise(F.size("ends") - 1))
+    return hosts.withColumn("suffix", F.col("ends")[F.col("place")]).withColumn(
+        "domain", F.col("ends")[F.greatest(F.col("place") - 1, F.lit(0))]).drop("ends", "place")
 
 
 def _strength(level: DataFrame) -> float:
@@ -72,9 +86,10 @@ def _strength(level: DataFrame) -> float:
     return (1 - r) / r
 
 
-def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
+def host_reputation(outcomes: DataFrame, z: float = 1.645, suffixes: list[str] | DataFrame = TWO_LABEL_SUFFIXES) -> DataFrame:
     """Per host: n, bad, posterior mean and lower bound. ``outcomes``: host, bad (1, 0, or null without a label)."""
-    hosts = _levels(outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad")))
+    counts = outcomes.groupBy("host").agg(F.count("bad").alias("n"), F.coalesce(F.sum("bad"), F.lit(0)).alias("bad"))
+    hosts = saved(_levels(counts, suffixes), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     base = ((total["bad"] or 0) + 0.5) / ((total["n"] or 0) + 1.0)
     count = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
@@ -94,15 +109,17 @@ def host_reputation(outcomes: DataFrame, z: float = 1.645) -> DataFrame:
 
 
 def url_filter(pages: DataFrame, labels: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id",
-               url_col: str = "url", limit: float = 0.5, z: float = 1.645, salts: int = 16) -> DataFrame:
+               url_col: str = "url", limit: float = 0.5, z: float = 1.645, salts: int = 16,
+               suffixes: list[str] | DataFrame = TWO_LABEL_SUFFIXES) -> DataFrame:
     """page_id, host, path, rule, verdict and the host's posterior ``mean`` and ``bound`` per page.
 
-    ``labels``: ``doc_id`` (a page's id) and ``bad`` (0 or 1).
+    ``labels``: ``doc_id`` (a page's id) and ``bad`` (0 or 1). ``suffixes``: public suffixes of more than one label, a list or a
+    table with the column ``suffix``.
     """
     base = pages.select(F.col(id_col).alias("page_id"), url_host(url_col).alias("host"), url_path(url_col).alias("path"))
     marks = labels.where("bad IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").alias("page_id")).agg(
         F.max("bad").cast("long").alias("bad"))
-    known = host_reputation(base.select("page_id", "host").join(marks, "page_id", "left"), z)
+    known = host_reputation(base.select("page_id", "host").join(marks, "page_id", "left"), z, suffixes)
     spread = known.select("host", "mean", "bound", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("salt"))
     salted = base.withColumn("salt", F.pmod(F.xxhash64("page_id", "path"), F.lit(salts)).cast("int"))
     hit = matching_rule(F.col("host"), F.col("path"), rules)
