@@ -42,27 +42,26 @@ GAP = 1 << 40  # between the word numbers of one text and the next
 SLICE = 4 << 20
 
 
-class Block:
-    """Windows of some items. ``vocabulary``: sorted word hashes; each window is a row of word numbers."""
-
-    def __init__(self, ids: list, texts: list, window: int):
-        data, at = arrays.text_buffer(pa.array(texts, pa.large_string()))
-        words = arrays.Words(data, at, WORD_BYTES)
-        self.vocabulary, number = np.unique(words.hash, return_inverse=True)
-        owners: dict[tuple, list[int]] = {}
-        self.items: list[np.ndarray] = []
-        for i in range(len(texts)):
-            own = number[words.begin[i]: words.begin[i + 1]]
-            self.items.append(own)
-            for j in range(max(0, len(own) - window) + 1 if len(own) else 0):
-                owners.setdefault(tuple(own[j: j + window].tolist()), []).append(i)
-        self.windows = [np.array(w) for w in owners]
-        self.owners = [sorted(set(o)) for o in owners.values()]
-        self.ids = ids
-        size = max([len(w) for w in self.windows], default=1)
-        self.table = np.full((len(self.windows), size), -1)
-        for k, w in enumerate(self.windows):
-            self.table[k, : len(w)] = w
+def block_of(ids: list, texts: list, window: int) -> dict:
+    """Windows of some items, as plain arrays and lists, which every worker can read without this package.
+
+    ``vocabulary``: sorted word hashes; ``items``: the word numbers of each item; ``table``: a row of word
+    numbers for each window, -1 after short ones; ``size``: its words; ``owners``: its items; ``ids``: the items' ids."""
+    data, at = arrays.text_buffer(pa.array(texts, pa.large_string()))
+    words = arrays.Words(data, at, WORD_BYTES)
+    vocabulary, number = np.unique(words.hash, return_inverse=True)
+    owners: dict[tuple, list[int]] = {}
+    items = []
+    for i in range(len(texts)):
+        own = number[words.begin[i]: words.begin[i + 1]].astype(np.int32)
+        items.append(own)
+        for j in range(max(0, len(own) - window) + 1 if len(own) else 0):
+            owners.setdefault(tuple(own[j: j + window].tolist()), []).append(i)
+    size = np.array([len(w) for w in owners], np.int32)
+    table = np.full((len(size), max(size, default=1)), -1, np.int32)
+    for k, w in enumerate(owners):
+        table[k, : len(w)] = w
+    return {"vocabulary": vocabulary, "items": items, "table": table, "size": size, "owners": [sorted(set(o)) for o in owners.values()], "ids": ids}
 
 
 class Index:
@@ -110,16 +109,16 @@ class Index:
         return found
 
 
-def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[Block]:
+def _blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int) -> Iterator[dict]:
     ids, texts, size = [], [], 0
     for row in items.select(F.col(id_col).alias("i"), F.col(text_col).cast("string").alias("t")).where(
             F.col("i").isNotNull()).toLocalIterator():
         ids.append(str(row.i)), texts.append(row.t or "")
         size += 1 + len(texts[-1]) // 2
         if size >= block_words:
-            yield Block(ids, texts, window)
+            yield block_of(ids, texts, window)
             ids, texts, size = [], [], 0
-    yield Block(ids, texts, window)
+    yield block_of(ids, texts, window)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -148,25 +147,26 @@ def _search(docs: DataFrame, shared, text_col: str, names: dict[str, str], near:
             for batch in arrays.slices(whole, text_col, SLICE):
                 yield find(batch, block)
 
-    def find(batch: pa.RecordBatch, block: Block) -> pa.RecordBatch:
+    def find(batch: pa.RecordBatch, block: dict) -> pa.RecordBatch:
         words = arrays.Words(*arrays.text_buffer(batch.column(text_col)), WORD_BYTES)
-        index = Index(words, block.vocabulary)
+        index = Index(words, block["vocabulary"])
         hits: dict[int, list[tuple[int, int]]] = {}
         found: list[set[str]] = [set() for _ in range(batch.num_rows)]
         close: list[set[str]] = [set() for _ in range(batch.num_rows)]
-        if len(block.windows) and len(index.places):
+        table, ids = block["table"], block["ids"]
+        if len(table) and len(index.places):
             present = np.append(index.size > 0, True)  # -1 fills short windows
-            for k in np.flatnonzero(present[block.table].all(axis=1)):
-                size = len(block.windows[k])
-                for place in index.phrase(block.windows[k]).tolist():
+            for k in np.flatnonzero(present[table].all(axis=1)):
+                size = int(block["size"][k])
+                for place in index.phrase(table[k, :size]).tolist():
                     text, word = _split(place, words)
                     hits.setdefault(text, []).append((word, word + size - 1))
-                    found[text].update(block.ids[o] for o in block.owners[k])
+                    found[text].update(ids[o] for o in block["owners"][k])
             if near is not None:
-                for k, own in enumerate(block.items):
+                for k, own in enumerate(block["items"]):
                     if len(own) and (index.size[own] > 0).all():
                         for place in index.near(own, near).tolist():
-                            close[_split(place, words)[0]].add(block.ids[k])
+                            close[_split(place, words)[0]].add(ids[k])
         columns = {n: batch.column(n) for n in batch.schema.names}
         columns[names["n_words"]] = pa.array(words.count, pa.int64())
         columns[names["spans"]] = pa.array(

@@ -265,10 +265,11 @@ def score_toxicity(docs: DataFrame, model: Model, text_col: str = "text") -> tup
     """``docs`` with score, predicted and gain (the largest window difference in bytes), and the names these got."""
     names = {k: fresh(docs, k) for k in ("score", "predicted", "gain")}
     schema = StructType(list(docs.schema.fields)).add(names["score"], "double").add(names["predicted"], "integer").add(names["gain"], "double")
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    # Plain values: a worker may lack this package.
+    shared = docs.sparkSession.sparkContext.broadcast((model.toxic, model.ordinary, model.weights, model.mean, model.scale))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
+        model = Model(*shared.value)
         meter = Meter(model.toxic, model.ordinary)
         for batch in batches:
             x = np.array([meter.features(t.as_py()) for t in batch.column(text_col)]).reshape(-1, 5)
