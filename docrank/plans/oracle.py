@@ -195,9 +195,9 @@ def _sql() -> dict[str, str]:
             f"WHEN regexp_full_match(token, '{sign}+') THEN 'number' WHEN regexp_matches(token, '{sign}') THEN 'numword' ELSE 'word' END")
     scan = (f"SELECT id, CAST(pos AS INTEGER) AS pos, {kind} AS kind, token FROM (SELECT id, unnest(generate_series(0, len(tk) - 1)) AS pos, unnest(tk) AS token "
             f"FROM (SELECT id, flatten([CASE WHEN contains(t, '@') OR contains(t, '.') OR NOT contains(t, '-') THEN [t] "
-            f"ELSE list_concat([t], string_split(t, '-')) END for t in regexp_extract_all(lower(text), '{token}')]) AS tk FROM ({{0}})))")
-    q["scan_lexemes"] = scan.format("SELECT doc_id AS id, text FROM documents")
-    q["scan_lexemes_pages"] = scan.format("SELECT page_id AS id, concat_ws(' ', url, html) AS text FROM pages")
+            f"ELSE list_concat([t], string_split(t, '-')) END for t in regexp_extract_all(lower(text), '{token}')]) AS tk FROM source))")
+    q["scan_lexemes"] = f"WITH source AS (SELECT doc_id AS id, text FROM documents) {scan}"
+    q["scan_lexemes_pages"] = f"WITH source AS (SELECT page_id AS id, concat_ws(' ', url, html) AS text FROM pages) {scan}"
     bad = "p_partkey % 7 = 0 OR p_partkey % 11 = 0 OR p_partkey % 13 = 0"
     line = "CAST(to_json(struct_pack(id := CAST(p_partkey AS VARCHAR), title := p_name, categories := p_type)) AS VARCHAR)"
     q["paper_rejects"] = (
