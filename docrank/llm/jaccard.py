@@ -54,7 +54,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORD_BYTES = np.ones(256, bool)
 WORD_BYTES[[0x20, *range(0x09, 0x0E)]] = False
 COLUMNS = 2048  # shingles multiplied at a time
-PAIRS = 1 << 22  # pair counts summed at a time
+PAIRS = 1 << 20  # pair counts summed at a time
 
 
 def sets(batch: pa.RecordBatch, text: str, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -96,7 +96,7 @@ def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in arrays.slices(whole, "text", 2 * arrays.SLICE_BYTES):
+            for batch in arrays.slices(whole, "text"):
                 h, n = np.unique(sets(batch, "text", k)[0], return_counts=True)
                 often = n >= max(6, batch.num_rows // share)
                 yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
@@ -157,7 +157,7 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         often_of = shared.value
         for whole in batches:
-            for batch in arrays.slices(whole, "text", 2 * arrays.SLICE_BYTES):
+            for batch in arrays.slices(whole, "text"):
                 keys = np.asarray(batch.column("key"), np.int64)
                 h, at = sets(batch, "text", k)
                 size = np.diff(at)
@@ -189,6 +189,7 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
                 if len(tokens) or len(u):
                     out.append([name % shards, name, b"", b"", b"", b"", tokens.tobytes(), owner.tobytes(), u.tobytes(), v.tobytes()])
                 yield _batch(out, DEALT)
+        arrays.give_back()
 
     def count(table: pa.Table) -> pa.Table:
         """Shingles that several sets hold, and how many, back to their slices."""
@@ -213,6 +214,8 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
                     key, need = np.frombuffer(r["key"], np.int64)[texts], np.frombuffer(r["need"], np.int32)[texts]
                     out.append([r["slice"], r["shard"], prints[some].tobytes(), np.minimum(n[some], 65535).astype(np.uint16).tobytes(),
                                 _numbers(number), key.tobytes(), need.tobytes(), b"", b"", b"", b""])
+            del prints, source, text, by, ends, n
+        arrays.give_back()
         return pa.Table.from_batches([_batch(out, SHARED)])
 
     def choose(table: pa.Table) -> pa.Table:
@@ -241,6 +244,7 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
             us, vs = np.r_[us, u], np.r_[vs, v]
         us, vs = arrays.forest(us, vs)
         token, owner = np.concatenate(tokens).view(np.int64), np.concatenate(owners)
+        arrays.give_back()
         none = np.zeros(len(us), np.int64)
         return pa.table({"token": pa.array(np.r_[token, none], mask=np.r_[np.zeros(len(token), bool), np.ones(len(us), bool)]),
                          "u": np.r_[owner, us], "v": pa.array(np.r_[np.zeros(len(token), np.int64), vs], mask=np.r_[np.ones(len(token), bool), np.zeros(len(us), bool)])})
@@ -330,6 +334,7 @@ def _tile(percent: int):
                 vs += [v, np.full(int((total > 0).sum()), -1)]
                 ws += [np.zeros(len(u), np.int64), total[total > 0]]
         flat = lambda x: np.concatenate(x).astype(np.int64) if x else np.zeros(0, np.int64)
+        arrays.give_back()
         v, w = flat(vs), flat(ws)
         return pa.table({"u": flat(us), "v": pa.array(v, mask=w > 0), "weight": w})
 
@@ -337,7 +342,7 @@ def _tile(percent: int):
 
 
 def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, percent: int = 90,
-                part_rows: int = 512, part_shingles: int = 1 << 20, shard_bytes: int = 16 << 20,
+                part_rows: int = 512, part_shingles: int = 1 << 20, shard_bytes: int = 8 << 20,
                 max_frequent: int = 1 << 16) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with n_shingles, component (the id of its first document), n_links and first (it is that document), and the names these got."""
     if not 50 <= percent <= 100:
