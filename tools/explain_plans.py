@@ -47,7 +47,7 @@ def main() -> None:
     sections = [
         ("Term counts (tokenise, stop test, partial + final count)",
          IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=False))),
-        ("Postings written: tf ⋈ dictionary (broadcast, bytes summed) ⋈ norms (broadcast, bytes summed), dealt to term folders",
+        ("Postings written: tf ⋈ dictionary (broadcast, bytes summed) ⋈ norms (broadcast, bytes summed), sorted by (term, doc_id) over ranges",
          IX.normalized_postings(built).repartitionByRange(8, "term", "doc_id").sortWithinPartitions("term", "doc_id")),
         ("Norms: narrow partial sums, one zero row per record",
          IX.document_norms(built.postings, C.documents(spark, sf).select("doc_id"))),
@@ -59,7 +59,7 @@ def main() -> None:
     sections += [
         ("Batch search on the written index (query side broadcast, WindowGroupLimit before the exchange)",
          SR.search_batch(idx, bench, C.K, "item_id", "text")),
-        ("Single search on the written index (a batch of one; partition filter on the term folders)",
+        ("Single search on the written index (a batch of one; its terms reach files and row groups)",
          SR.search(idx, C.first_benchmark_text(spark, sf), C.K)),
         ("Stemmed term counts (Arrow batches over counted words, re-sum by stem)",
          IX.term_frequency(IX.corpus(C.documents(spark, sf), "doc_id", ("text",)), IX.IndexOptions(stem=True))),
