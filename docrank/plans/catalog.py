@@ -359,27 +359,26 @@ BLOCK_DOCS = 8
 
 
 def grown_segments(spark, sf) -> SG.Segments:
-    """Segments of the documents, added language by language; one language comes in two parts."""
+    """Segments of the documents, added by language in three parts and merged at the third."""
     d = documents(spark, sf)
     s = SG.create_segments(spark, scratch_path(spark, f"docrank-segments-{uuid.uuid4().hex}"), IX.IndexOptions(stem=False))
-    for part in ("lang = 'en' AND n_chars < 1000", "lang = 'en' AND n_chars >= 1000", "lang = 'de'", "lang = 'fr'",
-                 "lang IS NULL OR lang NOT IN ('en', 'de', 'fr')"):
-        s = SG.add_records(s, d.where(part))
+    for part in ("lang = 'en'", "lang IN ('de', 'fr')", "lang IS NULL OR lang NOT IN ('en', 'de', 'fr')"):
+        s = SG.add_records(s, d.where(part), fanout=3)
     return s
 
 
 def q_segments_topk(spark, sf):
-    """The batch on an index grown by five segments, merged once."""
+    """The batch on an index grown by three segments, merged once."""
     return SR.search_batch(grown_segments(spark, sf).index(), benchmark(spark, sf), K, "item_id", "text", digits=DIGITS)
 
 
 def q_segments_norms(spark, sf):
-    """Norms from the sums that five segments keep of each document."""
+    """Norms from the sums that three segments keep of each document."""
     return grown_segments(spark, sf).norms().select("doc_id", r6("norm"))
 
 
 def q_segments_terms(spark, sf):
-    """The dictionary of an index grown by five segments."""
+    """The dictionary of an index grown by three segments."""
     return grown_segments(spark, sf).terms().select("term", "df", r6("idf"))
 
 

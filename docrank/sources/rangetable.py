@@ -26,7 +26,7 @@ LEAST_FILE_ROWS = 1 << 16
 ROW_GROUP_BYTES = 4 << 20
 # An IN list of up to 10 values reaches row groups value by value, a longer one as a range.
 PUSHED_TOGETHER = 10
-MOST_PUSHED = 400
+MOST_PUSHED = 200
 # Rows of a query side that may be held on the driver.
 FEW = 20_000
 
@@ -40,10 +40,6 @@ def few(df: DataFrame, most: int | None = None) -> pa.Table | None:
 
 def is_any(column: str, keys: list) -> Column:
     """``column`` is one of ``keys``, in a form that Parquet row groups are tested with."""
-    if not keys:
-        return F.lit(False)
-    if len(keys) > MOST_PUSHED:
-        return F.col(column).isin(keys)
     chunks = [F.col(column).isin(keys[i: i + PUSHED_TOGETHER]) for i in range(0, len(keys), PUSHED_TOGETHER)]
     return reduce(lambda a, b: a | b, chunks)
 
@@ -86,7 +82,12 @@ class RangeTable:
         names = self.files(keys)
         if not names:
             return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*(f"{self.path}/rows/{n}" for n in names)).where(is_any(self.key, keys))
+        found = self.spark.read.schema(self.schema).parquet(*(f"{self.path}/rows/{n}" for n in names))
+        if len(keys) <= MOST_PUSHED:
+            return found.where(is_any(self.key, keys))
+        # More keys travel as rows, and reach the row groups as a range.
+        wanted = self.spark.createDataFrame(pa.table({self.key: keys})).select(F.col(self.key).cast(self.schema[self.key].dataType))
+        return found.where(F.col(self.key).between(F.lit(keys[0]), F.lit(keys[-1]))).join(F.broadcast(wanted), self.key, "left_semi")
 
     def numbered(self) -> DataFrame:
         """All rows with ``place``, their number (from 0) in key order over all files."""
