@@ -30,7 +30,7 @@ from docrank.functions.stem import stem, stem_words_udf
 from docrank.operators.blockmax import BLOCK_SCHEMA, pruned_top_k, write_blocks
 from docrank.operators.index import published_versions
 from docrank.operators.search import one_query, top_k
-from docrank.operators.util import fits, remove_folder, require_positive_k, split_join, written
+from docrank.operators.util import fits, remove_folder, require_positive_k, slices, split_join, written
 from docrank.sources.rangetable import RangeTable, few, write_ranges
 
 # Default label weights of the cover-density rank.
@@ -165,17 +165,21 @@ def fulltext_query_terms(queries: DataFrame, id_col: str = "query_id", text_col:
 def fulltext_scores(lexemes: DataFrame | WeightedIndex, qterms: DataFrame, small: bool | None = None) -> DataFrame:
     """(query_id, doc_id, similarity) for documents matching any query lexeme."""
     sizes = None
+    found = few(qterms) if small is not False else None
+    spark = qterms.sparkSession
     if isinstance(lexemes, WeightedIndex):
-        sizes, found = lexemes.sizes, few(qterms)
+        sizes = lexemes.sizes
         if found is not None:  # few query rows: their terms are looked up
-            qterms, small = lexemes.sizes.sparkSession.createDataFrame(found), True
             lexemes = lexemes.table.lookup(sorted(set(found["term"].to_pylist())))
         else:
             lexemes = lexemes.lexemes
-    if small is None:
-        small = fits(qterms)
     rows = lexemes.select("doc_id", "term", "weight")
-    if small:
+    if found is not None:
+        qterms = spark.createDataFrame(found)
+        if len(set(found["query_id"].to_pylist())) > 1:
+            rows = _dealt(rows, qterms, write=sizes is None)
+        m = F.broadcast(qterms).join(rows, "term")
+    elif small or (small is None and fits(qterms)):
         m = F.broadcast(qterms).join(rows, "term")
     else:
         rows = rows.groupBy("doc_id", "term").agg(F.sum("weight").alias("weight"))
@@ -184,6 +188,17 @@ def fulltext_scores(lexemes: DataFrame | WeightedIndex, qterms: DataFrame, small
     return m.groupBy("query_id", "doc_id").agg(F.sum("weight").alias("similarity"))
 
 
+def _dealt(rows: DataFrame, qterms: DataFrame, write: bool) -> DataFrame:
+    """Rows with a query lexeme, one for each lexeme of a document, dealt to tasks by document, as many as the rows
+    that the queries make of them ask for: scores of a document are summed in its task and never shuffled."""
+    asked = F.broadcast(qterms.groupBy("term").agg(F.count("*").alias("_queries")))
+    rows = rows.join(asked, "term")
+    if write:  # scanned texts; counted and read again
+        rows, _ = written(rows, "docrank-lexemes")
+    n = rows.agg(F.sum("_queries").alias("n")).first()["n"] or 0
+    return rows.repartition(slices(rows.sparkSession, n), "doc_id").groupBy("doc_id", "term").agg(F.sum("weight").alias("weight"))
+
+
 def fulltext_search_batch(lexemes: DataFrame | WeightedIndex, queries: DataFrame, k: int = 5, id_col: str = "query_id",
                           text_col: str = "text", stem: bool = True, digits: int | None = 12) -> DataFrame:
     """(query_id, rank, doc_id, similarity): top-k by score desc, doc_id asc.
