@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from docrank.functions import scoring
 from docrank.operators.index import Index, IndexOptions, corpus, posting_weights, published_versions, term_frequency
-from docrank.operators.util import fits, maybe_broadcast, split_join, written
+from docrank.operators.util import dictionary_join, fits, maybe_broadcast, written
 from docrank.sources.rangetable import RangeTable, few, write_ranges
 
 FANOUT = 4
@@ -136,10 +136,11 @@ def _write(s: Segments, tables: dict[str, DataFrame]) -> str:
 
 
 def _on_term(rows: DataFrame, terms: DataFrame) -> DataFrame:
-    """Counts joined with a table of terms: broadcast if it fits, else with frequent terms split."""
+    """Counts joined with a table of terms (column n: documents of the term): broadcast as far as it fits, its
+    most frequent terms first."""
     if fits(terms):
         return rows.join(F.broadcast(terms), "term")
-    return split_join(rows, terms, rows.groupBy("term").agg(F.count("*").alias("n")), "term", "n", "doc_id")
+    return dictionary_join(rows, terms, "term", "n", "doc_id")
 
 
 def _sums(rows: DataFrame, a: Column, b: Column, c: Column) -> DataFrame:
@@ -169,7 +170,7 @@ def add_records(s: Segments, df: DataFrame, id_col: str = "doc_id", text_cols=("
     keys = None if found is None else found["term"].to_pylist()
     before = s.rows("terms", keys=keys).groupBy("term").agg(F.sum("df").alias("df0"))
     changed, _ = written(delta.join(before, "term", "left").select(
-        "term", F.log(F.coalesce("df0", F.lit(1)).cast("double")).alias("l0"), F.log((F.coalesce("df0", F.lit(0)) + F.col("df")).cast("double")).alias("l1")),
+        "term", (F.coalesce("df0", F.lit(0)) + F.col("df")).alias("n"), F.log(F.coalesce("df0", F.lit(1)).cast("double")).alias("l0"), F.log((F.coalesce("df0", F.lit(0)) + F.col("df")).cast("double")).alias("l1")),
         "docrank-changed")
     u = scoring.tf_weight("tf") * scoring.tf_weight("tf")
     l0, l1 = F.col("l0"), F.col("l1")
@@ -182,7 +183,7 @@ def add_records(s: Segments, df: DataFrame, id_col: str = "doc_id", text_cols=("
         whole, _ = written(moved.unionByName(new.join(mark, "doc_id", "left_semi").select(*moved.columns)).groupBy("term", "doc_id").agg(
             F.sum("tf").alias("tf")), "docrank-whole")
         now = s.rows("terms").unionByName(delta).join(whole.select("term").distinct(), "term", "left_semi").groupBy("term").agg(
-            F.log(F.sum("df").cast("double")).alias("l1"))
+            F.sum("df").alias("n"), F.log(F.sum("df").cast("double")).alias("l1"))
         sums.append(_sums(_on_term(whole, written(now, "docrank-now")[0]), u, u * l1, u * l1 * l1))
         sums.append(s.rows("sums").join(mark, "doc_id", "left_semi").select("doc_id", *((-F.col(c)).alias(c) for c in SUMS)))
     added_sums = reduce(DataFrame.unionByName, sums).groupBy("doc_id").agg(*(F.sum(c).alias(c) for c in SUMS))
