@@ -39,7 +39,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 WORD_BYTES = np.zeros(256, bool)
 WORD_BYTES[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range(0x80, 0x100)]] = True
 GAP = 1 << 40  # between the word numbers of one text and the next
-SLICE = 4 << 20
+SLICE = 2 << 20  # bytes of text that are indexed at once
 
 
 def block_of(ids: list, texts: list, window: int) -> dict:
@@ -156,7 +156,10 @@ def _search(docs: DataFrame, shared, text_col: str, names: dict[str, str], near:
         table, ids = block["table"], block["ids"]
         if len(table) and len(index.places):
             present = np.append(index.size > 0, True)  # -1 fills short windows
-            for k in np.flatnonzero(present[table].all(axis=1)):
+            able = np.flatnonzero(present[table[:, 0]])
+            for column in table.T[1:]:
+                able = able[present[column[able]]]
+            for k in able:
                 size = int(block["size"][k])
                 for place in index.phrase(table[k, :size]).tolist():
                     text, word = _split(place, words)
@@ -177,7 +180,7 @@ def _search(docs: DataFrame, shared, text_col: str, names: dict[str, str], near:
             columns[names[name]] = pa.array([sorted({*o, *s}) for o, s in zip(old, new, strict=True)], pa.list_(pa.string()))
         return pa.RecordBatch.from_arrays(list(columns.values()), list(columns))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lambda batches: arrays.tidied(run(batches)), docs.schema)
 
 
 def _split(place: int, words: arrays.Words) -> tuple[int, int]:

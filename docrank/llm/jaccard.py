@@ -88,7 +88,7 @@ def _describe(docs: DataFrame, k: int) -> DataFrame:
                 a, b = set_prints(h, at)
                 yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(np.diff(at)), pa.array(a), pa.array(b)], ["key", "n", "a", "b"])
 
-    return docs.select("key", "text").mapInArrow(run, "key long, n long, a long, b long")
+    return docs.select("key", "text").mapInArrow(lambda batches: arrays.tidied(run(batches)), "key long, n long, a long, b long")
 
 
 def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
@@ -101,7 +101,7 @@ def _frequent(docs: DataFrame, k: int, most: int, share: int) -> np.ndarray:
                 often = n >= max(6, batch.num_rows // share)
                 yield pa.RecordBatch.from_arrays([pa.array(h[often].view(np.int64)), pa.array(n[often])], ["h", "n"])
 
-    rows = docs.select("text").mapInArrow(run, "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(
+    rows = docs.select("text").mapInArrow(lambda batches: arrays.tidied(run(batches)), "h long, n long").groupBy("h").agg(F.sum("n").alias("n")).orderBy(
         F.desc("n"), "h").limit(most).collect()
     return np.sort(np.array([r["h"] for r in rows], np.int64).view(np.uint64))
 
@@ -189,7 +189,6 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
                 if len(tokens) or len(u):
                     out.append([name % shards, name, b"", b"", b"", b"", tokens.tobytes(), owner.tobytes(), u.tobytes(), v.tobytes()])
                 yield _batch(out, DEALT)
-        arrays.give_back()
 
     def count(table: pa.Table) -> pa.Table:
         """Shingles that several sets hold, and how many, back to their slices."""
@@ -254,7 +253,7 @@ def _candidates(reps: DataFrame, k: int, percent: int, frequent: np.ndarray, sha
         u, v = arrays.forest(u, v)
         return pa.table({"u": u, "v": v})
 
-    dealt = reps.mapInArrow(deal, DEALT)
+    dealt = reps.mapInArrow(lambda batches: arrays.tidied(deal(batches)), DEALT)
     back = dealt.groupBy("shard").applyInArrow(count, SHARED)
     chosen = saved(back.groupBy("slice").applyInArrow(choose, TOKENS), "tokens")
     bins = max(1, math.ceil(chosen.count() / (1 << 18)))

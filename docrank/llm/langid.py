@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from docrank.llm import zdict
+from docrank.llm import arrays, zdict
 from docrank.llm.tables import fresh, hashed_sample
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -98,4 +98,4 @@ def identify(docs: DataFrame, models: list[tuple[str, bytes]], text_col: str = "
             columns = [pa.array([g[i] for g in got], kind) for i, kind in enumerate((pa.string(), pa.float64(), pa.float64(), pa.bool_()))]
             yield pa.RecordBatch.from_arrays([*batch.columns, *columns], [*batch.schema.names, *names.values()])
 
-    return docs.mapInArrow(run, schema), names
+    return docs.mapInArrow(lambda batches: arrays.tidied(run(batches)), schema), names

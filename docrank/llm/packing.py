@@ -36,6 +36,8 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from docrank.llm import arrays
+
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 PIECE = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
@@ -106,7 +108,7 @@ def token_pieces(docs: DataFrame, vocabulary: str, id_col: str = "doc_id", text_
                 names.append("token_ids")
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return src.mapInArrow(tokenise, schema)
+    return src.mapInArrow(lambda batches: arrays.tidied(tokenise(batches)), schema)
 
 
 def vector_best_fit(sizes: np.ndarray, capacity: np.ndarray, weights: np.ndarray, rule: str = "dot") -> tuple[np.ndarray, int]:
