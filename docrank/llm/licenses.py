@@ -9,7 +9,10 @@ in bands; a band that equals one of a template's retrieves the template. Bands
 and rows per band are set from the least Jaccard similarity that a window with
 ``containment`` of a template can have: the chance to miss it is below ``miss``.
 The retrieved pairs are verified exactly: the share of the template's shingles
-in the window and its neighbours must reach ``containment``.
+in the window and its neighbours must reach ``containment``. Only windows that
+could pass this are signed: every shingle is looked up among the templates', and
+a window that, with its neighbours, holds fewer of them than any template of the
+class needs is left out. This changes no result.
 
 Templates are a parameter (a list, broadcast with the function); texts are read
 in one narrow pass, whole, whatever they hold.
@@ -76,6 +79,9 @@ class Class:
         self.step = max(1, longest // 4)
         self.length = longest + self.step
         shared = math.ceil(containment * least)
+        self.known = np.unique(np.concatenate([s for _, s in templates]))
+        #: With fewer of its shingles no template reaches ``containment`` (a band takes one at least).
+        self.need = max(1, math.ceil(containment * least - 1e-6))
         self.bands, self.rows = bands(shared / (self.length + least - shared), miss)
         self.seeds = arrays.mix(np.arange(1, self.bands * self.rows + 1, dtype=np.uint64))
         sign = np.array([[int(arrays.mix(s ^ seed).min()) for seed in self.seeds] for _, s in templates], np.uint64)
@@ -101,6 +107,30 @@ class Class:
         return found
 
 
+def members(value: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Where ``value`` is one of ``known`` (sorted)."""
+    if not len(known):
+        return np.zeros(0, np.int64)
+    return np.flatnonzero(known[np.minimum(np.searchsorted(known, value), len(known) - 1)] == value)
+
+
+def windows(c: Class, hits: np.ndarray, origin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(text, begin, begin and end with the neighbours) of the windows that could pass the verification.
+
+    ``hits``: places of the class's shingles, ascending; text i has the places
+    ``origin[i]`` to ``origin[i] + size[i]``."""
+    def count(lo: np.ndarray, hi: np.ndarray) -> np.ndarray:
+        return np.searchsorted(hits, hi) - np.searchsorted(hits, lo)
+
+    some = np.flatnonzero((size > 0) & (count(origin, origin + size + c.length + c.step) >= c.need))
+    many = -(-size[some] // c.step)
+    text = np.repeat(some, many)
+    low = arrays.ranges(np.zeros(len(some), np.int64), many) * c.step + origin[text]
+    first, stop = np.maximum(low - c.step, origin[text]), low + c.length + c.step
+    enough = count(first, stop) >= c.need
+    return text[enough], low[enough], first[enough], stop[enough]
+
+
 def smallest_hashes(shingle: np.ndarray, classes: list[Class], lows: list[np.ndarray]) -> list[list[np.ndarray]]:
     """For each class and seed, the smallest hash in each of its windows, which begin at ``lows``.
 
@@ -135,6 +165,7 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         if len(s) and words.count[i] >= k:
             by_size.setdefault(len(s).bit_length(), []).append((i, s))
     classes = [Class(v, containment, miss) for v in by_size.values()]
+    known = np.unique(np.concatenate([c.known for c in classes])) if classes else np.zeros(0, np.uint64)
     short = {int(s[0]): i for i, s in enumerate(sets) if len(s) and words.count[i] < k}
     licenses = [n for n, _ in templates]
 
@@ -147,24 +178,46 @@ def scan_licenses(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES,
         for i in np.flatnonzero((words.count > 0) & (words.count < k)) if short else ():
             if (t := short.get(int(value[begin[i]]))) is not None:
                 best[int(i), t] = (1.0, 0)
-        # The texts' shingles with room between texts, so that no window holds two texts' shingles.
+        # Places of the texts' shingles, with room between texts, so that no window holds two texts' shingles.
         gap = max((c.length for c in classes), default=0)
-        row = arrays.mix(np.arange(len(value) + n * gap, dtype=np.uint64) * arrays.ODD)
-        row[np.arange(len(value)) + owner * gap] = value
         size, origin = np.diff(begin), begin[:-1] + np.arange(n) * gap
-        counts = [np.where(size > 0, -(-size // c.step), 0) for c in classes]
-        lows = [arrays.ranges(np.zeros(n, np.int64), m) * c.step + np.repeat(origin, m) for c, m in zip(classes, counts, strict=True)]
-        for c, m, low, columns in zip(classes, counts, lows, smallest_hashes(row, classes, lows), strict=True):
-            text = np.repeat(np.arange(n), m)
-            for w, t in c.candidates(columns):
-                number, want = c.templates[t]
-                first = max(low[w] - c.step, origin[text[w]])
-                near = row[first: low[w] + c.length + c.step]
-                share = np.isin(want, near).mean()
-                if share >= containment:
-                    at = (text[w], number)
-                    hit = (float(share), -int(first + np.flatnonzero(np.isin(near, want))[0] - origin[text[w]]))
-                    best[at] = max(best.get(at, (0.0, 0)), hit)
+        hits = members(value, known)
+        wanted = []
+        for c in classes:
+            own = hits[members(value[hits], c.known)]
+            if len(own) >= c.need and len((found := windows(c, own + owner[own] * gap, origin, size))[0]):
+                wanted.append((c, *found))
+        if wanted:
+            # The wanted windows' shingles with their neighbours', one stretch after the other.
+            first, stop = (np.concatenate([w[i] for w in wanted]) for i in (3, 4))
+            order = np.argsort(first, kind="stable")
+            first, stop = first[order], np.maximum.accumulate(np.minimum(stop[order], len(value) + n * gap))
+            new = np.append(True, first[1:] > stop[:-1])
+            first, stop = first[new], stop[np.append(new[1:], True)]
+            before = np.cumsum(stop - first) - (stop - first)
+            place = arrays.ranges(first, stop - first)
+            row = arrays.mix(place.astype(np.uint64) * arrays.ODD)
+            text = np.searchsorted(origin, place, side="right") - 1
+            place -= origin[text]
+            inside = place < size[text]
+            row[inside] = value[(begin[text] + place)[inside]]
+
+            def moved(at: np.ndarray) -> np.ndarray:
+                stretch = np.searchsorted(first, at, side="right") - 1
+                return at - first[stretch] + before[stretch]
+
+            signed = smallest_hashes(row, [w[0] for w in wanted], [moved(w[2]) for w in wanted])
+            for (c, text, _, lo, hi), columns in zip(wanted, signed, strict=True):
+                start = moved(lo)
+                for w, t in c.candidates(columns):
+                    number, want = c.templates[t]
+                    near = row[start[w]: start[w] + hi[w] - lo[w]]
+                    own = members(near, want)
+                    share = len(np.unique(near[own])) / len(want)
+                    if share >= containment:
+                        at = (text[w], number)
+                        hit = (share, -int(lo[w] + own[0] - origin[text[w]]))
+                        best[at] = max(best.get(at, (0.0, 0)), hit)
         out: list[list[dict]] = [[] for _ in range(n)]
         for (i, t), (share, word) in sorted(best.items(), key=lambda x: (x[0][0], -x[1][1], x[0][1])):
             out[i].append({"license": licenses[t], "template": t, "word": -word, "containment": share})

@@ -170,6 +170,59 @@ def test_license_columns_and_empty(spark):
     assert licenses.bands(0.3, 1e-6)[0] >= 30
 
 
+def test_license_scan_signs_only_windows_near_statements(spark, monkeypatch):
+    rng = random.Random(7)
+    texts = [" ".join(f"w{rng.randint(0, 9999)}" for _ in range(300)) for _ in range(100)]
+    texts[5] += " " + licenses.TEMPLATES[8][1]
+    texts[50] = licenses.TEMPLATES[9][1] + " " + texts[50]
+    texts += [licenses.TEMPLATES[1][1][:40] + " " + texts[0], None]
+    df = spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1)
+    want = found(df)
+    assert want[5] == {("MIT", 8): (300, 1.0)} and want[50] == {("MIT", 9): (0, 1.0)} and sum(map(bool, want)) == 2
+    sign = licenses.smallest_hashes
+
+    def few(shingle, *rest):
+        if len(shingle) > 500:  # of about 30,000
+            raise ValueError(f"{len(shingle)} shingles signed")
+        return sign(shingle, *rest)
+
+    monkeypatch.setattr(licenses, "smallest_hashes", few)
+    assert found(df) == want
+
+
+@pytest.mark.parametrize("options", [{}, {"containment": 0.5}, {"k": 2, "containment": 1.0}])
+def test_license_scan_equals_plain_containment(spark, options):
+    k, least = options.get("k", 5), options.get("containment", 0.8)
+    rng = random.Random(8)
+    statements = [x for _, x in licenses.TEMPLATES]
+
+    def text():
+        w = rng.choice(statements).split()
+        for _ in range(rng.randint(0, 3)):
+            w[rng.randrange(len(w))] = rng.choice(["the", "license", "other"])
+        parts = [" ".join(w[rng.randint(0, 2):])] * rng.randint(0, 2) + [" ".join(f"w{rng.randint(0, 9)}" for _ in range(rng.randint(0, 40)))]
+        return " ".join(rng.sample(parts, len(parts)))
+
+    def sets(x):
+        w = "".join(c if c.isalnum() else " " for c in (x or "").lower()).split()
+        return [tuple(w[i:i + k]) for i in range(len(w) - k + 1)]
+
+    texts = [*(text() for _ in range(200)), None, "", "MIT", *statements, " ".join(statements)]
+    got = found(spark.createDataFrame([(x,) for x in texts], "text string").coalesce(1), **options)
+    assert any(got)
+    for x, g in zip(texts, got, strict=True):
+        own = sets(x)
+        for number, statement in enumerate(statements):
+            want = set(sets(statement))
+            share = max((len(want & set(own[i: i + len(want)])) / len(want) for i in range(len(own))), default=0)
+            hit = {t: h for (_, t), h in g.items()}.get(number)
+            if share >= least:  # a whole statement's length holds enough
+                assert hit and hit[1] >= round(share, 3)
+            if hit:  # what is found holds as much within the longest window and its neighbours
+                near = own[hit[0]: hit[0] + 4 * len(want) + 8]
+                assert hit[1] >= least and own[hit[0]] in want and round(len(want & set(near)) / len(want), 3) >= hit[1]
+
+
 def test_license_query_finds_every_statement(spark):
     sf = "/root/testdata/sf0.01"
     got = {r.doc_id for r in QUERIES["op8_license_scans"](spark, sf).collect()}
