@@ -114,3 +114,12 @@ def test_smaller_ids_retract():
     assert seen[2] == {("p", 1, False, False): -2, ("p", 17, False, False): 2, ("q", 1, False, True): 1}
     assert {k: n for k, n in total.items() if n} == {
         ("p", 17, False, False): 2, ("q", 17, True, False): 1, ("q", 1, False, True): 1, ("r", 1, False, True): 1, ("p", 2, False, False): 4}
+
+
+def test_labels_are_not_broadcast(spark):
+    """Their rows, eight times, would be held on the driver, however small their files are."""
+    docs = spark.createDataFrame([(1, "x", "a"), (2, "y", None)], "doc_id long, text string, source string")
+    marks = spark.createDataFrame([(1, True, False)], "id long, good boolean, toxic boolean")
+    rows = audit.described(docs, marks, "doc_id", "text", "source", 3)
+    assert "BroadcastHashJoin" not in rows._jdf.queryExecution().sparkPlan().toString()
+    assert sorted((r.id, r.good, r.toxic) for r in rows.collect()) == [(1, True, False), (2, False, False)]
