@@ -136,3 +136,47 @@ def test_segments_where_the_dictionary_does_not_fit(spark, tmp_path, monkeypatch
     for part in (docs.where("doc_id < 120"), docs.where("doc_id >= 120")):
         s = add_records(s, part)
     assert rows(s.norms().select("doc_id", F.round("norm", 9))) == want
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_a_write_frees_its_shuffles(spark, tmp_path):
+    before = shuffle_files(spark)
+    util.written(table(spark).repartition(3, "doc_id"), "docrank-test")
+    assert not shuffle_files(spark) - before
+
+
+@pytest.mark.parametrize("kind", ["string", "long"])
+def test_ranges_are_written_in_passes(spark, tmp_path, monkeypatch, kind):
+    """The files' order is that of the keys, nulls first, also where one key has many rows; no pass takes all of them."""
+    monkeypatch.setattr(rangetable, "FILE_ROWS", 100)
+    sizes, write = [], rangetable.write_parquet
+    monkeypatch.setattr(rangetable, "write_parquet", lambda df, *a, **b: (sizes.append(df.count()), write(df, *a, **b)))
+    key = F.when(F.col("n") % 50 != 0, F.when(F.col("n") % 3 == 0, 500).otherwise(F.col("n") * 7919 % 900)).cast(kind)
+    df = spark.range(1200).withColumnRenamed("id", "n").select(key.alias("k"), "n")
+    t = rangetable.write_ranges(df, str(tmp_path / "t"), "k", ("n",))
+    placed = [(r.k, r.n) for r in t.numbered().orderBy("place").collect()]
+    assert placed == sorted(map(tuple, df.collect()), key=lambda r: (r[0] is not None, r[0] or 0 if kind == "long" else r[0] or "", r[1]))
+    assert len(sizes) > 1 and sum(sizes) == 1200 and max(sizes) < 800
+    one = "500" if kind == "string" else 500
+    assert t.lookup([one]).count() == sum(k == one for k, _ in placed)
+    alone = rangetable.write_ranges(df.where("k IS NULL OR k = 500"), str(tmp_path / "a"), "k", ("n",))
+    assert [(r.k, r.n) for r in alone.numbered().orderBy("place").collect()] == [x for x in placed if x[0] in (None, one)]
+
+
+def test_merging_a_written_index_writes_new_counts_only(spark, tmp_path):
+    docs = table(spark)
+    new = docs.where("doc_id >= 150")
+    built = build_index(docs.where("doc_id < 150"), stem=False)
+    grown = merge_index(write_index(built, str(tmp_path / "i")), new)
+    built.release()
+    want = build_index(docs, stem=False)
+    kept = sum(spark.read.parquet(p).count() for p in grown.scratch if "docrank-tf" in p)
+    assert kept == IX.term_frequency(new, IX.IndexOptions(stem=False)).count() < want.tf().count()
+    idx = write_index(grown, str(tmp_path / "i"))
+    grown.release()
+    columns = ["term", "doc_id", "tf", F.round("idf", 9), F.round("weight", 9)]
+    assert rows(idx.postings.select(*columns)) == rows(want.postings.select(*columns))
