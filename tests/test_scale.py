@@ -180,3 +180,15 @@ def test_merging_a_written_index_writes_new_counts_only(spark, tmp_path):
     grown.release()
     columns = ["term", "doc_id", "tf", F.round("idf", 9), F.round("weight", 9)]
     assert rows(idx.postings.select(*columns)) == rows(want.postings.select(*columns))
+
+
+def test_only_first_blocks_are_put_in_order(spark, tmp_path, monkeypatch):
+    from docrank.operators import blockmax
+
+    made, write = {}, blockmax.written
+    monkeypatch.setattr(blockmax, "written", lambda df, name: (made.setdefault(name, []).append(df.count()), write(df, name))[1])
+    docs = table(spark)
+    idx = write_index(build_index(docs, stem=False), str(tmp_path / "i"), block_docs=1)
+    asked = spark.createDataFrame([(0, "common word3"), (1, "word5 word7 common")], "query_id long, text string")
+    assert rows(search_pruned(idx, asked, 5, digits=6)[0]) == rows(search_batch(idx, asked, 5, digits=6))
+    assert made["docrank-heads"] == [2 * 18] and made["docrank-bounds"][0] > 100
